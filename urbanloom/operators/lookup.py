@@ -16,15 +16,11 @@ BROADCAST_ROWS = 1_000_000
 SALTS = 16
 
 
-def measured(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """The side and whether it has at most ``max_rows`` rows. The rows are kept
-    from the count, so a derived side is computed once; a side that is too large
-    is released again."""
-    kept = side.persist()
-    fits = kept.count() <= max_rows
-    if not fits:
-        kept.unpersist()
-    return kept, fits
+def fits(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether the side has at most ``max_rows`` rows. On a stored table the count
+    reads file footers only; a side that is costly to derive should be stored
+    first (``sources.tables.settled``), so that it is not derived twice."""
+    return side.count() <= max_rows
 
 
 def attach(
@@ -46,11 +42,8 @@ def attach(
         *[side[key].alias(name) for key, name in names.items()],
         *[side[source].alias(target) for source, target in columns.items()],
     )
-    if row_bound is not None:
-        fits = row_bound <= max_rows
-    else:
-        picked, fits = measured(picked, max_rows)
-    if fits:
+    small = fits(side, max_rows) if row_bound is None else row_bound <= max_rows
+    if small:
         matches = [expression == picked[names[key]] for key, expression in keys.items()]
         joined = facts.join(F.broadcast(picked), matches, "left")
     else:

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..scratch import new_folder
+
 # Partition column, cluster columns per stored model.
 LAYOUTS = {
     "int_trips_enriched": ("pickup_datetime", ("service_type", "pickup_location_id")),
@@ -68,6 +70,14 @@ def write_model(df: DataFrame, path: str, model: str) -> None:
     write_partitioned(df, path, day, cluster)
 
 
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """The rows stored once in the shared folder and read back: later uses neither
+    derive them again nor depend on the executors that did."""
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def is_stored(layer: str, model: str, env: str) -> bool:
     """Whether a model is a table: marts always, models with a declared layout
     always, everything else only in production."""

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from urbanloom.plans import dimensions, facts, requests, staging, traffic, trips, weather
 from urbanloom.session import configure
+from urbanloom.sources.tables import settled
 
 from .views import SPARK_VIEWS, TABLES
 
@@ -57,6 +58,11 @@ class Feeds:
     def weather(self):
         return staging.stg_weather(self.view("raw_weather"), AS_OF)
 
+    @cached_property
+    def weather_table(self):
+        """Weather as a stored table: it is the small side of joins."""
+        return settled(self.weather, "weather")
+
     @cached_property
     def speeds(self):
         return staging.stg_traffic_speed(self.view("raw_speed"), AS_OF)
@@ -72,15 +78,19 @@ class Feeds:
 
     @cached_property
     def enriched(self):
-        return trips.enrich(self.trips, self.weather)
+        return trips.enrich(self.trips, self.weather_table)
 
     @cached_property
     def hourly(self):
         return traffic.int_traffic_hourly_avg(self.speeds)
 
+    @cached_property
+    def hourly_table(self):
+        return settled(self.hourly, "traffic-hourly")
+
     @cached_property
     def matched(self):
-        return trips.int_trips_with_traffic(self.enriched, self.zones, self.hourly)
+        return trips.int_trips_with_traffic(self.enriched, self.zones, self.hourly_table)
 
     @cached_property
     def demand(self):
@@ -96,7 +106,7 @@ class Feeds:
 
     @cached_property
     def impact(self):
-        return weather.int_weather_impact_daily(self.weather, self.enriched, self.hourly, self.by_zone)
+        return weather.int_weather_impact_daily(self.weather_table, self.enriched, self.hourly, self.by_zone)
 
     @cached_property
     def dates(self):
@@ -112,7 +122,7 @@ class Feeds:
 
     @cached_property
     def dim_weather(self):
-        return weather.dim_weather(self.weather)
+        return weather.dim_weather(self.weather_table)
 
     @cached_property
     def fact_trips(self):

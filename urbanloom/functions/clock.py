@@ -36,13 +36,20 @@ def month_floor(ts: Column) -> Column:
     return F.trunc(F.to_date(ts), "MM")
 
 
+def elapsed(start: Column, end: Column, unit_micros: int) -> Column:
+    """Whole elapsed units, cut toward zero. Arithmetic on the stored microseconds:
+    a fraction of the cost of the calendar-based ``timestampdiff``."""
+    micros = F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
+    return (micros / F.lit(unit_micros)).cast("bigint")
+
+
 def elapsed_minutes(start: Column, end: Column) -> Column:
-    """Whole elapsed minutes, cut toward zero (59 s -> 0)."""
-    return F.timestamp_diff("MINUTE", start, end)
+    """Whole minutes (59 s -> 0)."""
+    return elapsed(start, end, 60_000_000)
 
 
 def elapsed_hours(start: Column, end: Column) -> Column:
-    return F.timestamp_diff("HOUR", start, end)
+    return elapsed(start, end, 3_600_000_000)
 
 
 def days_between(start: Column, end: Column) -> Column:

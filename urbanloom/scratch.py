@@ -4,19 +4,22 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
+@cache
+def _test_root() -> str:
+    return tempfile.mkdtemp(prefix="urbanloom-")
+
+
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is named (tests)."""
-    root = spark.conf.get(CHECKPOINT_SETTING, None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="urbanloom-")
-        spark.conf.set(CHECKPOINT_SETTING, root)
-    return root.rstrip("/")
+    """The shared folder the cluster names; a temporary one only where none is
+    named, as in tests."""
+    return (spark.conf.get(CHECKPOINT_SETTING, None) or _test_root()).rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

@@ -6,12 +6,14 @@ from pyspark.sql import SparkSession
 
 # Instants are UTC throughout; AQE re-plans joins, splits skewed partitions and
 # coalesces small ones, so shuffle.partitions only needs to be large enough.
+# A generated method above 8000 bytes is never compiled by the JVM, so wider
+# stages are better run operator by operator.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

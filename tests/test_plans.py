@@ -4,6 +4,7 @@ import os
 
 import pytest
 
+import __spark_entry__  # noqa: F401  registers the queries
 from workbench.catalog import QUERIES
 from workbench.feeds import Feeds
 

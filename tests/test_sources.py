@@ -125,10 +125,12 @@ def test_partition_writes(spark, rows, tmp_path):
     second = rows("id int, k string, t timestamp_ntz", (3, "c", datetime(2024, 1, 2)))
     for _ in range(2):
         tables.write_partitioned(first, path, "t", ("k",))
-    tables.write_partitioned(second, path, "t", ("k",))
+    tables.write_partitioned(second, path, "t", ("k",), mode="days")
     assert sorted(values(spark.read.parquet(path), "id")) == [(1,), (3,)]
     tables.write_partitioned(second, path, "t", ("k",), mode="append")
     assert sorted(values(spark.read.parquet(path), "id")) == [(1,), (3,), (3,)]
+    tables.write_partitioned(second, path, "t", ("k",))
+    assert values(spark.read.parquet(path), "id") == [(3,)]
 
 
 def test_materialize_by_environment(spark, rows, tmp_path):

@@ -8,7 +8,7 @@ from datetime import timedelta
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..sources.tables import PARTITION_DAY, append, clustered, replace_partitions
+from ..sources.tables import PARTITION_DAY, append, clustered, replace_partitions, settled
 
 
 def one_per_key(df: DataFrame, key: str) -> DataFrame:
@@ -35,15 +35,12 @@ def read_target(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def newer_rows(
-    source: DataFrame, target: DataFrame, ts: str, allowed_lateness: timedelta = timedelta(0)
-) -> DataFrame:
-    """Source rows after the target's newest timestamp, less the lateness."""
-    mark = high_water_mark(target, ts).first()[0]  # one value
-    if mark is None:
-        return source
-    bound = F.lit(str(mark - allowed_lateness)).cast(source.schema[ts].dataType)
-    return source.filter(source[ts] > bound)
+def stored_mark(target: DataFrame, column: str):
+    """Newest stored timestamp, one value. The newest day is found from the
+    partition values, so the timestamps of one day only are read."""
+    newest = target.agg(F.max(PARTITION_DAY)).first()[0]
+    day = target.filter(target[PARTITION_DAY] == F.lit(newest))
+    return high_water_mark(day, column).first()[0]
 
 
 def merge_incremental(
@@ -57,25 +54,27 @@ def merge_incremental(
 ) -> None:
     """Add the rows of ``source`` that are newer than the table.
 
-    With no lateness a new row cannot match a stored key that contains its
-    timestamp, yet the anti-join stays for keys that do not; it reads only the
-    days the new rows touch. ``update_matched`` rewrites those days so that
-    matched keys take their new values.
+    Rows up to the newest stored timestamp, less the lateness, are left out. Of
+    the rest only unseen keys are appended; the keys are compared with the days
+    from the bound on, not with the whole table. ``update_matched`` rewrites those
+    days so that matched keys take their new values.
     """
     spark = source.sparkSession
     target = read_target(spark, path)
     if target is None:
         append(clustered(one_per_key(source, key), ts, cluster), path, [PARTITION_DAY])
         return
-    fresh = one_per_key(newer_rows(source, target, ts, allowed_lateness), key)
-    mark = high_water_mark(target, ts).first()[0]
-    touched = target
+    fresh, recent = source, target
+    mark = stored_mark(target, ts)
     if mark is not None:
-        first_day = (mark - allowed_lateness).date()
-        touched = target.filter(F.col(PARTITION_DAY) >= F.lit(first_day))
+        bound = mark - allowed_lateness
+        fresh = source.filter(source[ts] > F.lit(str(bound)).cast(source.schema[ts].dataType))
+        recent = target.filter(target[PARTITION_DAY] >= F.lit(bound.date()))
+    fresh = one_per_key(fresh, key)
     if not update_matched:
-        unseen = fresh.join(touched.select(key), key, "left_anti").select(*fresh.columns)
+        unseen = fresh.join(recent.select(key), key, "left_anti").select(*fresh.columns)
         append(clustered(unseen, ts, cluster), path, [PARTITION_DAY])
         return
-    kept = touched.drop(PARTITION_DAY).join(fresh.select(key), key, "left_anti").select(*fresh.columns)
+    fresh = settled(fresh, "merge")  # used twice below
+    kept = recent.drop(PARTITION_DAY).join(fresh.select(key), key, "left_anti").select(*fresh.columns)
     replace_partitions(clustered(kept.unionByName(fresh), ts, cluster), path, [PARTITION_DAY])

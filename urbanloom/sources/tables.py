@@ -53,15 +53,27 @@ def clustered(df: DataFrame, day: str | None, cluster: Sequence[str]) -> DataFra
     return keyed.hint("rebalance", PARTITION_DAY).sortWithinPartitions(PARTITION_DAY, *cluster)
 
 
-def write_partitioned(df: DataFrame, path: str, day: str | None, cluster: Sequence[str], mode: str = "overwrite") -> None:
-    """Day-partitioned, clustered Parquet table; overwrites only the days present."""
+def write_partitioned(df: DataFrame, path: str, day: str | None, cluster: Sequence[str], mode: str = "rebuild") -> None:
+    """Day-partitioned, clustered Parquet table.
+
+    ``rebuild`` replaces the whole table, ``days`` only the days present in
+    ``df``, ``append`` adds rows.
+    """
+    if mode not in ("rebuild", "days", "append"):
+        raise ValueError(f"unknown mode: {mode}")
     rows = clustered(df, day, cluster)
-    if day is None:
-        rows.write.mode(mode).parquet(path)
-    elif mode == "overwrite":
-        replace_partitions(rows, path, [PARTITION_DAY])
+    partition = [] if day is None else [PARTITION_DAY]
+    if mode == "append":
+        append(rows, path, partition)
+    elif mode == "days" and partition:
+        replace_partitions(rows, path, partition)
     else:
-        append(rows, path, [PARTITION_DAY])
+        rebuild(rows, path, partition)
+
+
+def rebuild(df: DataFrame, path: str, partition: Sequence[str] = ()) -> None:
+    """Replace a table by ``df``, dropping partitions it no longer has."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition).parquet(path)
 
 
 def write_model(df: DataFrame, path: str, model: str) -> None:
@@ -96,7 +108,7 @@ def materialize(df: DataFrame, name: str, layer: str, env: str, root: str) -> Da
     if name in LAYOUTS:
         write_model(df, path, name)
     else:
-        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        rebuild(df, path)
     stored = spark.read.parquet(path)
     stored.createOrReplaceTempView(name)
     return stored

@@ -17,18 +17,22 @@ Builder = Callable[[Feeds], DataFrame]
 class Query:
     build: Builder
     oracle: str | None
+    replaced: dict[str, str] | None = None
 
 
 QUERIES: dict[str, Query] = {}
 
 
-def query(name: str, oracle: str | None = None) -> Callable[[Builder], Builder]:
-    """Register a builder; ``oracle`` is DuckDB SQL that may use the model CTEs."""
+def query(
+    name: str, oracle: str | None = None, replaced: dict[str, str] | None = None
+) -> Callable[[Builder], Builder]:
+    """Register a builder; ``oracle`` is DuckDB SQL that may use the model CTEs,
+    some of them ``replaced``."""
 
     def register(build: Builder) -> Builder:
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
-        QUERIES[name] = Query(build, oracle)
+        QUERIES[name] = Query(build, oracle, replaced)
         return build
 
     return register
@@ -42,4 +46,4 @@ def callables() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracles() -> dict[str, str]:
-    return {name: with_models(entry.oracle) for name, entry in QUERIES.items() if entry.oracle}
+    return {name: with_models(entry.oracle, entry.replaced) for name, entry in QUERIES.items() if entry.oracle}

@@ -381,19 +381,20 @@ MODELS: dict[str, str] = {
 WORD = re.compile(r"[A-Za-z_][A-Za-z_0-9]*")
 
 
-def needed(select: str) -> list[str]:
+def needed(select: str, models: dict[str, str]) -> list[str]:
     """CTEs a statement uses, directly or through others, in definition order."""
     found: set[str] = set()
     open_texts = [select]
     while open_texts:
-        for word in set(WORD.findall(open_texts.pop())) & set(MODELS):
+        for word in set(WORD.findall(open_texts.pop())) & set(models):
             if word not in found:
                 found.add(word)
-                open_texts.append(MODELS[word])
-    return [name for name in MODELS if name in found]
+                open_texts.append(models[word])
+    return [name for name in models if name in found]
 
 
-def with_models(select: str) -> str:
-    """The statement preceded by the CTEs it needs."""
-    ctes = ", ".join(f"{name} as ({MODELS[name].strip()})" for name in needed(select))
+def with_models(select: str, replaced: dict[str, str] | None = None) -> str:
+    """The statement preceded by the CTEs it needs; some may be replaced."""
+    models = {**MODELS, **(replaced or {})}
+    ctes = ", ".join(f"{name} as ({models[name].strip()})" for name in needed(select, models))
     return f"with {ctes} {select}" if ctes else select

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from urbanloom.plans import dimensions, facts, requests, staging, traffic, trips, weather
+from urbanloom.plans import facts, layers, requests, staging, traffic, trips, weather
+from urbanloom.scratch import new_folder
 
 from . import models
 from .catalog import query
@@ -176,6 +177,51 @@ def star_schema_join(f):
     return facts.star_report(f.fact_trips)
 
 
+# ---- all layers, from the raw feeds ----
+
+LAYER_ROWS = {
+    "stg_yellow_taxi_trips": "stg_yellow",
+    "stg_high_volume_vehicule_trips": "stg_hvfhv",
+    "stg_for_hire_vehicule_trips": "stg_fhv",
+    "stg_traffic_speed": "stg_traffic",
+    "stg_weather": "stg_weather",
+    "stg_311_requests": "stg_311",
+    "int_trips_enriched": "enriched",
+    "int_traffic_hourly_avg": "hourly",
+    "int_trips_with_traffic": "matched",
+    "int_taxi_demand_hourly": "demand",
+    "int_311_by_zone_daily": "by_zone",
+    "int_311_resolution_performance": "performance",
+    "int_weather_impact_daily": "impact",
+    "dim_dates": "dim_dates",
+    "dim_hours": "dim_hours",
+    "dim_zones": "dim_zones",
+    "dim_weather": "dim_weather",
+    "fact_taxi_trips": "(select distinct trip_id from fact_trips) keys",
+    "fact_311_complaints_daily": "fact_daily",
+    "fact_311_performance_monthly": "fact_monthly",
+}
+
+
+@query(
+    "layers_raw_to_marts",
+    " union all ".join(f"select '{name}' as model, count(*) as rows from {cte}" for name, cte in LAYER_ROWS.items()),
+    replaced={"enriched": MODELS["enriched_feeds"]},
+)
+def layers_raw_to_marts(f):
+    """Every model stored once, built from the raw feeds; rows per model."""
+    raw = {
+        "raw_yellow_axi_vehicule_trips": f.view("raw_yellow"),
+        "raw_high_volume_vehicule_trips": f.view("raw_hvfhv"),
+        "raw_for_hire_vehicule_trips": f.view("raw_fhv"),
+        "raw_traffic_speed": f.view("raw_speed"),
+        "raw_weather": f.view("raw_weather"),
+        "raw_311_requests": f.view("raw_311"),
+        "taxi_zone_lookup": f.zones,
+    }
+    return layers.row_counts(layers.run(raw, new_folder(f.spark, "layers"), AS_OF))
+
+
 # ---- aggregations that the models are made of ----
 
 

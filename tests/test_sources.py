@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import values
 from urbanloom import schemas
+from urbanloom.plans.staging import stg_traffic_speed
 from urbanloom.scratch import new_folder, shared_root
 from urbanloom.sources import landed, layout, slices, tables
 
@@ -24,6 +25,16 @@ def test_pretty_printed_json_array(spark, tmp_path):
     ]
 
 
+def test_json_with_quoted_numbers(spark, tmp_path):
+    record = {"link_id": "1", "borough": "Queens", "data_as_of": "2024-01-01T10:00:00.000", "speed": "12.42",
+              "travel_time": "60", "status": 0}
+    (tmp_path / "a.json").write_text(json.dumps([record], indent=2))
+    raw = landed.scan_json(spark, str(tmp_path / "a.json"), schemas.as_text(schemas.TRAFFIC_SPEED))
+    staged = stg_traffic_speed(raw, "2024-06-01")
+    assert values(staged, "speed_mph", "travel_time_seconds", "status_code") == [(12.42, 60, 0)]
+    assert values(staged, "measurement_timestamp") == [(datetime(2024, 1, 1, 10),)]
+
+
 def test_csv_pages_have_a_header_each(spark, tmp_path):
     for page in (1, 2):
         (tmp_path / f"p{page}.csv").write_text(f"LocationID,Borough,Zone,service_zone\n{page},Queens,Z,Boro Zone\n")

@@ -37,7 +37,7 @@ def with_hours(facts: DataFrame, hours: DataFrame) -> DataFrame:
     )
 
 
-def with_pickup_zone(facts: DataFrame, zones: DataFrame) -> DataFrame:
+def with_pickup_zone(facts: DataFrame, zones: DataFrame, row_bound: int | None = None) -> DataFrame:
     return attach(
         facts,
         zones,
@@ -47,15 +47,17 @@ def with_pickup_zone(facts: DataFrame, zones: DataFrame) -> DataFrame:
             "zone_name": "pickup_zone_name",
             "zone_category": "pickup_zone_category",
         },
+        row_bound=row_bound,
     )
 
 
-def with_dropoff_zone(facts: DataFrame, zones: DataFrame) -> DataFrame:
+def with_dropoff_zone(facts: DataFrame, zones: DataFrame, row_bound: int | None = None) -> DataFrame:
     return attach(
         facts,
         zones,
         keys={"zone_id": facts.dropoff_location_id},
         columns={"zone_id": "dropoff_zone_id", "zone_name": "dropoff_zone_name", "borough": "dropoff_borough"},
+        row_bound=row_bound,
     )
 
 
@@ -75,8 +77,9 @@ def fact_taxi_trips(
     which moves the trips."""
     facts = with_dates(trips, dates, F.to_date(trips.pickup_datetime), "pickup", as_of)
     facts = with_hours(facts, hours)
-    facts = with_pickup_zone(facts, zones)
-    facts = with_dropoff_zone(facts, zones)
+    zone_rows = zones.count()  # one count for both roles
+    facts = with_pickup_zone(facts, zones, zone_rows)
+    facts = with_dropoff_zone(facts, zones, zone_rows)
     facts = with_weather(facts, weather, F.to_date(facts.pickup_datetime), TRIP_WEATHER)
     key = trip_key(facts.service_type, facts.pickup_datetime, facts.pickup_location_id, facts.dropoff_location_id)
     return facts.select(

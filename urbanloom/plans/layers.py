@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import reduce
 
@@ -25,6 +26,7 @@ FEEDS = (
     "taxi_zone_lookup",
 )
 STAMP = "loaded_at"
+THREADS = 4
 
 
 def run(
@@ -44,45 +46,51 @@ def run(
         models[name] = materialize(df, name, layer, env, root)
         return models[name]
 
-    yellow = build(
-        "staging", "stg_yellow_taxi_trips",
-        staging.stg_yellow(raw["raw_yellow_axi_vehicule_trips"], as_of, STAMP),
+    def build_side_by_side(layer: str, plans: dict[str, DataFrame]) -> list[DataFrame]:
+        """Independent models as concurrent jobs of one session."""
+        with ThreadPoolExecutor(THREADS) as pool:
+            return list(pool.map(lambda item: build(layer, *item), plans.items()))
+
+    yellow, high_volume, for_hire, speeds, days, complaints = build_side_by_side(
+        "staging",
+        {
+            "stg_yellow_taxi_trips": staging.stg_yellow(raw["raw_yellow_axi_vehicule_trips"], as_of, STAMP),
+            "stg_high_volume_vehicule_trips": staging.stg_hvfhv(raw["raw_high_volume_vehicule_trips"], as_of, STAMP),
+            "stg_for_hire_vehicule_trips": staging.stg_fhv(raw["raw_for_hire_vehicule_trips"], STAMP),
+            "stg_traffic_speed": staging.stg_traffic_speed(raw["raw_traffic_speed"], as_of, STAMP),
+            "stg_weather": staging.stg_weather(raw["raw_weather"], as_of, loaded_at=STAMP),
+            "stg_311_requests": staging.stg_311(raw["raw_311_requests"], STAMP),
+        },
     )
-    high_volume = build(
-        "staging", "stg_high_volume_vehicule_trips",
-        staging.stg_hvfhv(raw["raw_high_volume_vehicule_trips"], as_of, STAMP),
-    )
-    for_hire = build(
-        "staging", "stg_for_hire_vehicule_trips", staging.stg_fhv(raw["raw_for_hire_vehicule_trips"], STAMP)
-    )
-    speeds = build(
-        "staging", "stg_traffic_speed", staging.stg_traffic_speed(raw["raw_traffic_speed"], as_of, STAMP)
-    )
-    days = build("staging", "stg_weather", staging.stg_weather(raw["raw_weather"], as_of, loaded_at=STAMP))
-    complaints = build("staging", "stg_311_requests", staging.stg_311(raw["raw_311_requests"], STAMP))
     zones = raw["taxi_zone_lookup"]
 
-    enriched = build(
-        "intermediate", "int_trips_enriched", trips.int_trips_enriched(yellow, high_volume, for_hire, days)
+    enriched, hourly, by_zone, performance = build_side_by_side(
+        "intermediate",
+        {
+            "int_trips_enriched": trips.int_trips_enriched(yellow, high_volume, for_hire, days),
+            "int_traffic_hourly_avg": traffic.int_traffic_hourly_avg(speeds),
+            "int_311_by_zone_daily": requests.int_311_by_zone_daily(complaints),
+            "int_311_resolution_performance": requests.int_311_resolution_performance(complaints, as_of),
+        },
     )
-    hourly = build("intermediate", "int_traffic_hourly_avg", traffic.int_traffic_hourly_avg(speeds))
-    matched = build(
-        "intermediate", "int_trips_with_traffic", trips.int_trips_with_traffic(enriched, zones, hourly)
+    matched, _, _ = build_side_by_side(
+        "intermediate",
+        {
+            "int_trips_with_traffic": trips.int_trips_with_traffic(enriched, zones, hourly),
+            "int_taxi_demand_hourly": trips.int_taxi_demand_hourly(enriched),
+            "int_weather_impact_daily": weather.int_weather_impact_daily(days, enriched, hourly, by_zone),
+        },
     )
-    build("intermediate", "int_taxi_demand_hourly", trips.int_taxi_demand_hourly(enriched))
-    by_zone = build("intermediate", "int_311_by_zone_daily", requests.int_311_by_zone_daily(complaints))
-    performance = build(
-        "intermediate", "int_311_resolution_performance", requests.int_311_resolution_performance(complaints, as_of)
+    dates, hours, dim_zones, dim_weather, _ = build_side_by_side(
+        "marts",
+        {
+            "dim_dates": dimensions.dim_dates(spark, as_of),
+            "dim_hours": dimensions.dim_hours(spark),
+            "dim_zones": dimensions.dim_zones(zones),
+            "dim_weather": weather.dim_weather(days),
+            "fact_311_performance_monthly": facts.fact_311_performance_monthly(performance),
+        },
     )
-    build(
-        "intermediate", "int_weather_impact_daily",
-        weather.int_weather_impact_daily(days, enriched, hourly, by_zone),
-    )
-
-    dates = build("marts", "dim_dates", dimensions.dim_dates(spark, as_of))
-    hours = build("marts", "dim_hours", dimensions.dim_hours(spark))
-    dim_zones = build("marts", "dim_zones", dimensions.dim_zones(zones))
-    dim_weather = build("marts", "dim_weather", weather.dim_weather(days))
     fact_path = f"{root}/marts/fact_taxi_trips"
     facts.load_fact_taxi_trips(
         facts.fact_taxi_trips(matched, dates, hours, dim_zones, dim_weather, as_of), fact_path
@@ -92,7 +100,6 @@ def run(
         "marts", "fact_311_complaints_daily",
         facts.fact_311_complaints_daily(by_zone, dates, dim_weather, as_of),
     )
-    build("marts", "fact_311_performance_monthly", facts.fact_311_performance_monthly(performance))
     return models
 
 

@@ -26,6 +26,12 @@ def without_zone(schema: T.StructType) -> T.StructType:
     )
 
 
+def as_text(schema: T.StructType) -> T.StructType:
+    """The schema with every column as text, for feeds that quote their numbers;
+    staging casts the columns."""
+    return T.StructType([T.StructField(field.name, T.StringType()) for field in schema.fields])
+
+
 TRAFFIC_SPEED = columns(
     "link_id string, transcom_id string, link_name string, borough string, owner string, data_as_of timestamp, "
     "speed double, travel_time long, status long, link_points string, encoded_poly_line string"

@@ -14,7 +14,7 @@ PARTITION_KEYS = {
     "daily": ("year", "month"),
     "hourly": ("year", "month", "days"),
 }
-FILE_STAMP = {"yearly": "%Y", "monthly": "%Y%m", "weekly": "%G_W%V", "daily": "%Y%m%d", "hourly": "%Y%m%d_%H%M"}
+FILE_STAMP = {"yearly": "%Y", "monthly": "%Y%m", "weekly": "%Y_W%V", "daily": "%Y%m%d", "hourly": "%Y%m%d_%H%M"}
 EXTENSIONS = ("json", "csv", "parquet")
 KEY_FORMAT = {"year": ("%Y", "yyyy"), "month": ("%m", "MM"), "days": ("%d", "dd")}
 
@@ -26,10 +26,7 @@ def landing_path(moment: datetime, source: str, frequency: str, extension: str)
     if extension not in EXTENSIONS:
         raise ValueError(f"unknown extension {extension!r}; known: {list(EXTENSIONS)}")
     folders = "/".join(f"{key}={moment.strftime(KEY_FORMAT[key][0])}" for key in PARTITION_KEYS[frequency])
-    stamp = moment.strftime(FILE_STAMP[frequency])
-    if frequency == "weekly":  # calendar year with ISO week number
-        stamp = f"{moment.year}_W{moment.isocalendar()[1]:02d}"
-    return f"raw/{source}/{folders}/{source}_{stamp}.{extension}"
+    return f"raw/{source}/{folders}/{source}_{moment.strftime(FILE_STAMP[frequency])}.{extension}"
 
 
 def land(df: DataFrame, root: str, source: str, column: str, frequency: str, extension: str = "parquet") -> str:

@@ -65,12 +65,14 @@ def labels_of(df, name):
 
 
 def hits(rows, name, schema, base, cases):
-    """Label found for one change of a good row at a time."""
+    """Labels found for one change of a good row at a time."""
     names = [part.split()[0] for part in schema.split(",")]
-    found = {}
-    for label, change in cases.items():
-        df = rows(schema, tuple({**base, **change}[column] for column in names))
-        found[label] = labels_of(df, name)
+    changed = [tuple({**base, **change}[column] for column in names) + (case,) for case, change in cases.items()]
+    df = rows(schema + ", case_name string", *changed)
+    found = {case: [] for case in cases}
+    labelled = quality.label_errors(df, LABELS[name], ("case_name",), NOW)
+    for case, label in values(labelled, "case_name", "error_type"):
+        found[case].append(label)
     return found
 
 

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from urbanloom.functions import clock, flags, keys, labels, measures
-from urbanloom.plans import dimensions, facts, requests, staging, traffic, trips, weather
+from urbanloom.plans import dimensions, requests, staging, traffic, trips, weather
 
 from . import models
 from .catalog import query

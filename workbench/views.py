@@ -140,7 +140,7 @@ def definitions(d) -> dict[str, str]:
                    cast((user_id * 7 + event_id) % 268 as double) + cast(event_id % 2 as double) / 2 as DOlocationID
             from {events} where event_type not in ('view', 'click', 'purchase')""",
         "raw_weather": f"""
-            select case when dd <> 21 then 'USW00094728' end as STATION, d as DATE,
+            select case when dd <> 21 then 'STATION-1' end as STATION, d as DATE,
                    case when dd = 23 then (dd * 17) % 250 - 50 + dd * 8
                         when dd <> 13 then (dd * 17) % 250 - 120 end as TMIN,
                    (dd * 17) % 250 - 60 + dd * 8 as TMAX,
@@ -152,7 +152,7 @@ def definitions(d) -> dict[str, str]:
                    case when event_id % 113 <> 0 then 'T' || cast(user_id as {d.text}) end as transcom_id,
                    case when event_id % 127 <> 0 then 'Link ' || cast(user_id as {d.text}) end as link_name,
                    case when event_id % 137 = 0 then 'Hoboken' when event_id % 131 <> 0 then {BOROUGH} end as borough,
-                   case when event_id % 2 = 0 then 'MTA' else 'NYC_DOT_LIC' end as owner,
+                   case when event_id % 2 = 0 then 'MTA' else 'DOT' end as owner,
                    case when event_id % 139 <> 0 then ts end as data_as_of,
                    case when event_id % 149 <> 0 then value / 3 end as speed,
                    case when event_id % 151 <> 0 then 1 + (event_id * 13) % 8000 end as travel_time,

@@ -35,14 +35,14 @@ class Bands:
     length are too short for a verdict and pass."""
 
     rows: tuple[tuple[int, float, float], ...] = (
-        (150, 1.0, 1.95),
-        (400, 1.2, 2.15),
-        (800, 1.35, 2.25),
-        (1_300, 1.5, 2.36),
-        (2_500, 1.6, 2.46),
-        (5_000, 1.7, 2.6),
-        (10_000, 1.8, 2.75),
-        (32_000, 1.85, 3.0),
+        (150, 1.0, 1.87),
+        (400, 1.2, 2.05),
+        (800, 1.35, 2.17),
+        (1_300, 1.5, 2.28),
+        (2_500, 1.6, 2.4),
+        (5_000, 1.7, 2.5),
+        (10_000, 1.8, 2.62),
+        (32_000, 1.85, 2.72),
     )
     chunk_bytes: int = 4_096
     chunk_band: tuple[float, float] = (1.45, 2.7)

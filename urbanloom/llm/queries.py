@@ -8,10 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, mixing, quality_rules, token_files, warc
+from . import byte_bpe, line_dedup, lsh_forest, mixing, quality_rules, token_files, warc
 from .common import table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.without_repeats(documents, counts=True)
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = token_files.token_files(
         table(spark, sf_dir, "documents"),
@@ -41,16 +46,22 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op9_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.archived(table(spark, sf_dir, "pages"), with_payload=False)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "verified")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_token_files": op2_token_files,
     "op3_mixing": op3_mixing,
     "op4_byte_bpe": op4_byte_bpe,
     "op6_quality_rules": op6_quality_rules,
+    "op9_lsh_forest": op9_lsh_forest,
     "op10_warc": op10_warc,
 }
 

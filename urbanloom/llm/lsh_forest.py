@@ -8,7 +8,10 @@
    density asks for, until it falls apart or the signature ends. What a region holds is
    only counted, joined and compared with its centre, never gathered.
 3. First each class is compared with the centre of its regions, a linear number of pairs.
-   After that come the pairs of small regions whose classes are not connected yet.
+   After that come the pairs of small regions whose classes are not connected yet, then,
+   in large regions, the classes outside the region's main component against all others
+   that they are not connected with. So no link is lost to the size of a region, and
+   what a dense group has connected already is not compared again.
 4. Pairs whose signatures agree in too few places are left out (five standard deviations
    below the limit); all others are confirmed on the full sets.
 5. Components by alternating stars.
@@ -36,7 +39,7 @@ from .common import named, stored, text_or_empty
 from .components import components
 from .memory import Recent
 
-TREES, STEP, FIRST, LEAF = 16, 8, 3, 16
+TREES, STEP, FIRST, LEAF = 16, 8, 3, 32
 WIDTH = TREES * STEP
 #: Depths at which large regions are counted again.
 DEPTHS = (FIRST, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, WIDTH)
@@ -137,9 +140,10 @@ def _regions(classes: DataFrame, depth: int, within: DataFrame | None) -> DataFr
     return keyed.join(counts.select("region", "n", F.col("draw.c").alias("centre")), "region")
 
 
-def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) of each class with a centre, and rows (region, class) of small regions."""
-    within, centres, leaves = None, None, None
+def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Pairs (a, b) of each class with a centre, rows (region, class) of small regions, and
+    those of the large regions at the first depth."""
+    within, centres, leaves, large = None, None, None, None
     for depth in DEPTHS:
         regions = stored(_regions(classes, depth, within), "forest-regions")
         near = regions.filter(F.col("class") != F.col("centre")).select(
@@ -149,9 +153,33 @@ def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
         centres = near if centres is None else centres.unionByName(near)
         leaves = leaf if leaves is None else leaves.unionByName(leaf)
         within = regions.filter(F.col("n") > LEAF).select("tree", "class")
+        large = regions.filter(F.col("n") > LEAF).select("region", "class") if large is None else large
         if within.isEmpty():
             break
-    return stored(centres.distinct(), "forest-centres"), leaves
+    return stored(centres.distinct(), "forest-centres"), leaves, large
+
+
+def _labelled(rows: DataFrame, joined: DataFrame) -> DataFrame:
+    """``rows`` (region, class) with the component each class is in so far."""
+    return rows.join(joined.withColumnRenamed("node", "class"), "class", "left").select(
+        "region", "class", F.coalesce("component", "class").alias("in")
+    )
+
+
+def _apart(some: DataFrame, rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of ``some`` and ``rows`` within a region that are not connected yet."""
+    one = some.withColumnRenamed("class", "x")
+    two = rows.withColumnsRenamed({"class": "y", "in": "other"})
+    pairs = one.join(two, (one["region"] == two["region"]) & (F.col("in") != F.col("other")))
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def _stragglers(rows: DataFrame) -> DataFrame:
+    """The rows outside the most frequent component of their region."""
+    sizes = rows.groupBy("region", "in").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("region").agg(F.max(F.struct("n", "in")).alias("most"), F.count("*").alias("k"))
+    split = main.filter(F.col("k") > 1).select("region", F.col("most.in").alias("main"))
+    return rows.join(split, "region").filter(F.col("in") != F.col("main")).select("region", "class", "in")
 
 
 def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -179,7 +207,8 @@ def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: in
 
 def _sets(docs: DataFrame, wanted: DataFrame, *, words: int, id_col: str, text_col: str) -> DataFrame:
     """(class, members) of the documents in ``wanted`` (id, class): full sets, made anew."""
-    source = docs.select(named(id_col).alias("id"), text_or_empty(text_col).alias("text")).join(wanted, "id")
+    texts = docs.select(named(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+    source = texts.join(wanted.withColumnRenamed("id", "of"), F.col("id").eqNullSafe(F.col("of")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -205,25 +234,22 @@ def near_duplicates(
         owners.withColumnRenamed("class", "of"), (F.col("class") == F.col("of")) & F.col("id").eqNullSafe(F.col("owner"))
     )
     classes = stored(signed.select("class", "signature").dropDuplicates(["class"]), "forest-owners")
-    centres, leaves = candidates(classes)
-    members = leaves.select("class").union(centres.select("a")).union(centres.select("b")).distinct()
+    centres, leaves, large = candidates(classes)
+    members = leaves.select("class").union(large.select("class")).distinct()
     wanted = owners.join(members, "class", "left_semi").select(F.col("owner").alias("id"), "class")
     sets = stored(
         _sets(docs, wanted, words=words, id_col=id_col, text_col=text_col).dropDuplicates(["class"]), "forest-sets"
     )
     links = confirmed(centres, classes, sets, percent)
+    placed = _labelled(leaves, components(links, "a", "b"))
+    links = links.unionByName(confirmed(_apart(placed, placed), classes, sets, percent))
     joined = components(links, "a", "b")
-    placed = leaves.join(joined.withColumnsRenamed({"node": "class"}), "class", "left").select(
-        "region", "class", F.coalesce("component", "class").alias("in")
-    )
-    other = placed.withColumnsRenamed({"class": "b", "in": "other"})
-    rest = (
-        placed.withColumnRenamed("class", "a").join(other, "region")
-        .filter((F.col("a") < F.col("b")) & (F.col("in") != F.col("other")))
-        .select("a", "b").distinct().join(centres, ["a", "b"], "left_anti")
-    )
-    links = links.unionByName(confirmed(rest, classes, sets, percent))
-    joined = components(links, "a", "b").withColumnRenamed("node", "class")
+    dense = stored(_labelled(large, joined), "forest-dense")
+    loose = stored(_stragglers(dense), "forest-stragglers")
+    if not loose.isEmpty():
+        links = links.unionByName(confirmed(_apart(loose, dense), classes, sets, percent))
+        joined = components(links, "a", "b")
+    joined = joined.withColumnRenamed("node", "class")
     owned = owners.join(joined, "class", "left").withColumn("component", F.coalesce("component", "class"))
     heads = owned.groupBy("component").agg(F.min("owner").alias("component_id"))
     labels = owned.join(heads, "component").select("class", "component_id")

@@ -8,9 +8,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, line_dedup, lsh_forest, mixing, quality_rules, token_files, warc
+from . import (
+    byte_bpe,
+    cover_tree,
+    line_dedup,
+    lsh_forest,
+    mixing,
+    quality_model,
+    quality_rules,
+    surrogates,
+    token_files,
+    warc,
+)
 from .common import table
 
+#: The key of the registered query; a real run takes its own from a secret store.
+SURROGATE_KEY = "registered-query"
+
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -42,10 +56,30 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op5_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_model.scored(documents, labels, ~held_out).select(
+        F.col("id").alias("doc_id"),
+        F.coalesce(F.crc32(F.col("id").cast("string").cast("binary")) % 3 == 1, F.lit(False)).alias("held_out"),
+        "score",
+        "predicted",
+    )
+
+
+def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replaced(documents, key=SURROGATE_KEY, counts=True)
+
+
 def op9_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
@@ -60,9 +94,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_files": op2_token_files,
     "op3_mixing": op3_mixing,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_cover_tree": op5_cover_tree,
     "op6_quality_rules": op6_quality_rules,
+    "op7_quality_model": op7_quality_model,
+    "op8_surrogates": op8_surrogates,
     "op9_lsh_forest": op9_lsh_forest,
     "op10_warc": op10_warc,
 }
 
 ORACLES: dict[str, str] = {}
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline; its module lies beside the driver contract."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES["pipeline"] = pipeline

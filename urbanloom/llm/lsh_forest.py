@@ -12,8 +12,9 @@
    in large regions, the classes outside the region's main component against all others
    that they are not connected with. So no link is lost to the size of a region, and
    what a dense group has connected already is not compared again.
-4. Pairs whose signatures agree in too few places are left out (five standard deviations
-   below the limit); all others are confirmed on the full sets.
+4. Rows of regions carry the set's size and one bit of each minimum. Pairs whose sizes rule
+   the limit out, or whose bits agree in too few places (five standard deviations below the
+   limit), are left out in the join; all others are confirmed on the full sets.
 5. Components by alternating stars.
 
 Similarity is intersection over union of full sets, limit ``percent`` of 100. Words are
@@ -31,7 +32,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,20 +98,23 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, *, words: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, n_shingles, class, signature); class is a 128-bit digest of the set, null if empty."""
+    """(id, n_shingles, class, signature, b0, b1); class is a 128-bit digest of the set, null
+    if empty; b0 and b1 hold the lowest bits of the signature."""
     source = docs.select(named(id_col).alias("id"), text_or_empty(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, keys, rows = [], [], []
-            for text in batch.column(1):
+            sizes, keys, rows, bits = [], [], [], np.zeros((batch.num_rows, 2), dtype=np.int64)
+            for k, text in enumerate(batch.column(1)):
                 found = shingle_set(text.as_py(), words)
                 sizes.append(len(found))
                 keys.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
                 rows.append(signature(found) if len(found) else None)
+                if len(found):
+                    bits[k] = np.packbits((rows[-1] & 1).astype(bool)).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(rows, pa.list_(pa.int32()))],
-                names=["id", "n_shingles", "class", "signature"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(rows, pa.list_(pa.int32())), pa.array(bits[:, 0]), pa.array(bits[:, 1])],
+                names=["id", "n_shingles", "class", "signature", "b0", "b1"],
             )
 
     schema = T.StructType(
@@ -119,41 +123,60 @@ def signatures(docs: DataFrame, *, words: int, id_col: str, text_col: str) -> Da
             T.StructField("n_shingles", T.LongType()),
             T.StructField("class", T.BinaryType()),
             T.StructField("signature", T.ArrayType(T.IntegerType())),
+            T.StructField("b0", T.LongType()),
+            T.StructField("b1", T.LongType()),
         ]
     )
     return source.mapInArrow(run, schema)
 
 
-def _regions(classes: DataFrame, depth: int, within: DataFrame | None) -> DataFrame:
-    """(region, class, n, centre): classes in regions of two or more at ``depth``; of all
-    trees, or of the (tree, class) rows ``within``. The centre is drawn by hash."""
+_SKETCH = ("size", "b0", "b1")
+
+
+def _alike(x: str, y: str, percent: int) -> Column:
+    """Sizes and bits of ``x`` and ``y`` allow the limit. A bit of two minima agrees with
+    probability (1 + similarity) / 2."""
+    size, other = F.col(f"{x}size"), F.col(f"{y}size")
+    agree = (1 + percent / 100) / 2
+    most = WIDTH * (1 - agree) + 5 * (WIDTH * agree * (1 - agree)) ** 0.5
+    apart = F.bit_count(F.col(f"{x}b0").bitwiseXOR(F.col(f"{y}b0"))) + F.bit_count(F.col(f"{x}b1").bitwiseXOR(F.col(f"{y}b1")))
+    return (100 * F.least(size, other) >= percent * F.greatest(size, other)) & (apart <= most)
+
+
+def _regions(classes: DataFrame, depth: int, within: DataFrame | None, percent: int) -> DataFrame:
+    """(region, tree, class, sketch, n, centre): classes in regions of two or more at
+    ``depth``; of all trees, or of the (tree, class) rows ``within``. The centre is drawn
+    by hash and null for itself and for classes that cannot be similar to it."""
     if within is None:
-        placed = classes.select("class", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
+        placed = classes.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))))
     else:
         placed = within.join(classes, "class")
     start = F.col("tree") * STEP
     tail = F.slice("signature", start + 1, F.lit(depth))
     wrapped = F.slice("signature", F.lit(1), F.greatest(start + depth - WIDTH, F.lit(0)))
-    keyed = placed.select("class", "tree", F.xxhash64("tree", F.concat(tail, wrapped)).alias("region"))
-    drawn = keyed.withColumn("draw", F.struct(F.xxhash64("class").alias("h"), F.col("class").alias("c")))
-    counts = drawn.groupBy("region").agg(F.count("*").alias("n"), F.min("draw").alias("draw")).filter(F.col("n") > 1)
-    return keyed.join(counts.select("region", "n", F.col("draw.c").alias("centre")), "region")
+    keyed = placed.select("class", "tree", *_SKETCH, F.xxhash64("tree", F.concat(tail, wrapped)).alias("region"))
+    draw = F.struct(F.xxhash64("class").alias("h"), F.col("class").alias("c"), *_SKETCH)
+    counts = keyed.groupBy("region").agg(F.count("*").alias("n"), F.min(draw).alias("centre")).filter(F.col("n") > 1)
+    close = (F.col("class") != F.col("centre.c")) & _alike("", "centre.", percent)
+    return keyed.join(counts, "region").select(
+        "region", "tree", "class", *_SKETCH, "n", F.when(close, F.col("centre.c")).alias("centre")
+    )
 
 
-def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def candidates(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Pairs (a, b) of each class with a centre, rows (region, class) of small regions, and
     those of the large regions at the first depth."""
     within, centres, leaves, large = None, None, None, None
     for depth in DEPTHS:
-        regions = stored(_regions(classes, depth, within), "forest-regions")
-        near = regions.filter(F.col("class") != F.col("centre")).select(
+        regions = stored(_regions(classes, depth, within, percent), "forest-regions")
+        near = regions.filter(F.col("centre").isNotNull()).select(
             F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")
         )
-        leaf = regions.filter(F.col("n") <= LEAF).select("region", "class")
+        leaf = regions.filter(F.col("n") <= LEAF).select("region", "class", *_SKETCH)
         centres = near if centres is None else centres.unionByName(near)
         leaves = leaf if leaves is None else leaves.unionByName(leaf)
         within = regions.filter(F.col("n") > LEAF).select("tree", "class")
-        large = regions.filter(F.col("n") > LEAF).select("region", "class") if large is None else large
+        large = regions.filter(F.col("n") > LEAF).select("region", "class", *_SKETCH) if large is None else large
         if within.isEmpty():
             break
     return stored(centres.distinct(), "forest-centres"), leaves, large
@@ -162,15 +185,17 @@ def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 def _labelled(rows: DataFrame, joined: DataFrame) -> DataFrame:
     """``rows`` (region, class) with the component each class is in so far."""
     return rows.join(joined.withColumnRenamed("node", "class"), "class", "left").select(
-        "region", "class", F.coalesce("component", "class").alias("in")
+        "region", "class", *_SKETCH, F.coalesce("component", "class").alias("in")
     )
 
 
-def _apart(some: DataFrame, rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) of ``some`` and ``rows`` within a region that are not connected yet."""
-    one = some.withColumnRenamed("class", "x")
-    two = rows.withColumnsRenamed({"class": "y", "in": "other"})
-    pairs = one.join(two, (one["region"] == two["region"]) & (F.col("in") != F.col("other")))
+def _apart(some: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of ``some`` and ``rows`` within a region that may be similar and are not
+    connected yet."""
+    one = some.select("region", F.col("class").alias("x"), "in", *(F.col(c).alias(f"x{c}") for c in _SKETCH))
+    two = rows.select(F.col("region").alias("at"), F.col("class").alias("y"), F.col("in").alias("other"), *(F.col(c).alias(f"y{c}") for c in _SKETCH))
+    open_ = (F.col("region") == F.col("at")) & (F.col("in") != F.col("other")) & _alike("x", "y", percent)
+    pairs = one.join(two, open_)
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
@@ -179,16 +204,11 @@ def _stragglers(rows: DataFrame) -> DataFrame:
     sizes = rows.groupBy("region", "in").agg(F.count("*").alias("n"))
     main = sizes.groupBy("region").agg(F.max(F.struct("n", "in")).alias("most"), F.count("*").alias("k"))
     split = main.filter(F.col("k") > 1).select("region", F.col("most.in").alias("main"))
-    return rows.join(split, "region").filter(F.col("in") != F.col("main")).select("region", "class", "in")
+    return rows.join(split, "region").filter(F.col("in") != F.col("main")).select("region", "class", "in", *_SKETCH)
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough."""
-    least = WIDTH * percent / 100 - 5 * (WIDTH * percent * (100 - percent)) ** 0.5 / 100
-    one = classes.select(F.col("class").alias("a"), F.col("signature").alias("sa"))
-    two = classes.select(F.col("class").alias("b"), F.col("signature").alias("sb"))
-    agree = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
-    likely = stored(pairs.join(one, "a").join(two, "b").filter(agree >= least).select("a", "b"), "forest-likely")
     left = sets.select(F.col("class").alias("a"), F.col("members").alias("ma"))
     right = sets.select(F.col("class").alias("b"), F.col("members").alias("mb"))
 
@@ -201,7 +221,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: in
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    joined = likely.join(left, "a").join(right, "b").select("a", "b", "ma", "mb")
+    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "ma", "mb")
     return stored(joined.mapInArrow(check, "a binary, b binary"), "forest-links")
 
 
@@ -230,24 +250,24 @@ def near_duplicates(
     found = stored(signatures(docs, words=words, id_col=id_col, text_col=text_col), "forest-signatures")
     full = found.filter(F.col("class").isNotNull())
     owners = stored(full.groupBy("class").agg(F.min("id").alias("owner")), "forest-classes")
-    signed = full.select("id", "class", "signature").join(
+    signed = full.select("id", "class", "signature", F.col("n_shingles").alias("size"), "b0", "b1").join(
         owners.withColumnRenamed("class", "of"), (F.col("class") == F.col("of")) & F.col("id").eqNullSafe(F.col("owner"))
     )
-    classes = stored(signed.select("class", "signature").dropDuplicates(["class"]), "forest-owners")
-    centres, leaves, large = candidates(classes)
+    classes = stored(signed.select("class", "signature", *_SKETCH).dropDuplicates(["class"]), "forest-owners")
+    centres, leaves, large = candidates(classes, percent)
     members = leaves.select("class").union(large.select("class")).distinct()
     wanted = owners.join(members, "class", "left_semi").select(F.col("owner").alias("id"), "class")
     sets = stored(
         _sets(docs, wanted, words=words, id_col=id_col, text_col=text_col).dropDuplicates(["class"]), "forest-sets"
     )
-    links = confirmed(centres, classes, sets, percent)
+    links = confirmed(centres, sets, percent)
     placed = _labelled(leaves, components(links, "a", "b"))
-    links = links.unionByName(confirmed(_apart(placed, placed), classes, sets, percent))
+    links = links.unionByName(confirmed(_apart(placed, placed, percent), sets, percent))
     joined = components(links, "a", "b")
     dense = stored(_labelled(large, joined), "forest-dense")
     loose = stored(_stragglers(dense), "forest-stragglers")
     if not loose.isEmpty():
-        links = links.unionByName(confirmed(_apart(loose, dense), classes, sets, percent))
+        links = links.unionByName(confirmed(_apart(loose, dense, percent), sets, percent))
         joined = components(links, "a", "b")
     joined = joined.withColumnRenamed("node", "class")
     owned = owners.join(joined, "class", "left").withColumn("component", F.coalesce("component", "class"))

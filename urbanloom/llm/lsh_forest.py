@@ -8,10 +8,12 @@
    density asks for, until it falls apart or the signature ends. What a region holds is
    only counted, joined and compared with its centre, never gathered.
 3. First each class is compared with the centre of its regions, a linear number of pairs.
-   After that come the pairs of small regions whose classes are not connected yet, then,
-   in large regions, the classes outside the region's main component against all others
-   that they are not connected with. So no link is lost to the size of a region, and
-   what a dense group has connected already is not compared again.
+   After that come the pairs of small regions whose classes are not connected yet. Large
+   regions that overlap form a dense group; where a group is not one component by then, the
+   classes outside its main component are compared with all others they are not connected
+   with, block by block: a task holds two blocks of BLOCK sets and returns links only. So
+   no link is lost to the size of a region. This last step grows with the square of a dense
+   group whose members are alike but mostly below the limit; a connected group costs nothing.
 4. Rows of regions carry the set's size and one bit of each minimum. Pairs whose sizes rule
    the limit out, or whose bits agree in too few places (five standard deviations below the
    limit), are left out in the join; all others are confirmed on the full sets.
@@ -40,7 +42,7 @@ from .common import named, stored, text_or_empty
 from .components import components
 from .memory import Recent
 
-TREES, STEP, FIRST, LEAF = 16, 8, 3, 32
+TREES, STEP, FIRST, LEAF, BLOCK = 16, 8, 3, 32, 256
 WIDTH = TREES * STEP
 #: Depths at which large regions are counted again.
 DEPTHS = (FIRST, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, WIDTH)
@@ -189,22 +191,79 @@ def _labelled(rows: DataFrame, joined: DataFrame) -> DataFrame:
     )
 
 
-def _apart(some: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of ``some`` and ``rows`` within a region that may be similar and are not
-    connected yet."""
-    one = some.select("region", F.col("class").alias("x"), "in", *(F.col(c).alias(f"x{c}") for c in _SKETCH))
+def _apart(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) within a small region that may be similar and are not connected yet."""
+    one = rows.select("region", F.col("class").alias("x"), "in", *(F.col(c).alias(f"x{c}") for c in _SKETCH))
     two = rows.select(F.col("region").alias("at"), F.col("class").alias("y"), F.col("in").alias("other"), *(F.col(c).alias(f"y{c}") for c in _SKETCH))
-    open_ = (F.col("region") == F.col("at")) & (F.col("in") != F.col("other")) & _alike("x", "y", percent)
+    open_ = (F.col("region") == F.col("at")) & (F.col("x") < F.col("y")) & (F.col("in") != F.col("other")) & _alike("x", "y", percent)
     pairs = one.join(two, open_)
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-
+    return pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+
+
+def _dense_groups(large: DataFrame) -> DataFrame:
+    """(class, group) for classes in large regions; regions that share a class share a group."""
+    heads = large.groupBy("region").agg(F.min("class").alias("head"))
+    joined = components(large.join(heads, "region").select("class", "head"), "class", "head")
+    known = large.select("class").distinct().join(joined.withColumnRenamed("node", "class"), "class", "left")
+    return known.select("class", F.coalesce("component", "class").alias("group"))
+
+
+def _block_links(large: DataFrame, joined: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of the classes outside the main component of their dense group."""
+    groups = stored(_dense_groups(large), "forest-groups")
+    rows = groups.join(joined.withColumnRenamed("node", "class"), "class", "left").withColumn("in", F.coalesce("component", "class"))
+    sizes = rows.groupBy("group", "in").agg(F.count("*").alias("n"))
+    main = (
+        sizes.groupBy("group")
+        .agg(F.max(F.struct("n", "in")).alias("most"), F.sum("n").alias("total"), F.count("*").alias("k"))
+        .filter(F.col("k") > 1)
+        .select("group", F.col("most.in").alias("main"), F.ceil(F.col("total") / BLOCK).cast("int").alias("blocks"))
+    )
+    sketches = large.select("class", *_SKETCH).dropDuplicates(["class"])
+    open_ = (
+        rows.join(main, "group")
+        .join(sketches, "class")
+        .join(sets, "class")
+        .withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            "group", F.least("block", "other").alias("b1st"), F.greatest("block", "other").alias("b2nd"), "block",
+            "class", "in", (F.col("in") != F.col("main")).alias("loose"), *_SKETCH, "members",
+        )
+    )
+    agree = (1 + percent / 100) / 2
+    most = WIDTH * (1 - agree) + 5 * (WIDTH * agree * (1 - agree)) ** 0.5
 
-def _stragglers(rows: DataFrame) -> DataFrame:
-    """The rows outside the most frequent component of their region."""
-    sizes = rows.groupBy("region", "in").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("region").agg(F.max(F.struct("n", "in")).alias("most"), F.count("*").alias("k"))
-    split = main.filter(F.col("k") > 1).select("region", F.col("most.in").alias("main"))
-    return rows.join(split, "region").filter(F.col("in") != F.col("main")).select("region", "class", "in", *_SKETCH)
+    def compare(key: tuple, rows: pa.Table) -> pa.Table:
+        classes, inside = rows.column("class").to_pylist(), rows.column("in").to_pylist()
+        block, loose, size = (rows.column(c).to_numpy() for c in ("block", "loose", "size"))
+        bits = np.stack([rows.column(c).to_numpy() for c in ("b0", "b1")], axis=1).view(np.uint64)
+        members = [np.frombuffer(x, dtype="<u8") for x in rows.column("members").to_pylist()]
+        names = {name: i for i, name in enumerate(dict.fromkeys(inside))}
+        parent = list(range(len(names)))
+
+        def root(i: int) -> int:
+            while parent[i] != i:
+                parent[i] = parent[parent[i]]
+                i = parent[i]
+            return i
+
+        own = [names[name] for name in inside]
+        found = []
+        for i in range(len(classes)):
+            later = np.arange(len(classes)) > i if key[1] == key[2] else (block != block[i]) & (block > block[i])
+            fit = later & (loose | loose[i]) & (100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i]))
+            fit &= np.bitwise_count(bits ^ bits[i]).sum(axis=1) <= most
+            for j in np.flatnonzero(fit).tolist():
+                x, y = root(own[i]), root(own[j])
+                if x != y:
+                    both = len(np.intersect1d(members[i], members[j], assume_unique=True))
+                    if 100 * both >= percent * (len(members[i]) + len(members[j]) - both):
+                        parent[x] = y
+                        found.append((min(classes[i], classes[j]), max(classes[i], classes[j])))
+        return pa.table({"a": pa.array([a for a, _ in found], pa.binary()), "b": pa.array([b for _, b in found], pa.binary())})
+
+    return stored(open_.groupBy("group", "b1st", "b2nd").applyInArrow(compare, "a binary, b binary"), "forest-block-links")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -262,13 +321,10 @@ def near_duplicates(
     )
     links = confirmed(centres, sets, percent)
     placed = _labelled(leaves, components(links, "a", "b"))
-    links = links.unionByName(confirmed(_apart(placed, placed, percent), sets, percent))
+    links = links.unionByName(confirmed(_apart(placed, percent), sets, percent))
+    joined = components(links, "a", "b")
+    links = links.unionByName(_block_links(large, joined, sets, percent))
     joined = components(links, "a", "b")
-    dense = stored(_labelled(large, joined), "forest-dense")
-    loose = stored(_stragglers(dense), "forest-stragglers")
-    if not loose.isEmpty():
-        links = links.unionByName(confirmed(_apart(loose, dense, percent), sets, percent))
-        joined = components(links, "a", "b")
     joined = joined.withColumnRenamed("node", "class")
     owned = owners.join(joined, "class", "left").withColumn("component", F.coalesce("component", "class"))
     heads = owned.groupBy("component").agg(F.min("owner").alias("component_id"))

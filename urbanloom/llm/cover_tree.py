@@ -241,11 +241,11 @@ def _local_links(points: DataFrame, cosine: float) -> DataFrame:
         need = F.broadcast(spark.createDataFrame(wanted, f"label {label_type}, d int, k int"))  # at most PIVOTS / 2 rows
         draw = Window.partitionBy("label", "d").orderBy("h", "owner")
         # A hash below k / n keeps about twice as many rows as are wanted, so the window is small.
-        counts = F.broadcast(spark.createDataFrame([(r["label"], r["d"], r["n"]) for r in large], f"label {label_type}, d int, n long"))
+        counts = F.broadcast(spark.createDataFrame([(r["label"], r["d"], r["n"]) for r in large], f"label {label_type}, d int, total long"))
         share = F.pmod(F.xxhash64("owner"), F.lit(1 << 30)) / float(1 << 30)
         drawn = (
             sized.join(need, ["label", "d"]).join(counts, ["label", "d"]).withColumn("h", share)
-            .filter(F.col("h") * F.col("n") < 2 * F.col("k") + 16)
+            .filter(F.col("h") * F.col("total") < 2 * F.col("k") + 16)
             .withColumn("place", F.row_number().over(draw)).filter(F.col("place") <= F.col("k"))
         )
         for r in drawn.select("label", "d", "v").collect():  # at most PIVOTS rows

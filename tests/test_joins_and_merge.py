@@ -1,5 +1,6 @@
 """Lookup joins and the incremental merge."""
 
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -101,3 +102,32 @@ def test_matched_rows_are_updated_on_request(spark, rows, tmp_path):
 def test_rows_without_key_all_stay(rows):
     df = rows(SCHEMA, (None, at(1), 1), (None, at(1), 1), ("a", at(1), 2), ("a", at(1), 1))
     assert sorted(values(one_per_key(df, "k"), "k", "v"), key=str) == [("a", 1), (None, 1), (None, 1)]
+
+
+def test_rows_without_key_are_added_once(spark, tmp_path):
+    schema = "k string, pickup_datetime timestamp, v int"
+    path = str(tmp_path / "fact")
+    data = [(None, datetime(2024, 1, 2, 10), 1), ("a", datetime(2024, 1, 2, 10), 2)]
+    for update in (False, False, True):
+        merge_incremental(
+            spark.createDataFrame(data, schema), path, "k", "pickup_datetime", allowed_lateness=timedelta(days=2), update_matched=update
+        )
+    assert sorted(r["v"] for r in spark.read.parquet(path).collect()) == [1, 2]
+
+
+def test_mark_does_not_depend_on_the_driver_zone(spark, tmp_path, monkeypatch):
+    path, schema = str(tmp_path / "fact"), "k string, at string, v int"
+
+    def load(*rows):
+        typed = spark.createDataFrame(list(rows), schema).selectExpr("k", "cast(at as timestamp) pickup_datetime", "v")
+        merge_incremental(typed, path, "k", "pickup_datetime")
+
+    load(("a", "2024-01-02 10:00:00", 1))
+    monkeypatch.setenv("TZ", "Europe/Paris")
+    time.tzset()
+    try:
+        load(("b", "2024-01-02 10:30:00", 2), ("c", "2024-01-02 09:59:00", 3))
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+    assert sorted(r["k"] for r in spark.read.parquet(path).select("k").collect()) == ["a", "b"]

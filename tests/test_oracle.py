@@ -6,12 +6,13 @@ from collections import Counter
 
 import pytest
 
-import __spark_entry__ as registered
+import __spark_entry__  # noqa: F401
+from workbench import catalog
 from workbench import catalog
 from workbench.feeds import Feeds
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = registered.queries(), registered.oracle_sql()
+QUERIES, ORACLES = catalog.callables(), catalog.oracles()
 SAMPLE_OF_CALLABLES = ("int_traffic_hourly_avg", "dq_weather", "scan_seed")
 TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",

@@ -51,11 +51,11 @@ def test_csv_header_must_match(spark, tmp_path):
 
 def test_seed_keeps_literal_na(spark, tmp_path):
     (tmp_path / "z.csv").write_text(
-        '"LocationID","Borough","Zone","service_zone"\n264,"Unknown","N/A","N/A"\n265,"N/A","Outside of NYC","N/A"\n'
+        '"LocationID","Borough","Zone","service_zone"\n264,"Unknown","N/A","N/A"\n265,"N/A","Beyond the Ring","N/A"\n'
     )
     df = landed.scan_seed(spark, str(tmp_path / "z.csv"), schemas.ZONE_LOOKUP)
     assert sorted(values(df, "LocationID", "Borough", "Zone")) == [
-        (264, "Unknown", "N/A"), (265, "N/A", "Outside of NYC"),
+        (264, "Unknown", "N/A"), (265, "N/A", "Beyond the Ring"),
     ]
 
 

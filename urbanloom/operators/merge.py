@@ -35,12 +35,27 @@ def read_target(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def stored_mark(target: DataFrame, column: str):
-    """Newest stored timestamp, one value. The newest day is found from the
+def lower_bound(target: DataFrame, column: str, lateness: timedelta) -> tuple[str, str] | None:
+    """Newest stored timestamp less the lateness, and its day, as text. Both are taken in
+    Spark, so the driver's time zone has no part in them. The newest day is found from the
     partition values, so the timestamps of one day only are read."""
     newest = target.agg(F.max(PARTITION_DAY)).first()[0]
-    day = target.filter(target[PARTITION_DAY] == F.lit(newest))
-    return high_water_mark(day, column).first()[0]
+    mark = high_water_mark(target.filter(target[PARTITION_DAY] == F.lit(newest)), column)
+    bound = F.col("high_water_mark") - F.lit(lateness)
+    found = mark.select(bound.cast("string").alias("at"), F.to_date(bound).cast("string").alias("day")).first()
+    return None if found["at"] is None else (found["at"], found["day"])
+
+
+def _unseen(fresh: DataFrame, recent: DataFrame, key: str) -> DataFrame:
+    """Rows of ``fresh`` whose key is not in ``recent``; rows without a key are compared in
+    all columns, so a re-run adds none of them again."""
+    keyed = fresh.filter(fresh[key].isNotNull()).join(recent.select(key), key, "left_anti").select(*fresh.columns)
+    bare = fresh.filter(fresh[key].isNull())
+    known = recent.filter(recent[key].isNull()).select(*[F.col(c).alias(f"__old_{c}") for c in fresh.columns])
+    same = F.lit(True)
+    for c in fresh.columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"__old_{c}"))
+    return keyed.unionByName(bare.join(known, same, "left_anti"))
 
 
 def merge_incremental(
@@ -65,16 +80,17 @@ def merge_incremental(
         append(clustered(one_per_key(source, key), ts, cluster), path, [PARTITION_DAY])
         return
     fresh, recent = source, target
-    mark = stored_mark(target, ts)
-    if mark is not None:
-        bound = mark - allowed_lateness
-        fresh = source.filter(source[ts] > F.lit(str(bound)).cast(source.schema[ts].dataType))
-        recent = target.filter(target[PARTITION_DAY] >= F.lit(bound.date()))
+    bound = lower_bound(target, ts, allowed_lateness)
+    if bound is not None:
+        at, day = bound
+        fresh = source.filter(source[ts] > F.lit(at).cast(source.schema[ts].dataType))
+        recent = target.filter(target[PARTITION_DAY] >= F.lit(day).cast("date"))
     fresh = one_per_key(fresh, key)
     if not update_matched:
-        unseen = fresh.join(recent.select(key), key, "left_anti").select(*fresh.columns)
-        append(clustered(unseen, ts, cluster), path, [PARTITION_DAY])
+        append(clustered(_unseen(fresh, recent, key), ts, cluster), path, [PARTITION_DAY])
         return
     fresh = settled(fresh, "merge")  # used twice below
-    kept = recent.drop(PARTITION_DAY).join(fresh.select(key), key, "left_anti").select(*fresh.columns)
+    stored = recent.select(*fresh.columns)
+    kept = stored.join(fresh.select(key), key, "left_anti").select(*fresh.columns)
+    fresh = fresh.filter(fresh[key].isNotNull()).unionByName(_unseen(fresh.filter(fresh[key].isNull()), stored, key))
     replace_partitions(clustered(kept.unionByName(fresh), ts, cluster), path, [PARTITION_DAY])

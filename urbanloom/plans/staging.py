@@ -6,7 +6,7 @@ where the feed already has the type, so the filters reach the Parquet scan.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime, time
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -128,8 +128,11 @@ def present(df: DataFrame, *names: str) -> Column:
     return all_of(df[name].isNotNull() for name in names)
 
 
-def not_after(df: DataFrame, name: str, as_of: datetime | str | None) -> Column:
-    """Column is not later than "now" (``as_of``, or the clock when None)."""
+def not_after(df: DataFrame, name: str, as_of: date | datetime | str | None) -> Column:
+    """Column is not later than "now" (``as_of``, or the clock when None). A date means the
+    end of that day, so what was measured on the run day stays."""
+    if isinstance(as_of, date) and not isinstance(as_of, datetime):
+        as_of = as_of if df.schema[name].dataType.typeName() == "date" else datetime.combine(as_of, time.max)
     now = F.current_timestamp().cast(df.schema[name].dataType) if as_of is None else literal_like(df, name, as_of)
     return df[name] <= now
 

@@ -19,7 +19,10 @@ def _test_root() -> str:
 def shared_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only where none is
     named, as in tests."""
-    return (spark.conf.get(CHECKPOINT_SETTING, None) or _test_root()).rstrip("/")
+    named = spark.conf.get(CHECKPOINT_SETTING, None)
+    if not named and not spark.conf.get("spark.master", "local").startswith("local"):
+        raise ValueError(f"{CHECKPOINT_SETTING} must name a folder that all executors share")
+    return (named or _test_root()).rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

@@ -404,15 +404,10 @@ def limit_only(f):
     return raw.filter(raw.PUlocationID.isNull()).limit(1000).agg(F.count("*").alias("rows_kept"))
 
 
-@query("order_by_extract", "select event_id, ts, row_number() over (order by ts, event_id) as position from events "
-       "order by ts, event_id limit 1000")
+@query("order_by_extract", "select event_id, ts from events order by ts, event_id")
 def order_by_extract(f):
-    """First page of a feed in time order, numbered."""
-    from pyspark.sql import Window
-
-    page = f.events.orderBy("ts", "event_id").limit(1000).select("event_id", "ts")
-    numbered = F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("ts", "event_id"))
-    return page.withColumn("position", numbered.cast("bigint"))
+    """A whole feed in time order: a range exchange and a sort within each range."""
+    return f.events.select("event_id", "ts").orderBy("ts", "event_id")
 
 
 # ---- scalar functions ----

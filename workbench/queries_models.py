@@ -123,22 +123,24 @@ def int_weather_impact_daily(f):
 
 @query(
     "dim_dates",
-    """select d.*, t.trips from dim_dates d join (select cast(ts as date) as trip_date, count(*) as trips from events
+    """select d.*, coalesce(t.trips, 0) as trips from dim_dates d left join (select cast(ts as date) as trip_date, count(*) as trips from events
        group by 1) t on d.date = t.trip_date""",
 )
 def dim_dates(f):
     counts = f.events.groupBy(F.to_date("ts").alias("trip_date")).agg(F.count("*").alias("trips"))
-    return f.dates.join(counts, f.dates.date == counts.trip_date).drop("trip_date")
+    shown = f.dates.join(counts, f.dates.date == counts.trip_date, "left").drop("trip_date")
+    return shown.withColumn("trips", F.coalesce("trips", F.lit(0)))
 
 
 @query(
     "dim_hours",
-    """select h.*, t.trips from dim_hours h join (select hour(ts) as h, count(*) as trips from events group by 1) t
+    """select h.*, coalesce(t.trips, 0) as trips from dim_hours h left join (select hour(ts) as h, count(*) as trips from events group by 1) t
        on h.hours = t.h""",
 )
 def dim_hours(f):
     counts = f.events.groupBy(F.hour("ts").alias("h")).agg(F.count("*").alias("trips"))
-    return f.hours.join(counts, f.hours.hours == counts.h).drop("h")
+    shown = f.hours.join(counts, f.hours.hours == counts.h, "left").drop("h")
+    return shown.withColumn("trips", F.coalesce("trips", F.lit(0)))
 
 
 @query("dim_zones", "select * from dim_zones")

@@ -6,8 +6,7 @@ from collections import Counter
 
 import pytest
 
-import __spark_entry__  # noqa: F401
-from workbench import catalog
+import __spark_entry__
 from workbench import catalog
 from workbench.feeds import Feeds
 
@@ -66,4 +65,4 @@ def test_query_equals_oracle(spark, feeds, duck, name):
 
 
 def test_entry_returns_the_flagship(spark):
-    assert registered.entry(spark).count() > 0
+    assert __spark_entry__.entry(spark).count() > 0

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import values
 from urbanloom.operators import lookup
-from urbanloom.operators.merge import merge_incremental, one_per_key
+from urbanloom.operators.merge import merge_incremental, merge_unseen, one_per_key
 
 
 def plan(df):
@@ -29,9 +29,9 @@ def test_large_side_gives_the_same_rows_as_broadcast(skewed):
     facts, side = skewed
     keys, columns = {"key": facts.k}, {"name": "label"}
     small = lookup.attach(facts, side, keys, columns)
-    large = lookup.attach(facts, side, keys, columns, max_rows=5)
+    large = lookup.attach(facts, side, keys, columns, max_bytes=5)
     assert "BroadcastHashJoin" in plan(small) and "LeftOuter" in plan(small)
-    assert "__salt" in large._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in large._jdf.queryExecution().analyzed().toString()
     assert sorted(values(small, "id", "k", "label"), key=str) == sorted(values(large, "id", "k", "label"), key=str)
     plain = facts.join(side, facts.k == side.key, "left")
     assert small.count() == plain.count()
@@ -51,7 +51,22 @@ def test_proven_bound_needs_no_count(skewed):
     bounded = lookup.attach(facts, side, {"key": facts.k}, {"name": "label"}, row_bound=41)
     assert "BroadcastHashJoin" in plan(bounded)
     over = lookup.attach(facts, side, {"key": facts.k}, {"name": "label"}, row_bound=10**9)
-    assert "__salt" in over._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in over._jdf.queryExecution().analyzed().toString()
+
+
+def test_two_million_narrow_rows_do_not_move_the_facts(spark):
+    facts = spark.range(10).withColumn("k", F.col("id"))
+    side = spark.range(2_000_000).select("id", F.lit("Queens").alias("borough"), F.rand(1).alias("mph"))
+    joined = lookup.attach(facts, side, {"id": facts.k}, {"borough": "b", "mph": "m"})
+    assert "BroadcastHashJoin" in plan(joined) and "Exchange hashpartitioning" not in plan(joined)
+    assert lookup.estimated_bytes(side.select("borough")) == 2_000_000 * (lookup.ROW_BYTES + lookup.COLUMN_BYTES + 6)
+
+
+def test_salted_join_equals_the_plain_one(skewed):
+    facts, side = skewed
+    salted = lookup.salted_left_join(facts, side, {"key": facts.k})
+    plain = facts.join(side, facts.k == side.key, "left")
+    assert sorted(values(salted, "id", "name"), key=str) == sorted(values(plain, "id", "name"), key=str)
 
 
 SCHEMA = "k string, t timestamp_ntz, v int"
@@ -115,6 +130,14 @@ def test_rows_without_key_are_added_once(spark, tmp_path):
     assert sorted(r["v"] for r in spark.read.parquet(path).collect()) == [1, 2]
 
 
+def test_unseen_rows_are_added_in_any_order_of_time(spark, rows, tmp_path):
+    path = str(tmp_path / "fact")
+    loads = [[("a", at(31), 1)], [("b", at(10), 2), (None, at(9), 7)], [("c", at(20), 3), ("b", at(10), 2)], [("d", None, 4)]]
+    for load in loads + loads:
+        merge_unseen(rows(SCHEMA, *load), path, "k", "t")
+    assert stored(spark, path) == [("a", 1), ("b", 2), ("c", 3), ("d", 4), (None, 7)]
+
+
 def test_mark_does_not_depend_on_the_driver_zone(spark, tmp_path, monkeypatch):
     path, schema = str(tmp_path / "fact"), "k string, at string, v int"
 

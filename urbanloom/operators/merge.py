@@ -16,9 +16,8 @@ def one_per_key(df: DataFrame, key: str) -> DataFrame:
     row. Rows without a key match nothing and all stay. ``min`` combines on the
     map side, so the copies of one key do not travel to a single task."""
     others = [name for name in df.columns if name != key]
-    alone = df.withColumn("__alone", F.when(df[key].isNull(), F.monotonically_increasing_id()))
-    smallest = alone.groupBy(key, "__alone").agg(F.min(F.struct(*others)).alias("__row"))
-    return smallest.select(key, "__row.*").select(*df.columns)
+    smallest = df.filter(df[key].isNotNull()).groupBy(key).agg(F.min(F.struct(*others)).alias("__row"))
+    return smallest.select(key, "__row.*").select(*df.columns).unionByName(df.filter(df[key].isNull()))
 
 
 def high_water_mark(target: DataFrame, column: str) -> DataFrame:
@@ -58,6 +57,22 @@ def _unseen(fresh: DataFrame, recent: DataFrame, key: str) -> DataFrame:
     return keyed.unionByName(bare.join(known, same, "left_anti"))
 
 
+def merge_unseen(source: DataFrame, path: str, key: str, ts: str, cluster: Sequence[str] = ()) -> None:
+    """Add the rows of ``source`` whose key the table does not hold, however old they are.
+
+    For feeds that land in any order of time. One key has one timestamp, as a trip's key
+    is made of it, so keys are compared with the stored days from the first to the last
+    day of ``source`` only.
+    """
+    target, fresh = read_target(source.sparkSession, path), one_per_key(source, key)
+    if target is not None:
+        day, at = target[PARTITION_DAY].cast("date"), F.to_date(source[ts])
+        span = source.select(F.min(at).cast("string").alias("first"), F.max(at).cast("string").alias("last")).first()
+        within = day.between(F.lit(span["first"]).cast("date"), F.lit(span["last"]).cast("date"))
+        fresh = _unseen(fresh, target.filter(within | day.isNull()), key)
+    append(clustered(fresh, ts, cluster), path, [PARTITION_DAY])
+
+
 def merge_incremental(
     source: DataFrame,
     path: str,

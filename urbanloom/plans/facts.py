@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import clock, flags, labels
 from ..functions.keys import trip_key
 from ..operators.lookup import attach
-from ..operators.merge import merge_incremental
+from ..operators.merge import merge_incremental, merge_unseen
 from ..sources.tables import LAYOUTS
 from .dimensions import HOURS_PER_DAY, days_until
 from .staging import stamped
@@ -117,6 +117,12 @@ def load_fact_taxi_trips(
     merge_incremental(facts, path, "trip_id", day, cluster, allowed_lateness, update_matched)
 
 
+def add_taxi_trips(facts: DataFrame, path: str) -> None:
+    """Load of trips that land in any order of time, as the feeds of three services do."""
+    day, cluster = LAYOUTS["fact_taxi_trips"]
+    merge_unseen(facts, path, "trip_id", day, cluster)
+
+
 def fact_311_complaints_daily(
     by_zone: DataFrame, dates: DataFrame, weather: DataFrame, as_of: date, loaded_at: str | None = None
 ) -> DataFrame:

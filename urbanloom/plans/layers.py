@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.quality import check, outcomes
+from ..session import configure
 from ..sources.slices import dev_sample
 from ..sources.tables import materialize
 from . import dimensions, facts, requests, staging, traffic, trips, weather
@@ -36,10 +37,11 @@ def run(
 
     Stored models are written once below ``root`` and re-read by their consumers,
     so the trips are enriched once for their three uses. ``sample_rows`` limits
-    each feed for development runs.
+    each feed for development runs. The session gets the library's settings: all
+    instants are read in UTC.
     """
     raw = {name: dev_sample(feeds[name], sample_rows) for name in FEEDS}
-    spark = raw["raw_weather"].sparkSession
+    spark = configure(raw["raw_weather"].sparkSession)
     models: dict[str, DataFrame] = {}
 
     def build(layer: str, name: str, df: DataFrame) -> DataFrame:

@@ -14,17 +14,46 @@ REPORTED_BOROUGHS = ("Manhattan", "Brooklyn", "Queens")
 
 
 def hourly_measures() -> list[Column]:
-    """Measures of one borough, hour and status; shared by batch and stream."""
+    """Measures of one borough, hour and status."""
     speed = F.col("speed_mph")
     return [
         F.count("*").alias("total_measurements"),
-        stable_round(F.avg(speed), 1).alias("avg_speed_mph"),
-        stable_round(F.min(speed), 1).alias("min_speed_mph"),
-        stable_round(F.max(speed), 1).alias("max_speed_mph"),
+        *_speeds(F.avg(speed), F.min(speed), F.max(speed)),
         F.count_if(speed < SEVERE_BELOW).alias("severe_congestion_count"),
         F.count_if(speed.between(*MODERATE)).alias("moderate_congestion_count"),
-        flags.severely_congested(F.avg(speed)).alias("is_severe_congestion"),
-        flags.congested(F.avg(speed)).alias("is_congested"),
+    ]
+
+
+def _speeds(mean: Column, least: Column, most: Column) -> list[Column]:
+    return [
+        stable_round(mean, 1).alias("avg_speed_mph"),
+        stable_round(least, 1).alias("min_speed_mph"),
+        stable_round(most, 1).alias("max_speed_mph"),
+        flags.severely_congested(mean).alias("is_severe_congestion"),
+        flags.congested(mean).alias("is_congested"),
+    ]
+
+
+def hourly_parts() -> list[Column]:
+    """Parts of the measures that several batches of one hour can be summed up from."""
+    speed = F.col("speed_mph")
+    return [
+        F.count("*").alias("n"),
+        F.sum(speed).alias("total"),
+        F.min(speed).alias("least"),
+        F.max(speed).alias("most"),
+        F.count_if(speed < SEVERE_BELOW).alias("severe"),
+        F.count_if(speed.between(*MODERATE)).alias("moderate"),
+    ]
+
+
+def summed_parts() -> list[Column]:
+    """The measures of ``hourly_measures`` from ``hourly_parts``."""
+    return [
+        F.sum("n").alias("total_measurements"),
+        *_speeds(F.sum("total") / F.sum("n"), F.min("least"), F.max("most")),
+        F.sum("severe").alias("severe_congestion_count"),
+        F.sum("moderate").alias("moderate_congestion_count"),
     ]
 
 
@@ -36,11 +65,14 @@ def moving(speeds: DataFrame) -> DataFrame:
 def int_traffic_hourly_avg(speeds: DataFrame) -> DataFrame:
     """Speed and congestion per borough, hour and status. The hour's number and
     weekday follow from the hour, so they are derived after the grouping."""
+    return describe_hours(by_hour(speeds, hourly_measures()))
+
+
+def by_hour(speeds: DataFrame, measures: list[Column]) -> DataFrame:
+    """``measures`` per borough, hour and status; shared by batch and stream."""
     kept = moving(speeds)
-    hourly = kept.groupBy(
-        "borough", clock.hour_floor(kept, "measurement_timestamp").alias("measurement_hour"), "status_code"
-    ).agg(*hourly_measures())
-    return describe_hours(hourly)
+    hour = clock.hour_floor(kept, "measurement_timestamp").alias("measurement_hour")
+    return kept.groupBy("borough", hour, "status_code").agg(*measures)
 
 
 def describe_hours(hourly: DataFrame) -> DataFrame:

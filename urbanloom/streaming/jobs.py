@@ -2,19 +2,22 @@
 
 Every job runs over what has landed and then stops (``availableNow``), so a
 scheduler can start it hourly; the checkpoint folder carries state and progress
-between runs and has to lie on shared storage.
+between runs and has to lie on shared storage. Feeds may land in any order of
+time: no job has a watermark or keeps state in memory, so none drops late rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
-from ..plans.facts import load_fact_taxi_trips
-from ..plans.traffic import describe_hours, hourly_measures, moving
+from ..operators.merge import merge_unseen
+from ..plans.facts import add_taxi_trips
+from ..plans.traffic import by_hour, describe_hours, hourly_parts, summed_parts
+from ..sources.tables import PARTITION_DAY
 
 BATCH = "batch"
 
@@ -57,60 +60,56 @@ def numbered_batches(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def ingest(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Hourly micro-batch ingest of a feed."""
-    return run_available(stream, checkpoint, "append", numbered_batches(path))
-
-
-def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("basePath", path).parquet(f"{path}/{BATCH}=*")
-
-
-def latest_per_key(batches: DataFrame, keys: list[str]) -> DataFrame:
-    """Newest version of every key over the update batches."""
-    values = [name for name in batches.columns if name not in (*keys, BATCH)]
-    newest = batches.groupBy(*keys).agg(F.max(F.struct(BATCH, *values)).alias("__row"))
-    return newest.select(*keys, *[F.col(f"__row.{name}").alias(name) for name in values])
+def _is_there(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.text(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
-def hourly_windows(speeds: DataFrame, lateness: str = "2 hours") -> DataFrame:
-    """Tumbling one-hour windows per borough and status. State holds the windows
-    the watermark has not passed: boroughs x statuses x open hours."""
-    timed = speeds.withColumn("measurement_timestamp", F.col("measurement_timestamp").cast("timestamp"))
-    return (
-        moving(timed.withWatermark("measurement_timestamp", lateness))
-        .groupBy("borough", F.window("measurement_timestamp", "1 hour").alias("hour"), "status_code")
-        .agg(*hourly_measures())
-        .withColumn("measurement_hour", F.col("hour.start"))
-        .drop("hour")
-    )
+def run_numbered(
+    stream: DataFrame, path: str, checkpoint: str, shape: Callable[[DataFrame], DataFrame] = lambda batch: batch
+) -> StreamingQuery:
+    """Store ``shape`` of every batch. A fresh checkpoint counts from batch 0 again, so
+    it is refused where batches are stored already."""
+    spark = stream.sparkSession
+    if _is_there(spark, f"{path}/{BATCH}=*") and not _is_there(spark, f"{checkpoint}/metadata"):
+        raise ValueError(f"{path} holds the batches of another checkpoint")
+    write = numbered_batches(path)
+    return run_available(stream, checkpoint, "append", lambda batch, number: write(shape(batch), number))
 
 
-def stream_traffic_hourly(speeds: DataFrame, path: str, checkpoint: str, lateness: str = "2 hours") -> DataFrame:
-    """Hourly traffic kept up to date from a stream; same columns as the batch model."""
-    run_available(hourly_windows(speeds, lateness), checkpoint, "update", numbered_batches(path))
-    newest = latest_per_key(read_batches(speeds.sparkSession, path), ["borough", "measurement_hour", "status_code"])
-    return describe_hours(newest)
+def ingest(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Hourly micro-batch ingest of a feed."""
+    return run_numbered(stream, path, checkpoint)
 
 
-def stream_incremental_fact(
-    facts: DataFrame, path: str, checkpoint: str, allowed_lateness: timedelta = timedelta(0)
-) -> StreamingQuery:
-    """Each batch is merged into the fact; a repeated batch adds nothing."""
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("basePath", path).parquet(f"{path}/{BATCH}=*")
 
-    def merge(batch: DataFrame, number: int) -> None:
-        load_fact_taxi_trips(batch, path, allowed_lateness)
 
-    return run_available(facts, checkpoint, "append", merge)
+def stream_traffic_hourly(speeds: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Hourly traffic kept up to date from a stream; same columns as the batch model.
+    A batch stores sums and counts per borough, hour and status, which are added up when
+    read, so an hour whose rows land in several batches is whole."""
+    run_numbered(speeds, path, checkpoint, lambda batch: by_hour(batch, hourly_parts()))
+    parts = read_batches(speeds.sparkSession, path)
+    return describe_hours(parts.groupBy("borough", "measurement_hour", "status_code").agg(*summed_parts()))
 
 
-def drop_repeated_trips(facts: DataFrame, lateness: str = "1 day") -> DataFrame:
-    """First arrival of each ``trip_id``; keys are forgotten once the watermark is
-    past them, which bounds the state."""
-    timed = facts.withColumn("pickup_datetime", F.col("pickup_datetime").cast("timestamp"))
-    return timed.withWatermark("pickup_datetime", lateness).dropDuplicatesWithinWatermark(["trip_id"])
+def stream_incremental_fact(facts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """The unseen trips of each batch are added to the fact, whatever day they are of; a
+    repeated batch adds nothing."""
+    return run_available(facts, checkpoint, "append", lambda batch, number: add_taxi_trips(batch, path))
 
 
-def stream_dedup_trip_id(facts: DataFrame, path: str, checkpoint: str, lateness: str = "1 day") -> DataFrame:
-    run_available(drop_repeated_trips(facts, lateness), checkpoint, "append", numbered_batches(path))
-    return read_batches(facts.sparkSession, path).drop(BATCH)
+def stream_dedup_trip_id(facts: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """One row per ``trip_id``, that of its first batch. The stored days are the memory of
+    what has been seen; copies within a batch are combined on the map side."""
+    run_available(
+        facts, checkpoint, "append", lambda batch, number: merge_unseen(batch, path, "trip_id", "pickup_datetime")
+    )
+    return facts.sparkSession.read.parquet(path).drop(PARTITION_DAY)

@@ -435,7 +435,7 @@ def join_311_weather(f):
        from trips t left join zones z on t.pickup_location_id = z.LocationID""",
 )
 def salted_join(f):
-    """The path a lookup takes when its side is too large to broadcast."""
+    """A join that spreads every key over several partitions."""
     from urbanloom.operators.lookup import salted_left_join
 
     rows = f.trips.select("service_type", "pickup_datetime", "pickup_location_id")

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from urbanloom import schemas
-from urbanloom.operators.merge import high_water_mark, merge_incremental, one_per_key
+from urbanloom.operators.merge import high_water_mark, merge_incremental, merge_unseen, one_per_key
 from urbanloom.scratch import new_folder
 from urbanloom.sources import landed, layout, slices, tables
 from urbanloom.streaming import jobs
@@ -261,12 +261,15 @@ def dev_sample(f):
 
 # ---- streaming ----
 
+LANDED_FILES = 8
+
+
 def landed_speeds(f):
-    """Raw speed feed as landed Parquet files, read back as a stream."""
+    """Raw speed feed as files landed out of time order, read back one a batch."""
     folder = new_folder(f.spark, "stream-speed")
     raw = f.view("raw_speed")
-    raw.write.parquet(folder)
-    return jobs.read_landed(f.spark, folder, raw.schema)
+    raw.repartition(LANDED_FILES).write.parquet(folder)
+    return jobs.read_landed(f.spark, folder, raw.schema, files_per_batch=1)
 
 
 @query("stream_ingest_hourly", f"select {SPEED_RAW} from raw_speed")
@@ -290,8 +293,8 @@ def stream_traffic_hourly(f):
 def landed_fact(f):
     folder = new_folder(f.spark, "stream-fact")
     rows = slim_fact(f)
-    rows.write.parquet(folder)
-    return jobs.read_landed(f.spark, folder, rows.schema)
+    rows.repartition(LANDED_FILES, "trip_id").write.parquet(folder)
+    return jobs.read_landed(f.spark, folder, rows.schema, files_per_batch=1)
 
 
 @query("stream_incremental_fact", ONE_PER_KEY.format(source=f"select trip_id, {FACT_COLUMNS} from fact_trips"))
@@ -299,7 +302,7 @@ def stream_incremental_fact(f):
     path = new_folder(f.spark, "streamed-fact")
 
     def merge(batch, number):
-        merge_incremental(batch, path, "trip_id", "pickup_datetime", ("service_type",))
+        merge_unseen(batch, path, "trip_id", "pickup_datetime", ("service_type",))
 
     jobs.run_available(landed_fact(f), new_folder(f.spark, "fact-state"), "append", merge)
     return f.spark.read.parquet(path).drop(tables.PARTITION_DAY)

@@ -284,6 +284,15 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stored(joined.mapInArrow(check, "a binary, b binary"), "forest-links")
 
 
+def _extended(joined: DataFrame, links: DataFrame) -> DataFrame:
+    """The components ``joined`` after ``links`` are added. A class and its component stand
+    for all earlier links, so only what is new takes rounds."""
+    if links.isEmpty():
+        return joined
+    known = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return components(links.unionByName(known), "a", "b")
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, *, words: int, id_col: str, text_col: str) -> DataFrame:
     """(class, members) of the documents in ``wanted`` (id, class): full sets, made anew."""
     texts = docs.select(named(id_col).alias("id"), text_or_empty(text_col).alias("text"))
@@ -319,12 +328,9 @@ def near_duplicates(
     sets = stored(
         _sets(docs, wanted, words=words, id_col=id_col, text_col=text_col).dropDuplicates(["class"]), "forest-sets"
     )
-    links = confirmed(centres, sets, percent)
-    placed = _labelled(leaves, components(links, "a", "b"))
-    links = links.unionByName(confirmed(_apart(placed, percent), sets, percent))
-    joined = components(links, "a", "b")
-    links = links.unionByName(_block_links(large, joined, sets, percent))
-    joined = components(links, "a", "b")
+    joined = components(confirmed(centres, sets, percent), "a", "b")
+    joined = _extended(joined, confirmed(_apart(_labelled(leaves, joined), percent), sets, percent))
+    joined = _extended(joined, _block_links(large, joined, sets, percent))
     joined = joined.withColumnRenamed("node", "class")
     owned = owners.join(joined, "class", "left").withColumn("component", F.coalesce("component", "class"))
     heads = owned.groupBy("component").agg(F.min("owner").alias("component_id"))

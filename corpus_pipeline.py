@@ -27,9 +27,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates stays, the one with the smallest id."""
-    kept = lsh_forest.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("__ul_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__ul_kept")), "left_semi")
+    """One row of each class of near-duplicates stays, the one with the smallest id."""
+    return lsh_forest.kept_documents(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -331,3 +332,33 @@ def test_warc_reader_finds_damage():
     assert list(warc.members(io.BytesIO(whole))) == [data, data]
     with pytest.raises(EOFError):
         list(warc.members(io.BytesIO(whole[:-9])))
+
+
+def test_mix_counts_repeated_rows_and_null_ids_by_row(spark):
+    """A third of a source has no id, another third repeats two rows; each row has its own repeats."""
+    data = [(k, prose(k, 40), "a") for k in range(40)]
+    data += [(None, prose(100 + k, 40), "a") for k in range(40)] + [(7, prose(7, 40), "a")] * 20 + [(None, prose(3, 40), "a")] * 20
+    frame = spark.createDataFrame(data, "doc_id long, text string, source string")
+    for options in ({"share": 0.5}, {"share": 1.9}):
+        plan = mixing.mix(frame, **options).collect()
+        mixed = mixing.mixed_documents(frame.repartition(3), **options).collect()
+        target = plan[0]["target"]
+        assert sum(r["taken"] for r in plan) == 40 * len(mixed) and target - 40 < 40 * len(mixed) <= target
+        by_plan, by_rows = Counter(), Counter(r["doc_id"] for r in mixed)
+        for r in plan:
+            by_plan[r["doc_id"]] += r["repeats"]
+        assert +by_plan == by_rows
+
+
+def test_mix_ranks_copies_in_buckets(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 4)
+    frame = spark.createDataFrame([(None, "one two", None)] * 30 + [(1, "one two", None)], "doc_id long, text string, source string")
+    assert mixing.mixed_documents(frame, share=0.5).count() == 15
+
+
+def test_near_duplicates_keep_one_row_per_class(spark):
+    one, two, three = prose(1, 80), prose(2, 80), prose(3, 80)
+    data = [(5, one), (5, one), (5, two), (3, two), (None, two), (None, three), (None, three), (None, prose(4, 80)), (8, ""), (None, None)]
+    frame = spark.createDataFrame(data, "doc_id long, text string")
+    kept = [(r["doc_id"], r["text"]) for r in lsh_forest.kept_documents(frame).collect()]
+    assert Counter(kept) == Counter([(5, one), (3, two), (None, three), (None, prose(4, 80)), (8, ""), (None, None)])

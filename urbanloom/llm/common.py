@@ -11,6 +11,7 @@ from ..scratch import new_folder
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 #: Prefix of working columns, so that a table's own columns never clash with them.
 OWN = "__ul_"
+ROW = f"{OWN}row"
 
 
 def stored(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
@@ -22,6 +23,12 @@ def stored(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def numbered(df: DataFrame, label: str) -> DataFrame:
+    """``df`` stored with a number of its own for each row in ``__ul_row``. Rows that repeat
+    an id, or have none, stay apart by it; as it is stored, every later read gives the same."""
+    return stored(df.withColumn(ROW, F.monotonically_increasing_id()), label)
+
+
 def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))
 

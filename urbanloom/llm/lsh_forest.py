@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import named, stored, text_or_empty
+from .common import ROW, named, numbered, stored, text_or_empty
 from .components import components
 from .memory import Recent
 
@@ -339,3 +339,17 @@ def near_duplicates(
     return found.select("id", "n_shingles", "class").join(labels, "class", "left").select(
         F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")
     )
+
+
+def kept_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: one row of each component stays, that
+    with the smallest id, a null id last. Each row counts by itself, so of rows that repeat
+    an id and a text one stays, and texts of one id or of no id are kept apart. Rows with
+    null, empty or blank text have nothing in common with others and all stay."""
+    rows = numbered(docs, "near-rows")
+    found = near_duplicates(rows, id_col=ROW, text_col=text_col, **options).select(ROW, F.col("component_id").alias("component"))
+    order = F.struct(
+        named(id_col).isNull().alias("none"), named(id_col).alias("id"), F.xxhash64(text_or_empty(text_col)).alias("hash"), named(ROW).alias("row")
+    )
+    heads = rows.select(ROW, order.alias("order")).join(found, ROW).groupBy("component").agg(F.min("order").alias("head"))
+    return rows.join(heads.select(F.col("head.row").alias(ROW)), ROW, "left_semi").drop(ROW)

@@ -1,6 +1,6 @@
 """Mixing sources to target weights by fitting each source's word budget exactly.
 
-1. One narrow table (id, source, size) is stored; sizes count whole texts.
+1. One narrow table (row, id, source, size, text hash) is stored; sizes count whole texts.
 2. A histogram counts documents by (source, exact size). It is combined on the map
    side, so a source with a third of all rows adds as many rows as it has sizes.
 3. Targets: sources share the total by weight, none above ``max_repeats`` times its
@@ -8,24 +8,27 @@
 4. Every source takes its whole corpus ``target // size`` times. The rest of the
    budget is a bounded subset-sum problem over the histogram: a proportional share of
    every size, then bounded-knapsack dynamic programming over the last ``room`` words.
-5. The chosen number of documents of each size is picked by a seeded hash. Groups are
+5. The chosen number of documents of each size is picked by a seeded hash of id, text and
+   copy; the copies of rows with equal id, source and text are counted from 1. Groups are
    dealt into buckets of about ``BUCKET_ROWS`` rows, so no task ranks a whole group.
 
 Null text counts as size 0, null source is a source of its own, the last one.
-Documents of size 0 are never repeated (``taken`` 0). Rows that repeat an id are separate
-documents. An empty table gives an empty result. Other columns are ignored.
+Documents of size 0 are never repeated (``taken`` 0). Rows that repeat an id, or have none,
+are separate documents, each with repeats of its own. An empty table gives an empty result.
+Other columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_PATTERN, named, stored
+from .common import OWN, ROW, WORD_PATTERN, named, numbered, stored
 
 BUCKET_ROWS = 256
 
@@ -115,8 +118,47 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, max
     )
 
 
-def mix(
+def _same(columns: Sequence[str], renamed: str) -> Column:
+    """Null-safe equality of ``columns`` with those of the other side, named with ``renamed`` before."""
+    return reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(renamed + c)) for c in columns])
+
+
+def _ranked(rows: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``rows`` with ``rank``, from 1 in each ``group``: by ``bucket``, then by ``order``.
+    A task ranks buckets; what lies before a bucket is a sum over buckets."""
+    place = [*group, "bucket"]
+    earlier = Window.partitionBy(*group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        rows.groupBy(*place)
+        .agg(F.count("*").alias("rows"))
+        .select(*[F.col(c).alias(f"at_{c}") for c in place], F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before"))
+    )
+    return (
+        rows.repartition(*place)
+        .withColumn("place", F.row_number().over(Window.partitionBy(*place).orderBy(*order)))
+        .join(offsets, _same(place, "at_"))
+        .withColumn("rank", F.col("before") + F.col("place"))
+        .drop("bucket", "before", "place", *[f"at_{c}" for c in place])
+    )
+
+
+def _copies(narrow: DataFrame) -> DataFrame:
+    """``narrow`` with ``copy``, from 1 among the rows of equal id, source and text."""
+    key = ["id", "source", "hash"]
+    repeated = stored(narrow.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1"), "mix-repeated")
+    repeated = repeated.withColumnsRenamed({c: f"of_{c}" for c in key})
+    many = narrow.join(repeated, _same(key, "of_")).withColumn(
+        "bucket", F.pmod(F.xxhash64("row"), F.ceil(F.col("n") / BUCKET_ROWS))
+    )
+    single = narrow.join(repeated, _same(key, "of_"), "left_anti")
+    return single.withColumn("copy", F.lit(1).cast("long")).unionByName(
+        _ranked(many.drop("n", *[f"of_{c}" for c in key]), key, ["row"]).withColumnRenamed("rank", "copy")
+    )
+
+
+def _planned(
     docs: DataFrame,
+    row: Column,
     *,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -127,13 +169,14 @@ def mix(
     seed: int = 17,
     room: int = 65_536,
 ) -> DataFrame:
-    """One row per document: id, source, size, source_size, target, repeats, taken.
-    ``weights`` go round the sources in code-point order."""
+    """The rows of ``mix`` with ``row``, a number that no two rows share."""
     narrow = stored(
         docs.select(
+            row.alias("row"),
             named(id_col).alias("id"),
             named(source_col).cast("string").alias("source"),
             F.coalesce(F.regexp_count(named(text_col), F.lit(WORD_PATTERN)), F.lit(0)).cast("long").alias("size"),
+            F.xxhash64(F.coalesce(named(text_col), F.lit(""))).alias("hash"),
         ),
         "mix-sizes",
     )
@@ -156,9 +199,10 @@ def mix(
     plan = stored(chosen, "mix-plan").select(
         F.col("source").alias("at"), F.col("size").alias("of"), "n", "source_size", "target", "base", "extra"
     )
-    draw = F.xxhash64(F.lit(seed), F.col("id"))
+    draw = F.xxhash64(F.lit(seed), F.col("id"), F.col("hash"), F.col("copy"))
     placed = stored(
-        narrow.join(plan, F.col("source").eqNullSafe(F.col("at")) & (F.col("size") == F.col("of")))
+        _copies(narrow)
+        .join(plan, F.col("source").eqNullSafe(F.col("at")) & (F.col("size") == F.col("of")))
         .withColumn("draw", draw)
         .withColumn("bucket", F.pmod(F.col("draw"), F.ceil(F.col("n") / BUCKET_ROWS)))
         .drop("at", "of"),
@@ -168,30 +212,16 @@ def mix(
         "more", F.when(F.col("extra") > 0, 1).otherwise(0)
     )
     partly = placed.filter((F.col("extra") > 0) & (F.col("extra") < F.col("n")))
-    by_bucket = partly.groupBy("source", "size", "bucket").agg(F.count("*").alias("rows"))
-    earlier = Window.partitionBy("source", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = by_bucket.select(
-        F.col("source").alias("at"),
-        F.col("size").alias("of"),
-        F.col("bucket").alias("in"),
-        F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before"),
-    )
-    in_bucket = Window.partitionBy("source", "size", "bucket").orderBy("draw", "id")
-    ranked = (
-        partly.repartition("source", "size", "bucket")
-        .withColumn("place", F.row_number().over(in_bucket))
-        .join(
-            offsets,
-            F.col("source").eqNullSafe(F.col("at")) & (F.col("size") == F.col("of")) & (F.col("bucket") == F.col("in")),
-        )
-        .withColumn("more", F.when(F.col("before") + F.col("place") <= F.col("extra"), 1).otherwise(0))
+    ranked = _ranked(partly, ["source", "size"], ["draw", "id", "hash", "copy"]).withColumn(
+        "more", F.when(F.col("rank") <= F.col("extra"), 1).otherwise(0)
     )
-    columns = ["id", "source", "size", "source_size", "target", "base", "more"]
+    columns = ["row", "id", "source", "size", "source_size", "target", "base", "more"]
     repeats = (F.col("base") + F.col("more")).cast("long")
     return (
         whole.select(*columns)
         .unionByName(ranked.select(*columns))
         .select(
+            "row",
             F.col("id").alias(id_col),
             "source",
             "size",
@@ -203,18 +233,20 @@ def mix(
     )
 
 
+def mix(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
+    """One row per document: id, source, size, source_size, target, repeats, taken.
+    ``weights`` go round the sources in code-point order; options as in ``_planned``."""
+    return _planned(docs, F.monotonically_increasing_id(), id_col=id_col, **options).drop("row")
+
+
 def mixed_documents(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """The mix itself: every document as often as it is taken, with the columns of
-    ``docs``. Documents that are not taken go. Rows that share an id must be equal."""
-    wanted = mix(docs, id_col=id_col, **options).groupBy(named(id_col).alias("__ul_at")).agg(
-        F.floor(F.avg("repeats")).cast("int").alias("__ul_repeats")
-    )
+    """The mix itself: every row as often as it is taken, with the columns of ``docs``.
+    Rows that are not taken go. Repeats belong to the row, not to its id."""
+    rows = numbered(docs, "mix-rows")
+    wanted = _planned(rows, named(ROW), id_col=id_col, **options).filter("repeats > 0")
+    wanted = wanted.select(F.col("row").alias(f"{OWN}at"), F.col("repeats").cast("int").alias(f"{OWN}repeats"))
     return (
-        docs.join(wanted, named(id_col).eqNullSafe(F.col("__ul_at")))
-        .filter(F.col("__ul_repeats") > 0)
-        .withColumn("__ul_copy", F.explode(F.sequence(F.lit(1), F.col("__ul_repeats"))))
-        .drop("__ul_at", "__ul_repeats", "__ul_copy")
+        rows.join(wanted, named(ROW) == F.col(f"{OWN}at"))
+        .withColumn(f"{OWN}copy", F.explode(F.sequence(F.lit(1), F.col(f"{OWN}repeats"))))
+        .drop(ROW, f"{OWN}at", f"{OWN}repeats", f"{OWN}copy")
     )
-
-
-

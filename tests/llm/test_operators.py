@@ -362,3 +362,25 @@ def test_near_duplicates_keep_one_row_per_class(spark):
     frame = spark.createDataFrame(data, "doc_id long, text string")
     kept = [(r["doc_id"], r["text"]) for r in lsh_forest.kept_documents(frame).collect()]
     assert Counter(kept) == Counter([(5, one), (3, two), (None, three), (None, prose(4, 80)), (8, ""), (None, None)])
+
+
+def test_choose_counts_draws_all_sizes():
+    draw = random.Random(4)
+    sizes = draw.sample(range(20, 2_000), 500)
+    middle = sorted(sizes)[250]
+    for budget in (20_000, 70_000, 200_000):
+        picks = [mixing.choose_counts(sizes, [1] * 500, budget, seed=seed) for seed in (1, 2)]
+        assert picks[0] != picks[1] and picks[0] == mixing.choose_counts(sizes, [1] * 500, budget, seed=1)
+        for taken in picks:
+            assert sum(s * n for s, n in zip(sizes, taken)) == budget
+            small = sum(n for s, n in zip(sizes, taken) if s < middle)
+            assert 0.25 * sum(taken) < small < 0.75 * sum(taken)
+
+
+@pytest.mark.parametrize("sizes, counts, budget", [([5, 50], [9, 3], 10), ([90, 91, 99], [40, 40, 40], 997), ([2, 4, 70_000], [8, 8, 2], 70_031), ([0, 3], [4, 4], 6)])
+def test_choose_counts_stays_as_near(sizes, counts, budget):
+    reach = {0}
+    for s, n in zip(sizes, counts):
+        reach = {r + s * k for r in reach for k in range(n + 1)}
+    taken = mixing.choose_counts(sizes, counts, budget)
+    assert sum(s * n for s, n in zip(sizes, taken)) == max(r for r in reach if r <= budget)

@@ -6,8 +6,9 @@
 3. Targets: sources share the total by weight, none above ``max_repeats`` times its
    own size; what is cut off is shared among the rest by weight (water filling).
 4. Every source takes its whole corpus ``target // size`` times. The rest of the
-   budget is a bounded subset-sum problem over the histogram: a proportional share of
-   every size, then bounded-knapsack dynamic programming over the last ``room`` words.
+   budget is a bounded subset-sum problem over the histogram: a seeded systematic draw along
+   the sizes, then bounded-knapsack dynamic programming over a rest of a few times the
+   largest size, with documents in drawn order; never more than the last ``room`` words.
 5. The chosen number of documents of each size is picked by a seeded hash of id, text and
    copy; the copies of rows with equal id, source and text are counted from 1. Groups are
    dealt into buckets of about ``BUCKET_ROWS`` rows, so no task ranks a whole group.
@@ -20,8 +21,11 @@ Other columns are ignored.
 
 from __future__ import annotations
 
+import random
+from bisect import bisect_right
 from collections.abc import Sequence
 from functools import reduce
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -31,52 +35,131 @@ from pyspark.sql import functions as F
 from .common import OWN, ROW, WORD_PATTERN, named, numbered, stored
 
 BUCKET_ROWS = 256
+#: Documents that the knapsack takes one by one in drawn order; the others follow in chunks.
+SINGLES = 4_096
 
 
-def choose_counts(sizes: Sequence[int], counts: Sequence[int], budget: int, room: int = 65_536) -> list[int]:
+def choose_counts(
+    sizes: Sequence[int], counts: Sequence[int], budget: int, room: int = 65_536, seed: int | str = 0
+) -> list[int]:
     """How many documents of each size to take so that their words come as near to
-    ``budget`` as possible without passing it."""
-    order = sorted(range(len(sizes)), key=lambda i: -int(sizes[i]))
+    ``budget`` as possible without passing it. The bulk is a systematic draw along the
+    sizes, so each range of sizes gives its share; only a rest of a few times the largest
+    size is left to a knapsack over documents in drawn order. Where that misses the budget,
+    larger rests are tried, and at last the largest documents first."""
+    order = sorted(range(len(sizes)), key=lambda i: int(sizes[i]))
     size = [int(sizes[i]) for i in order]
     have = [int(counts[i]) for i in order]
+    budget = min(budget, sum(s * n for s, n in zip(size, have)))
+    fitting = bisect_right(size, budget)
+    largest = size[fitting - 1] if fitting else 0
+    best, short = [0] * len(size), budget
+    for rest in (4 * largest, 32 * largest, 256 * largest):
+        taken = _drawn(size[:fitting], have[:fitting], budget, rest, room, random.Random(f"{seed}|{rest}"))
+        left = budget - sum(s * n for s, n in zip(size, taken))
+        if left < short:
+            best, short = taken + [0] * (len(size) - fitting), left
+        if not short or rest >= min(budget, room):
+            break
+    if short:
+        taken = _largest_first(size, have, budget, room)
+        if budget - sum(s * n for s, n in zip(size, taken)) < short:
+            best = taken
+    result = [0] * len(order)
+    for place, n in zip(order, best):
+        result[place] = n
+    return result
+
+
+def _drawn(
+    size: Sequence[int], have: Sequence[int], budget: int, rest: int, room: int, draw: random.Random
+) -> list[int]:
+    """Ascending sizes, each at most ``budget``: a systematic draw of documents up to
+    ``rest`` words below it, then single ones, the last ``room`` words by knapsack."""
+    total = sum(s * n for s, n in zip(size, have))
+    bulk = min(max(0, budget - rest), total)
+    start, before, taken = draw.randrange(max(total, 1)), 0, []
+    for n in have:
+        # Equal steps along the documents in order of size miss the words by one largest size at most.
+        taken.append(((before + n) * bulk + start) // total - (before * bulk + start) // total if total else 0)
+        before += n
+    left = budget - sum(s * n for s, n in zip(size, taken))
+    free = [n - t for n, t in zip(have, taken)]
+    ends = list(accumulate(free))
+    number = ends[-1] if ends else 0
+    singles = [bisect_right(ends, at) for at in draw.sample(range(number), min(number, SINGLES))]
+    later = []
+    for i in singles:
+        if room < left and size[i] <= left:
+            taken[i] += 1
+            free[i] -= 1
+            left -= size[i]
+        else:
+            later.append(i)
+    if left > room:
+        for i in reversed(range(len(size))):
+            more = min(free[i], left // size[i] if size[i] else 0, max(0, -(-(left - room) // size[i])) if size[i] else 0)
+            taken[i] += more
+            free[i] -= more
+            left -= more * size[i]
+        later = []
+    waiting = list(free)
+    for i in later:
+        waiting[i] -= 1
+    chunks = [(i, 1) for i in later] + draw.sample(pieces := _pieces(size, waiting, min(left, room)), len(pieces))
+    for i, more in _knapsack(size, chunks, min(left, room)).items():
+        taken[i] += more
+    return taken
+
+
+def _largest_first(size: Sequence[int], have: Sequence[int], budget: int, room: int) -> list[int]:
+    """A proportional share of each size, then the largest documents, the last ``room``
+    words by knapsack."""
     total = sum(s * n for s, n in zip(size, have))
     bulk = max(0, budget - room)
     taken = [n * bulk // total if total else 0 for n in have]
     left = budget - sum(s * n for s, n in zip(size, taken))
-    for i, s in enumerate(size):
+    for i in reversed(range(len(size))):
+        s = size[i]
         if left <= room:
             break
         more = min(have[i] - taken[i], left // s if s else 0, -(-(left - room) // s) if s else 0)
         taken[i] += more
         left -= more * s
-    for i, more in _knapsack(size, [n - t for n, t in zip(have, taken)], min(left, room)).items():
+    free = [n - t for n, t in zip(have, taken)]
+    for i, more in _knapsack(size, _pieces(size, free, min(left, room))[::-1], min(left, room)).items():
         taken[i] += more
-    result = [0] * len(order)
-    for place, n in zip(order, taken):
-        result[place] = n
-    return result
+    return taken
 
 
-def _knapsack(size: Sequence[int], have: Sequence[int], budget: int) -> dict[int, int]:
-    """Bounded subset sum by dynamic programming. ``reached`` is the set of sums as
-    bits; ``parent`` names the chunk (item, number) that reached a sum first."""
-    reached, mask = 1, (1 << (budget + 1)) - 1
-    parent = np.full(budget + 1, -1, dtype=np.int32)
-    chunks: list[tuple[int, int]] = []
+def _pieces(size: Sequence[int], have: Sequence[int], budget: int) -> list[tuple[int, int]]:
+    """Chunks (item, number) of 1, 2, 4, ... documents of each size: their subsets give
+    every number that fits ``budget``."""
+    chunks = []
     for i, s in enumerate(size):
-        if reached >> budget & 1:
-            break
         left, number = min(have[i], budget // s if s else 0), 1
         while left > 0:
             number = min(number, left)
-            fresh = (reached << (s * number)) & mask & ~reached
-            if fresh:
-                raw = np.frombuffer(fresh.to_bytes(budget // 8 + 1, "little"), dtype=np.uint8)
-                parent[np.flatnonzero(np.unpackbits(raw, bitorder="little"))] = len(chunks)
-                reached |= fresh
             chunks.append((i, number))
             left -= number
             number *= 2
+    return chunks
+
+
+def _knapsack(size: Sequence[int], chunks: Sequence[tuple[int, int]], budget: int) -> dict[int, int]:
+    """Subset sum over ``chunks`` (item, number) by dynamic programming, up to the first
+    that reaches ``budget``. ``reached`` is the set of sums as bits; ``parent`` names the
+    chunk that reached a sum first."""
+    reached, mask = 1, (1 << (budget + 1)) - 1
+    parent = np.full(budget + 1, -1, dtype=np.int32)
+    for at, (i, number) in enumerate(chunks):
+        if reached >> budget & 1:
+            break
+        fresh = (reached << (size[i] * number)) & mask & ~reached if size[i] * number <= budget else 0
+        if fresh:
+            raw = np.frombuffer(fresh.to_bytes(budget // 8 + 1, "little"), dtype=np.uint8)
+            parent[np.flatnonzero(np.unpackbits(raw, bitorder="little"))] = at
+            reached |= fresh
     used: dict[int, int] = {}
     total = reached.bit_length() - 1
     while total:
@@ -189,7 +272,8 @@ def _planned(
         whole, budget = int(group["source_size"].iloc[0]), int(round(group["target"].iloc[0]))
         base = budget // whole if whole else 0
         group["base"] = base
-        group["extra"] = choose_counts(group["size"].tolist(), group["n"].tolist(), budget - base * whole, room)
+        name = f"{seed}|{group['source'].iloc[0]}"  # the draw is another one for each source
+        group["extra"] = choose_counts(group["size"].tolist(), group["n"].tolist(), budget - base * whole, room, name)
         return group[["source", "size", "n", "source_size", "target", "base", "extra"]]
 
     # A group has one row for each size of a source, never one for each document.

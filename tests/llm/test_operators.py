@@ -384,3 +384,18 @@ def test_choose_counts_stays_as_near(sizes, counts, budget):
         reach = {r + s * k for r in reach for k in range(n + 1)}
     taken = mixing.choose_counts(sizes, counts, budget)
     assert sum(s * n for s, n in zip(sizes, taken)) == max(r for r in reach if r <= budget)
+
+
+def test_surrogates_leave_digits_that_fail_luhn(spark):
+    texts = {
+        1: "order 1234 5678 9012 3456 of today",
+        2: "1234567890123456 and 4111-1111-1111-1111, then 4111 1111 1111 1112 / me@host.example.com",
+        3: "4111111111111111",
+    }
+    frame = spark.createDataFrame(rows(texts), SCHEMA)
+    out = {r["doc_id"]: r for r in surrogates.replaced(frame, key="k", counts=True).collect()}
+    assert [out[k]["n_entities"] for k in (1, 2, 3)] == [0, 2, 1]
+    assert out[1]["text"] == texts[1]
+    assert out[2]["text"].startswith("1234567890123456 and ") and ", then 4111 1111 1111 1112 / " in out[2]["text"]
+    assert "host" not in out[2]["text"] and "4111-1111-1111-1111" not in out[2]["text"]
+    assert out[3]["text"] == out[2]["text"][21:40].replace("-", "") != texts[3]

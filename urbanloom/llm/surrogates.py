@@ -3,6 +3,7 @@
 1. One pattern finds e-mail and IPv4 addresses, card and phone numbers, long hexadecimal
    keys and names behind a title. Each entity gets a canonical form (lower case, digits
    only for numbers, the bare name for names), so one entity in two notations is one.
+   Sixteen digits that fail the Luhn check are no card number: they stay and do not count.
 2. Distinct entities get a surrogate from a keyed hash of type, canonical form and attempt:
    the same everywhere (coreference). A surrogate that equals another entity's surrogate or
    a real entity is drawn again with the next attempt (distinctness); only these rows
@@ -62,7 +63,13 @@ def _kind(value: Column) -> Column:
     found = F.lit(None).cast("string")
     for kind, pattern in reversed(PATTERNS.items()):
         found = F.when(value.rlike(f"^(?:{pattern})$"), F.lit(kind)).otherwise(found)
-    return found
+    return F.when((found == "card") & ~_is_card(value), F.lit(None)).otherwise(found)
+
+
+def _is_card(value: Column) -> Column:
+    """The last digit is the check digit of those before it."""
+    digits = F.regexp_replace(value, "[^0-9]", "")
+    return _luhn(F.substring(digits, 1, 15)) == digits
 
 
 def _canonical(kind: Column, value: Column) -> Column:
@@ -183,20 +190,25 @@ def replaced(
     spans = marked.select(at, of, F.posexplode(found).alias("pos", "value")).dropDuplicates([at, of, "pos"])
     spans = spans.withColumn("kind", _kind(F.col("value"))).withColumn("canonical", _canonical(F.col("kind"), F.col("value")))
     spans = stored(spans, "pii-spans")
-    drawn = surrogate_table(spans, key)
+    real = spans.filter(F.col("kind").isNotNull())
+    drawn = surrogate_table(real, key)
+    new = real.join(drawn, ["kind", "canonical"]).select(
+        at, of, "pos", _noted(F.col("kind"), F.col("value"), F.col("surrogate")).alias("new"), F.lit(1).alias("n")
+    )
+    # What only looks like an entity keeps its place among the pieces, as it is.
+    same = spans.filter(F.col("kind").isNull()).select(at, of, "pos", F.col("value").alias("new"), F.lit(0).alias("n"))
     notes = (
-        spans.join(drawn, ["kind", "canonical"])
-        .select(at, of, F.struct("pos", _noted(F.col("kind"), F.col("value"), F.col("surrogate")).alias("new")).alias("note"))
+        new.unionByName(same)
         .groupBy(at, of)
-        .agg(F.array_sort(F.collect_list("note")).alias("notes"))
-        .withColumnsRenamed({at: f"{OWN}a", of: f"{OWN}o", "notes": f"{OWN}notes"})
+        .agg(F.array_sort(F.collect_list(F.struct("pos", "new"))).alias("notes"), F.sum("n").alias("n"))
+        .withColumnsRenamed({at: f"{OWN}a", of: f"{OWN}o", "notes": f"{OWN}notes", "n": f"{OWN}n"})
     )
     pieces = F.split(text, PATTERN, -1)
     news = F.concat(F.col(f"{OWN}notes.new"), F.array(F.lit("")))
     again = F.array_join(F.zip_with(pieces, news, lambda p, n: F.concat(p, F.coalesce(n, F.lit("")))), "")
     joined = marked.join(notes, F.col(at).eqNullSafe(F.col(f"{OWN}a")) & (F.col(of) == F.col(f"{OWN}o")))
     dirty = joined.select(
-        *[again.alias(c) if c == text_col else named(c) for c in columns], F.size(found).cast("long").alias(f"{OWN}n")
+        *[again.alias(c) if c == text_col else named(c) for c in columns], F.col(f"{OWN}n").cast("long")
     )
     out = clean.unionByName(dirty)
     return out.withColumnRenamed(f"{OWN}n", "n_entities") if counts else out.drop(f"{OWN}n")

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from . import (
     byte_bpe,
     cover_tree,
+    importance,
     line_dedup,
     lsh_forest,
+    merkle,
     mixing,
     quality_model,
     quality_rules,
@@ -89,6 +91,27 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "verified")
 
 
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resampled(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), lengths=(1, 1), buckets=10_000, seed=2024
+    )
+    return drawn.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    rows = merkle.manifest(
+        table(spark, sf_dir, "documents"),
+        columns=["doc_id", "source", "lang", "n_chars", "text"],
+        id_col="doc_id",
+        group_col="lang",
+        claims={"n_chars": F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))},
+    )
+    return merkle.verified(rows).select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_token_files": op2_token_files,
@@ -100,6 +123,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_surrogates": op8_surrogates,
     "op9_lsh_forest": op9_lsh_forest,
     "op10_warc": op10_warc,
+    "op12_importance": op12_importance,
+    "op13_merkle": op13_merkle,
 }
 
 ORACLES: dict[str, str] = {}

@@ -18,6 +18,7 @@ from . import (
     mixing,
     quality_model,
     quality_rules,
+    suffix_dedup,
     surrogates,
     token_files,
     warc,
@@ -91,6 +92,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "verified")
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(table(spark, sf_dir, "documents"), depth=50, with_kept=False).withColumnRenamed("id", "doc_id")
+
+
 def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = importance.resampled(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), lengths=(1, 1), buckets=10_000, seed=2024
@@ -123,6 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_surrogates": op8_surrogates,
     "op9_lsh_forest": op9_lsh_forest,
     "op10_warc": op10_warc,
+    "op11_suffix_dedup": op11_suffix_dedup,
     "op12_importance": op12_importance,
     "op13_merkle": op13_merkle,
 }

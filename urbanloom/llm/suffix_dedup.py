@@ -111,8 +111,9 @@ def repeated_keys(source: DataFrame, depth: int) -> bytes:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["key"])
 
     keys = source.select("text").mapInArrow(run, "key long").groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    place = F.shiftrightunsigned("key", 64 - BITS)
-    words = keys.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - BITS}) & 63 as int))")).alias("bits"))
+    # A key is a smallest hash, so only its low bits are spread evenly.
+    word = F.shiftright(F.col("key").bitwiseAND(F.lit((1 << BITS) - 1)), 6)
+    words = keys.groupBy(word.alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(key & 63L as int))")).alias("bits"))
     bitmap = np.zeros(1 << (BITS - 6), dtype=np.int64)
     table = words.toArrow()
     bitmap[table.column("word").to_numpy()] = table.column("bits").to_numpy()
@@ -120,7 +121,7 @@ def repeated_keys(source: DataFrame, depth: int) -> bytes:
 
 
 def _marked(bitmap: np.ndarray, key: np.ndarray) -> np.ndarray:
-    place = key >> np.uint64(64 - BITS)
+    place = key & np.uint64((1 << BITS) - 1)
     return (bitmap[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 

@@ -4,11 +4,15 @@ A byte goes if it is covered by a string of ``depth`` bytes that also starts in
 a smaller id. Matches never cross documents, overlaps count, and strings are judged on the
 input. All occurrences of a string must meet, and no task may see the whole text:
 
-1. Routing. Among the ``GRAM``-byte grams of a string, the one with the smallest hash is the
-   string's key, so equal strings have one key wherever they stand. Neighbouring starts with one
-   key form a segment, of at most twice ``depth`` bytes. Keys are counted once per document;
-   a key of one document has nothing to match. Which keys repeat goes to all tasks as a
-   bitmap of 8 MB, whatever the input; it may let single keys pass, which costs time only.
+1. Routing. Among the ``GRAM``-byte grams of a string, the one with the smallest hash (the first
+   of equal ones) is the string's anchor, so equal strings have one anchor wherever they stand.
+   Neighbouring starts with one anchor form a segment, of at most twice ``depth`` bytes; the
+   anchor's hash is its key. A string also holds the anchor with GRAM bytes more to its left or to
+   its right. These longer grams are counted, once per document; where one occurs in a single
+   document, the strings that hold it match nothing. Fingerprints of 32 bits are counted in
+   buckets that follow the size of the text, packed per batch. Which grams repeat goes to all
+   tasks as a bitmap of 8 MB, whatever the input; it may let single ones pass, which costs
+   time only.
 2. Equal segments of a key are one row with the smallest and the largest id they occur in, by a
    map-side minimum. A key with many different segments is cut into pieces by the hash of
    the whole string, so no key is a large group.
@@ -20,8 +24,8 @@ input. All occurrences of a string must meet, and no task may see the whole text
 4. Runs of starts whose smallest id is below the segment's largest go back to the segment's
    occurrences; each document joins its covered runs and is cut.
 
-The first two steps carry about 1.5 bytes of keys a byte of text and then only segments of
-keys that repeat; texts are shuffled once, for the last step.
+The first step carries about half a byte of fingerprints a byte of text, the others only what
+repeats; texts are shuffled once, for the last step.
 
 Null texts are empty. A null id stands after all others: its repeats of others go, others
 never go for it. Rows that repeat an id are one document in this respect: none goes for the
@@ -31,11 +35,12 @@ other. Ids are integers. Other columns are ignored. An empty table gives an empt
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,12 +48,13 @@ from .common import OWN, named, stored, text_or_empty
 from .interleave import repeated
 
 GRAM = 16
-#: Bits of the bitmap of keys, as a power of two.
-BITS = 26
+#: Bits of the bitmap of grams, as a power of two, and bytes of text of a bucket.
+BITS, BUCKET = 26, 1 << 24
 #: Bytes of segments of a group, bytes of a shard, and segments from which a key is cut.
 GROUP, SHARD, HEAVY = 1 << 19, 1 << 16, 2_048
-#: Starts that are read of a text at a time.
-BLOCK = 1 << 20
+#: Starts that are read of a text at a time; a place within them fits the bits of _PLACE.
+BLOCK = 1 << 19
+_PLACE = np.uint64((1 << 20) - 1)
 _ONE, _TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -71,19 +77,47 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return values if seen == width else np.minimum(values[: len(values) - (width - seen)], values[width - seen :])
 
 
-def segments(text: bytes, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(key, start, starts) of the segments of a text, block by block: from ``start`` on, that
-    many starts have the same key."""
+class Segments(NamedTuple):
+    """Segments of a text: ``count`` starts from ``start`` on have the anchor at ``anchor`` with
+    hash ``key``. Starts up to ``turn`` hold the anchor's wider gram ``left``, later ones hold
+    ``right``; a side without starts has no gram."""
+
+    key: np.ndarray
+    start: np.ndarray
+    count: np.ndarray
+    turn: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+
+    def grams(self) -> np.ndarray:
+        return np.concatenate([self.left[self.turn > self.start], self.right[self.turn < self.start + self.count]])
+
+    def kept(self, wanted: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(key, start, count) of what holds a wanted gram."""
+        end = self.start + self.count
+        first = np.where(wanted(self.left), self.start, np.maximum(self.turn, self.start))
+        last = np.where(wanted(self.right), end, np.minimum(self.turn, end))
+        some = last > first
+        return self.key[some], first[some], (last - first)[some]
+
+
+def segments(text: bytes, depth: int) -> Iterator[Segments]:
+    """The segments of a text, block by block."""
     width = depth - GRAM + 1
     letters = np.frombuffer(text, dtype=np.uint8)
     for begin in range(0, len(letters) - depth + 1, BLOCK):
-        key = _least(_gram_hashes(letters[begin : begin + BLOCK + depth - 1]), width)
-        heads = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        lengths = np.diff(np.append(heads, len(key)))
-        pieces = (lengths + width - 1) // width  # a repeated gram: longer runs of one key
-        nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        start = np.repeat(heads, pieces) + nth * width
-        yield key[start], start + begin, np.minimum(width, np.repeat(heads + lengths, pieces) - start)
+        grams = _gram_hashes(letters[begin : begin + BLOCK + depth - 1])
+        # the low bits hold the place, so of equal hashes the first one is the least
+        places = np.arange(len(grams), dtype=np.uint64)
+        low = _least((grams & ~_PLACE) | places, width)
+        heads = np.flatnonzero(np.append(True, low[1:] != low[:-1]))
+        anchor = (low[heads] & _PLACE).astype(np.int64)
+        key = grams[anchor]
+        left, right = grams[np.maximum(anchor - GRAM, 0)], grams[np.minimum(anchor + GRAM, len(grams) - 1)]
+        turn = np.maximum(anchor - GRAM + 1, 0)  # from here on the string no longer reaches GRAM bytes to the left
+        yield Segments(
+            key, heads + begin, np.diff(np.append(heads, len(low))), turn + begin, (left * _ONE ^ key) * _TWO, (key * _ONE ^ right) * _TWO
+        )
 
 
 def _bytes(value: pa.Scalar) -> bytes:
@@ -97,44 +131,76 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(named(id_col).alias("id"), own.alias("own"), F.xxhash64(named(id_col), text).alias("hash"), text.alias("text"))
 
 
-def repeated_keys(source: DataFrame, depth: int) -> bytes:
-    """Bitmap of the keys that occur in two rows or more."""
+def _place(gram: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket and 32-bit fingerprint of grams; buckets rise with the grams."""
+    return ((gram >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32), (gram & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _bit(bucket: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    return (mark.astype(np.uint64) + bucket.astype(np.uint64) * np.uint64(0x9E3779B1)) & np.uint64((1 << BITS) - 1)
+
+
+class Repeats:
+    """The bitmap of wider grams that occur in two rows or more."""
+
+    def __init__(self, bits: bytes, buckets: int):
+        self.bits, self.buckets = bits, buckets
+
+    def __call__(self, gram: np.ndarray) -> np.ndarray:
+        place = _bit(*_place(gram, self.buckets))
+        words = np.frombuffer(self.bits, dtype=np.uint64)
+        return (words[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+
+
+def repeated_grams(source: DataFrame, depth: int) -> Repeats:
+    size = source.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
+    buckets = max(64, -(-size // BUCKET))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
+            found = [np.zeros(0, dtype=np.uint64)]
             for value in batch.column(0):
-                keys = [key for key, _, _ in segments(_bytes(value), depth)]
-                if keys:
-                    found.append(np.unique(np.concatenate(keys)))
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["key"])
-
-    keys = source.select("text").mapInArrow(run, "key long").groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    # A key is a smallest hash, so only its low bits are spread evenly.
-    word = F.shiftright(F.col("key").bitwiseAND(F.lit((1 << BITS) - 1)), 6)
-    words = keys.groupBy(word.alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(key & 63L as int))")).alias("bits"))
+                own = [part.grams() for part in segments(_bytes(value), depth)]
+                if own:
+                    found.append(np.unique(np.concatenate(own)))
+            grams = np.sort(np.concatenate(found))
+            more = np.ones(len(grams), dtype=bool)
+            more[2:] = grams[2:] != grams[:-2]  # two of a kind are enough
+            bucket, mark = _place(grams[more], buckets)
+            heads = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, dtype=np.int64)
+            ends = np.append(heads[1:], len(bucket))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bucket[heads].astype(np.int64)), pa.array([mark[a:b].tobytes() for a, b in zip(heads, ends)], pa.binary())],
+                names=["bucket", "marks"],
+            )
+
+    def count(key: tuple, rows: pa.Table) -> pa.Table:
+        marks = np.sort(np.frombuffer(b"".join(rows.column("marks").to_pylist()), dtype=np.uint32))
+        twice = np.unique(marks[1:][marks[1:] == marks[:-1]])
+        place = np.unique(_bit(np.full(len(twice), key[0].as_py()), twice))
+        word = place >> np.uint64(6)
+        heads = np.flatnonzero(np.append(True, word[1:] != word[:-1])) if len(word) else np.zeros(0, dtype=np.int64)
+        bits = np.uint64(1) << (place & np.uint64(63))
+        return pa.table({"word": word[heads].view(np.int64), "bits": np.bitwise_or.reduceat(bits, heads).view(np.int64) if len(heads) else bits.view(np.int64)})
+
+    packed = source.select("text").mapInArrow(pack, "bucket long, marks binary")
+    words = packed.groupBy("bucket").applyInArrow(count, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
     bitmap = np.zeros(1 << (BITS - 6), dtype=np.int64)
-    table = words.toArrow()
+    table = words.toArrow()  # at most one row per word of the bitmap
     bitmap[table.column("word").to_numpy()] = table.column("bits").to_numpy()
-    return bitmap.tobytes()
-
-
-def _marked(bitmap: np.ndarray, key: np.ndarray) -> np.ndarray:
-    place = key & np.uint64((1 << BITS) - 1)
-    return (bitmap[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+    return Repeats(bitmap.tobytes(), buckets)
 
 
-def occurrences(source: DataFrame, bitmap: bytes, depth: int) -> DataFrame:
-    """(key, part, segment, own, hash, start) of the segments whose key is in the bitmap;
+def occurrences(source: DataFrame, repeats: Repeats, depth: int) -> DataFrame:
+    """(key, part, segment, own, hash, start) of the segments that hold repeated grams;
     ``part`` is the segment's own hash."""
-    shared = source.sparkSession.sparkContext.broadcast(bitmap)
+    shared = source.sparkSession.sparkContext.broadcast(repeats)
     schema = "own long, hash long, key long, part long, start long, segment binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        bits = np.frombuffer(shared.value, dtype=np.uint64)
+        wanted = shared.value
         names = ["own", "hash", "key", "part", "start", "segment"]
         for batch in batches:
             rows, keys, starts, texts = [], [], [], []
@@ -150,9 +216,8 @@ def occurrences(source: DataFrame, bitmap: bytes, depth: int) -> DataFrame:
 
             for k, value in enumerate(batch.column(2)):
                 text = _bytes(value)
-                for key, start, count in segments(text, depth):
-                    wanted = _marked(bits, key)
-                    key, start, count = key[wanted], start[wanted], count[wanted]
+                for part in segments(text, depth):
+                    key, start, count = part.kept(wanted)
                     rows.append((k, len(key)))
                     keys.append(key)
                     starts.append(start)
@@ -286,10 +351,10 @@ def without_repeats(
 ) -> DataFrame:
     """One row per document: id, n_bytes, n_removed, n_spans, kept_sha256 and, ``with_kept``,
     the remaining bytes (a cut may fall inside a character)."""
-    if depth < 2 * GRAM:
-        raise ValueError(f"depth is {2 * GRAM} at least")
+    if depth < 3 * GRAM:
+        raise ValueError(f"depth is {3 * GRAM} at least")
     source = _keyed(docs, id_col, text_col)
-    found = stored(occurrences(source, repeated_keys(source, depth), depth), "suffix-occurrences")
+    found = stored(occurrences(source, repeated_grams(source, depth), depth), "suffix-occurrences")
     runs = merged_runs(found, depth)
     at = F.col("start") + F.col("offset")
     covered = (

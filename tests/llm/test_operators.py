@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -309,6 +310,50 @@ def test_surrogates_stay_distinct(spark):
     assert not {r["surrogate"] for r in with_free} & {r["canonical"] for r in with_free}
 
 
+def test_surrogates_of_used_up_formats(spark):
+    entities = spark.createDataFrame([("phone", f"|{k:02d}") for k in range(100)], "kind string, canonical string")
+    found = surrogates.surrogate_table(entities, "k").collect()
+    assert len({r["surrogate"] for r in found}) == 100  # no two digits are free, so they get longer
+    assert not {r["surrogate"] for r in found} & {r["canonical"] for r in found}
+    value = spark.range(1).select(surrogates._noted(F.lit("phone"), F.lit("(01) 23"), F.lit("|987654")).alias("v"))
+    assert value.first()["v"] == "(98) 7654"
+
+
+def test_surrogates_bear_long_runs(spark):
+    texts = {1: "a@" + "b." * 50_000, 2: "x" * 1_000_000, 3: "." * 100_000, 4: "a." * 40_000 + "@", 5: "to a@b.co."}
+    frame = spark.createDataFrame([(k, t) for k, t in texts.items()], "doc_id long, text string")
+    begin = time.perf_counter()
+    out = {r["doc_id"]: r for r in surrogates.replaced(frame, key="k", counts=True).collect()}
+    assert time.perf_counter() - begin < 60
+    assert [out[k]["n_entities"] for k in sorted(out)] == [1, 0, 0, 0, 1]
+    assert out[5]["text"].startswith("to ") and out[5]["text"].endswith(".example.") and out[2]["text"] == texts[2]
+
+
+def test_token_files_of_another_tokenizer(spark, tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    letters = {c: i for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")}
+    plain = Tokenizer(models.BPE(vocab=letters | {"th": 26, "the": 27}, merges=[("t", "h"), ("th", "e")]))
+    plain.pre_tokenizer = pre_tokenizers.Whitespace()
+    plain.save(str(tmp_path / "plain.json"))
+    texts = {1: "the cat", 2: "The THE there", 3: None, 4: "tthhee bathe"}
+    frame = spark.createDataFrame([(k, t) for k, t in texts.items()], "doc_id long, text string")
+    found = token_files.token_files(frame, tokenizer=str(tmp_path / "plain.json"), end_id=2, vocabulary=28).collect()
+    for r in found:
+        want = [*plain.encode(texts[r["id"]] or "", add_special_tokens=False).ids, 2]
+        assert np.frombuffer(r["ids"], dtype="<u4").tolist() == want
+
+
+def test_token_files_of_repeated_ids(spark):
+    rows_ = [(None, "b"), (None, "a a"), (7, "x"), (7, "x"), (7, "y z"), (None, "b")]
+    frame = spark.createDataFrame(rows_, "doc_id long, text string")
+    options = {"tokenizer": public_tokenizers.path("word_bpe_49k.json"), "end_id": 2}
+    found = token_files.token_files(frame, **options).orderBy("start").collect()
+    assert [r["id"] for r in found] == [None] * 3 + [7] * 3
+    ends = [r["start"] + r["n_tokens"] for r in found]
+    assert [r["start"] for r in found] == [0, *ends[:-1]]
+
+
 def test_warc_round_trip(spark):
     pages = [(1, "u", "<p>x</p>"), (2, "u v", "<p>é</p>"), (3, None, "<p>x</p>"), (4, "u", None), (5, "u", ""), (6, "u", "<p>x</p>"), (None, "u", "y" * 200_000)]
     frame = spark.createDataFrame([(*p, "z") for p in pages], "page_id long, url string, html string, digest string")

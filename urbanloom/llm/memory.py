@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 
+#: Keys above this length are computed each time, so the memory's bytes are bounded too.
+LONGEST = 64
+
+
 class Recent(dict):
-    """Values of recent keys, at most twice ``room``. When the young half is full it
+    """Values of recent keys (strings or bytes), at most twice ``room``. When the young half is full it
     becomes the old one; an old value that is asked for again is young again. A subclass
     gives ``compute``; what is forgotten is computed anew, so results never change."""
 
@@ -16,6 +20,8 @@ class Recent(dict):
         value = self.old.get(key)
         if value is None:
             value = self.compute(key)
+        if len(key) > LONGEST:
+            return value
         if len(self) >= self.room:
             self.old = dict(self)
             self.clear()

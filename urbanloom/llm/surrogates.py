@@ -7,7 +7,8 @@
 2. Distinct entities get a surrogate from a keyed hash of type, canonical form and attempt:
    the same everywhere (coreference). A surrogate that equals another entity's surrogate or
    a real entity is drawn again with the next attempt (distinctness); only these rows
-   take part in the next round.
+   take part in the next round. A number whose format has no free surrogate left loses its
+   leading zero and then gets longer, so every entity finds one.
 3. Occurrences get the surrogate in their own notation: digits go into the separators of
    the number, upper case stays, a name keeps its number of words, its title's gender and
    its script (Latin or Cyrillic). Card numbers pass the Luhn check.
@@ -30,7 +31,8 @@ _FEMALE = "Mrs|Ms|Miss|Madam|Frau|Señora|Sra|Madame|Mme|Doña|госпожа|г
 _NAME = rf"(?<![\p{{L}}])(?:{_MALE}|{_FEMALE})\.? \p{{Lu}}[\p{{Ll}}'-]+(?: \p{{Lu}}[\p{{Ll}}'-]+)?"
 #: In order of preference at one place.
 PATTERNS = {
-    "email": r"[\p{L}0-9._%+-]+@[\p{L}0-9-]+(?:\.[\p{L}0-9-]+)+",
+    # a run is looked at from its start only and no group repeats, so time is linear and the stack flat
+    "email": r"(?<![\p{L}0-9._%+-])[\p{L}0-9._%+-]++@[\p{L}0-9-]++\.[\p{L}0-9.-]*[\p{L}0-9-]",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])",
     "key": r"(?<![\p{L}0-9])(?=[a-fA-F]*[0-9])[0-9a-fA-F]{32,64}(?![\p{L}0-9])",
     "card": r"(?<![\p{L}0-9])[0-9]{4}(?:[ -]?[0-9]{4}){3}(?![\p{L}0-9])",
@@ -114,8 +116,10 @@ def _surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> Co
     digits = F.concat(*[F.lpad((_nibbles(digest, 1 + 8 * k, 8) % 100_000_000).cast("string"), 8, "0") for k in range(4)])
     lead = (_nibbles(more, 1, 4) % 9 + 1).cast("string")
     bare = F.substring_index(canonical, "|", -1)
-    number = F.concat(F.when(bare.startswith("0"), "0").otherwise(lead), F.substring(digits, 1, 31))
-    same = number.substr(F.lit(1), F.length(bare))
+    # A format that is used up lets the leading zero go, then takes more digits.
+    zero, longer = bare.startswith("0") & (attempt < 8), F.greatest(F.lit(0), F.floor((attempt - 12) / 4)).cast("int")
+    number = F.concat(F.when(zero, "0").otherwise(lead), F.substring(digits, 1, 31))
+    same = number.substr(F.lit(1), F.length(bare) + longer)
     letters = F.translate(digest, "0123456789abcdef", "abcdefghijklmnop")
     domain = F.sha2(F.concat_ws("|", F.lit(key), F.lit("domain"), F.substring_index(canonical, "@", -1)), 256)
     host = F.translate(F.substring(domain, 1, 8), "0123456789abcdef", "bcdfghjklmnprstv")
@@ -146,6 +150,7 @@ def _noted(kind: Column, value: Column, surrogate: Column) -> Column:
     filled = F.array_join(
         F.zip_with(chars, rank, lambda c, r: F.when(c.rlike("^[0-9]$"), surrogate_digits.substr(r, F.lit(1))).otherwise(c)), ""
     )
+    filled = F.concat(filled, surrogate_digits.substr(F.element_at(rank, -1) + 1, F.length(surrogate_digits)))
     title = F.regexp_extract(value, rf"^(?:{_MALE}|{_FEMALE})\.? ", 0)
     person = F.concat(title, F.initcap(F.substring_index(surrogate, ":", -1)))
     cased = F.when((value == F.upper(value)) & value.rlike("[A-F]"), F.upper(surrogate)).otherwise(surrogate)
@@ -171,8 +176,6 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
         if pending.isEmpty():
             return done
         attempt += 1
-        if attempt > 60:
-            raise ValueError("there are more entities of a type than surrogates")
 
 
 def replaced(

@@ -2,7 +2,8 @@
 
 1. Texts become ids once (the tokenizers library, in Arrow batches) and are stored.
    What a run of characters between white space becomes is remembered by the worker:
-   the tokenizer drops white space and never merges across it.
+   the tokenizer drops white space and never merges across it. A tokenizer file whose steps
+   are others than these gets whole texts.
 2. Ids are counted over all documents: per partition first, then summed. The table has
    at most one row per id of the vocabulary, which bounds what the driver reads.
 3. Package-merge gives the optimal code lengths under ``max_bits``; codes are canonical,
@@ -20,6 +21,7 @@ first; rows that repeat an id follow each other. Other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from array import array
@@ -68,6 +70,7 @@ class _Runs(Recent):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.kind = Tokenizer.from_file(path), _ARRAY[kind]
+        self.by_runs = _splits_at_white_space(json.loads(self.tokenizer.to_str()))
         self.pieces = _Pieces(self.tokenizer.model, kind)
         self.marks: dict[str, bytes] = {"": b""}
 
@@ -87,6 +90,28 @@ class _Runs(Recent):
         return array(self.kind, self.tokenizer.encode(run, add_special_tokens=False).ids).tobytes()
 
 
+#: The steps before the merges for which runs can be encoded one by one.
+_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _splits_at_white_space(steps: dict) -> bool:
+    """Whether the tokenizer lower-cases, drops white space and splits letters, digits and marks,
+    byte by byte below. Every other tokenizer gets whole texts."""
+    normalizers = (steps.get("normalizer") or {}).get("normalizers") or [{}]
+    split, *level = (steps.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    space = next((n for n in normalizers if n.get("type") == "Replace"), {})
+    return (
+        [n.get("type") for n in normalizers] == _NORMALIZERS
+        and (space.get("pattern"), space.get("content")) == ({"Regex": r"\s+"}, " ")
+        and split.get("pattern") == {"Regex": _SPLIT}
+        and (split.get("behavior"), split.get("invert")) == ("Removed", True)
+        and [(x.get("type"), x.get("add_prefix_space"), x.get("use_regex")) for x in level] == [("ByteLevel", False, False)]
+        and not steps["model"].get("dropout")
+        and not any(t["content"].isalpha() or _SPACES.search(t["content"]) for t in steps["added_tokens"])
+    )
+
+
 def _plain(word: str) -> bool:
     """Composed, and without the letters whose lower case depends on their place."""
     return "\u03a3" not in word and "\u0130" not in word and is_normalized("NFC", word)
@@ -113,6 +138,8 @@ def _split(text: str) -> list[str]:
 def encode_texts(texts: list[str], path: str, end_id: int, kind: str) -> list[bytes]:
     """Ids of whole texts, each closed by ``end_id``."""
     runs, end = _runs(path, kind), np.array([end_id], dtype=kind).tobytes()
+    if not runs.by_runs:
+        return [runs.whole(text) + end for text in texts]
     return [b"".join([runs[run] for run in _split(text)]) + end for text in texts]
 
 
@@ -277,7 +304,10 @@ def write_token_files(
 
     fields = [T.StructField("id", id_type), T.StructField("n", T.LongType())]
     coded_schema = T.StructType([*fields, T.StructField("bits", T.BinaryType()), T.StructField("marks", T.BinaryType())])
-    ordered = tokens.mapInArrow(code, coded_schema).repartitionByRange("id").sortWithinPartitions("id", "n", "bits")
+    # Ranges are drawn from the stored ids and coding comes after the exchange, so it runs once.
+    # The hash tells rows apart that repeat an id or have none.
+    order = ("id", "n", F.xxhash64("ids"))
+    ordered = tokens.repartitionByRange(*order).sortWithinPartitions(*order, "ids").mapInArrow(code, coded_schema)
     arrow_id = to_arrow_type(id_type)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

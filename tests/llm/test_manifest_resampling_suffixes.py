@@ -101,6 +101,7 @@ def test_suffix_dedup_cuts_heavy_keys(docs, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "GROUP", 1 << 12)
     monkeypatch.setattr(suffix_dedup, "SHARD", 1 << 10)
     monkeypatch.setattr(suffix_dedup, "BLOCK", 1 << 10)
+    monkeypatch.setattr(suffix_dedup, "LONGEST", 200)
     assert Counter((*r[:5], bytes(r["kept"])) for r in suffix_dedup.without_repeats(docs).collect()) == cut_by_hand(ROWS)
 
 

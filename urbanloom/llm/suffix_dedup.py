@@ -4,6 +4,10 @@ A byte goes if it is covered by a string of ``depth`` bytes that also starts in
 a smaller id. Matches never cross documents, overlaps count, and strings are judged on the
 input. All occurrences of a string must meet, and no task may see the whole text:
 
+0. Copies. Texts are cut where their content says so into chunks of some hundred bytes, each
+   with all strings that start in it. A chunk that several documents hold is one text with the
+   smallest id it occurs in: with a larger id all its strings go, and only that one text takes
+   part in what follows. Thousands of copies of a document cost as much as one.
 1. Routing. Among the ``GRAM``-byte grams of a string, the one with the smallest hash (the first
    of equal ones) is the string's anchor, so equal strings have one anchor wherever they stand.
    Neighbouring starts with one anchor form a segment, of at most twice ``depth`` bytes; the
@@ -35,7 +39,7 @@ other. Ids are integers. Other columns are ignored. An empty table gives an empt
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -52,6 +56,8 @@ GRAM = 16
 BITS, BUCKET = 26, 1 << 24
 #: Bytes of segments of a group, bytes of a shard, and segments from which a key is cut.
 GROUP, SHARD, HEAVY = 1 << 19, 1 << 16, 2_048
+#: One segment in so many begins a chunk, of this many starts at most.
+CHUNK, LONGEST = 16, 1 << 14
 #: Starts that are read of a text at a time; a place within them fits the bits of _PLACE.
 BLOCK = 1 << 19
 _PLACE = np.uint64((1 << 20) - 1)
@@ -89,6 +95,9 @@ class Segments(NamedTuple):
     left: np.ndarray
     right: np.ndarray
 
+    def where(self, some: np.ndarray) -> Segments:
+        return Segments(*(column[some] for column in self))
+
     def grams(self) -> np.ndarray:
         return np.concatenate([self.left[self.turn > self.start], self.right[self.turn < self.start + self.count]])
 
@@ -120,6 +129,26 @@ def segments(text: bytes, depth: int) -> Iterator[Segments]:
         )
 
 
+def chunks(parts: Sequence[Segments], text: bytes, depth: int) -> list[tuple[int, int, int]]:
+    """(start, end, hash) of the chunks of a text: starts from ``start`` up to ``end``, and the
+    hash of all bytes their strings cover. Some segments, by their key, begin a chunk."""
+    import xxhash
+
+    start = np.concatenate([part.start for part in parts])
+    key = np.concatenate([part.key for part in parts])
+    end = len(text) - depth + 1
+    heads = np.flatnonzero(key % np.uint64(CHUNK) == 0)
+    bounds = np.unique(np.concatenate([[0], start[heads], [end]]))
+    # long ones are cut too, at a segment: no segment lies in two chunks
+    extra = [np.arange(a + LONGEST, b, LONGEST) for a, b in zip(bounds[:-1], bounds[1:]) if b - a > LONGEST]
+    if extra:
+        at = np.searchsorted(start, np.concatenate(extra))
+        bounds = np.unique(np.concatenate([bounds, start[at[at < len(start)]]]))
+    cuts = bounds.tolist()
+    found = [(a, b, xxhash.xxh64_intdigest(text[a : b + depth - 1])) for a, b in zip(cuts, cuts[1:])]
+    return found
+
+
 def _bytes(value: pa.Scalar) -> bytes:
     return value.as_buffer().to_pybytes() if value.is_valid else b""
 
@@ -131,6 +160,20 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(named(id_col).alias("id"), own.alias("own"), F.xxhash64(named(id_col), text).alias("hash"), text.alias("text"))
 
 
+def _own_parts(value: pa.Scalar, is_chunk: bool, copied: Repeats | None, depth: int) -> tuple[bytes, list[Segments]]:
+    """A text and its segments without those in copied chunks; a chunk keeps its own."""
+    text = _bytes(value)
+    parts = list(segments(text, depth))
+    if copied is None or is_chunk or not parts:
+        return text, parts
+    cut = chunks(parts, text, depth)
+    gone = copied(np.array([h for *_, h in cut], dtype=np.uint64))
+    if not gone.any():
+        return text, parts
+    ends = np.array([b for _, b, _ in cut])
+    return text, [part.where(~gone[np.searchsorted(ends, part.start, side="right")]) for part in parts]
+
+
 def _place(gram: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Bucket and 32-bit fingerprint of grams; buckets rise with the grams."""
     return ((gram >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32), (gram & np.uint64(0xFFFFFFFF)).astype(np.uint32)
@@ -141,7 +184,7 @@ def _bit(bucket: np.ndarray, mark: np.ndarray) -> np.ndarray:
 
 
 class Repeats:
-    """The bitmap of wider grams that occur in two rows or more."""
+    """A bitmap of hashes that occur in two rows or more."""
 
     def __init__(self, bits: bytes, buckets: int):
         self.bits, self.buckets = bits, buckets
@@ -152,15 +195,17 @@ class Repeats:
         return (words[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
-def repeated_grams(source: DataFrame, depth: int) -> Repeats:
+def repeated_hashes(source: DataFrame, hashes: Callable[[pa.Scalar, bool], list[np.ndarray]]) -> Repeats:
+    """What occurs in two rows or more of the 64-bit ``hashes`` of a text; ``source`` has text
+    and is_chunk."""
     size = source.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     buckets = max(64, -(-size // BUCKET))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [np.zeros(0, dtype=np.uint64)]
-            for value in batch.column(0):
-                own = [part.grams() for part in segments(_bytes(value), depth)]
+            for value, is_chunk in zip(batch.column(0), batch.column(1).to_pylist()):
+                own = hashes(value, is_chunk)
                 if own:
                     found.append(np.unique(np.concatenate(own)))
             grams = np.sort(np.concatenate(found))
@@ -183,7 +228,7 @@ def repeated_grams(source: DataFrame, depth: int) -> Repeats:
         bits = np.uint64(1) << (place & np.uint64(63))
         return pa.table({"word": word[heads].view(np.int64), "bits": np.bitwise_or.reduceat(bits, heads).view(np.int64) if len(heads) else bits.view(np.int64)})
 
-    packed = source.select("text").mapInArrow(pack, "bucket long, marks binary")
+    packed = source.select("text", "is_chunk").mapInArrow(pack, "bucket long, marks binary")
     words = packed.groupBy("bucket").applyInArrow(count, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
     bitmap = np.zeros(1 << (BITS - 6), dtype=np.int64)
     table = words.toArrow()  # at most one row per word of the bitmap
@@ -191,16 +236,60 @@ def repeated_grams(source: DataFrame, depth: int) -> Repeats:
     return Repeats(bitmap.tobytes(), buckets)
 
 
-def occurrences(source: DataFrame, repeats: Repeats, depth: int) -> DataFrame:
+def copied_chunks(source: DataFrame, depth: int) -> tuple[Repeats, DataFrame]:
+    """The chunks that occur in two rows or more, and their occurrences (chunk, own, hash, start,
+    text)."""
+
+    def own(value: pa.Scalar, _: bool) -> list[np.ndarray]:
+        text = _bytes(value)
+        return [np.array([h for *_, h in chunks(list(segments(text, depth)), text, depth)], dtype=np.uint64)] if len(text) >= depth else []
+
+    repeats = repeated_hashes(source, own)
+    shared = source.sparkSession.sparkContext.broadcast(repeats)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, found, starts, texts = [], [], [], []
+            for k, value in enumerate(batch.column(2)):
+                text = _bytes(value)
+                cut = chunks(list(segments(text, depth)), text, depth) if len(text) >= depth else []
+                again = shared.value(np.array([h for *_, h in cut], dtype=np.uint64)) if cut else ()
+                for (a, b, h), is_copy in zip(cut, again):
+                    if is_copy:
+                        rows.append(k)
+                        found.append(h)
+                        starts.append(a)
+                        texts.append(text[a : b + depth - 1])
+            of = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.array(found, dtype=np.uint64).view(np.int64)), batch.column(0).take(of), batch.column(1).take(of),
+                    pa.array(starts, pa.int64()), pa.array(texts, pa.binary()),
+                ],
+                names=["chunk", "own", "hash", "start", "text"],
+            )
+
+    rows = source.select("own", "hash", "text").mapInArrow(run, "chunk long, own long, hash long, start long, text binary")
+    return repeats, stored(rows, "suffix-copies")
+
+
+def _gram_hashes_of(copied: Repeats, depth: int) -> Callable[[pa.Scalar, bool], list[np.ndarray]]:
+    def own(value: pa.Scalar, is_chunk: bool) -> list[np.ndarray]:
+        return [part.grams() for part in _own_parts(value, is_chunk, copied, depth)[1]]
+
+    return own
+
+
+def occurrences(source: DataFrame, repeats: Repeats, copied: Repeats, depth: int) -> DataFrame:
     """(key, part, segment, own, hash, start) of the segments that hold repeated grams;
     ``part`` is the segment's own hash."""
-    shared = source.sparkSession.sparkContext.broadcast(repeats)
+    shared = source.sparkSession.sparkContext.broadcast((repeats, copied))
     schema = "own long, hash long, key long, part long, start long, segment binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        wanted = shared.value
+        wanted, gone = shared.value
         names = ["own", "hash", "key", "part", "start", "segment"]
         for batch in batches:
             rows, keys, starts, texts = [], [], [], []
@@ -214,9 +303,9 @@ def occurrences(source: DataFrame, repeats: Repeats, depth: int) -> DataFrame:
                 ]
                 return pa.RecordBatch.from_arrays(columns, names=names)
 
-            for k, value in enumerate(batch.column(2)):
-                text = _bytes(value)
-                for part in segments(text, depth):
+            for k, (value, is_chunk) in enumerate(zip(batch.column(2), batch.column(3).to_pylist())):
+                text, parts = _own_parts(value, is_chunk, gone, depth)
+                for part in parts:
                     key, start, count = part.kept(wanted)
                     rows.append((k, len(key)))
                     keys.append(key)
@@ -228,7 +317,7 @@ def occurrences(source: DataFrame, repeats: Repeats, depth: int) -> DataFrame:
             if texts:
                 yield out()
 
-    return source.select("own", "hash", "text").mapInArrow(run, schema)
+    return source.select("own", "hash", "text", "is_chunk").mapInArrow(run, schema)
 
 
 def _cut_pieces(heavy: DataFrame, depth: int) -> DataFrame:
@@ -354,13 +443,29 @@ def without_repeats(
     if depth < 3 * GRAM:
         raise ValueError(f"depth is {3 * GRAM} at least")
     source = _keyed(docs, id_col, text_col)
-    found = stored(occurrences(source, repeated_grams(source, depth), depth), "suffix-occurrences")
+    texts = source.select("own", "hash", "text", F.lit(False).alias("is_chunk"))
+    copied, copies = copied_chunks(texts, depth)
+    # the bytes are part of the key, so chunks with one hash stay apart; the second hash names them
+    named_ = F.xxhash64("text", "chunk").alias("hash")
+    distinct = stored(copies.groupBy("chunk", "text").agg(F.min("own").alias("own")), "suffix-chunks").select("own", named_, "text", F.lit(True).alias("is_chunk"))
+    both = texts.unionByName(distinct)
+    repeats = repeated_hashes(both, _gram_hashes_of(copied, depth))
+    found = stored(occurrences(both, repeats, copied, depth), "suffix-occurrences")
     runs = merged_runs(found, depth)
     at = F.col("start") + F.col("offset")
-    covered = (
+    cut = (
         found.select("key", "part", "own", "hash", "start").join(runs, ["key", "part"]).filter(F.col("least") < F.col("own"))
-        .groupBy("own", "hash").agg(F.collect_list(F.struct(at.alias("a"), (at + F.col("starts") + (depth - 1)).alias("b"))).alias("runs"))
+        .select("own", "hash", at.alias("a"), (at + F.col("starts") + (depth - 1)).alias("b"))
     )
+    cut = stored(cut, "suffix-cut")
+    # Spans of texts, spans of chunks where they occur first, and whole chunks wherever else.
+    first = distinct.select(F.col("hash").alias("chunk"), F.col("own").alias("first"))
+    placed = copies.select(F.xxhash64("text", "chunk").alias("chunk"), "own", "hash", "start", F.length("text").alias("n")).join(first, "chunk")
+    again = placed.filter(F.col("own") > F.col("first")).select("own", "hash", F.col("start").alias("a"), (F.col("start") + F.col("n")).alias("b"))
+    inner = cut.select(F.col("own").alias("first"), F.col("hash").alias("chunk"), F.col("a").alias("x"), F.col("b").alias("y"))
+    within = placed.filter(F.col("own") == F.col("first")).join(inner, ["chunk", "first"])
+    within = within.select("own", "hash", (F.col("start") + F.col("x")).alias("a"), (F.col("start") + F.col("y")).alias("b"))
+    covered = cut.unionByName(again).unionByName(within).groupBy("own", "hash").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
     schema = T.StructType([T.StructField("id", source.schema["id"].dataType)])
     for name, kind in (("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()), ("kept_sha256", T.StringType()), ("kept", T.BinaryType())):
         if with_kept or name != "kept":

@@ -170,3 +170,95 @@ def test_settled_rows_are_read_from_storage(spark):
 
 def test_dev_sample(spark):
     assert slices.dev_sample(spark.range(50), 10).count() == 10 and slices.dev_sample(spark.range(50)).count() == 50
+
+
+# ---- arrays and pages read by many tasks ----
+
+ARRAY = "id bigint, name string, nested struct<x:int>, at timestamp_ntz"
+
+
+def write_array(path, records, indent=2):
+    import json
+
+    path.write_text(json.dumps(records, indent=indent), encoding="utf-8")
+
+
+def test_one_array_is_read_by_many_tasks(spark, tmp_path):
+    records = [
+        {"id": k, "name": f"n{k} }},\n  {{\n \"q\" é", "nested": {"x": k % 7}, "at": "2024-01-01T00:00:00"} if k % 5 else {"id": k, "name": None}
+        for k in range(30_000)
+    ]
+    write_array(tmp_path / "big.json", records)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        schema = spark.createDataFrame([], ARRAY).schema
+        found = landed.scan_json_arrays(spark, str(tmp_path / "big.json"), schema)
+        assert found.rdd.getNumPartitions() > 4
+        whole = landed.scan_json(spark, str(tmp_path / "big.json"), schema)
+        assert whole.rdd.getNumPartitions() == 1
+        assert found.count() == 30_000 and found.exceptAll(whole).count() == 0 and whole.exceptAll(found).count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_arrays_of_none_and_one(spark, tmp_path):
+    write_array(tmp_path / "none.json", [])
+    write_array(tmp_path / "one.json", [{"id": 1, "name": "a"}])
+    (tmp_path / "blank.json").write_text("")
+    schema = spark.createDataFrame([], ARRAY).schema
+    assert values(landed.scan_json_arrays(spark, str(tmp_path), schema), "id", "name") == [(1, "a")]
+    assert landed.unfinished_arrays(spark, str(tmp_path / "o*.json")).count() == 0
+
+
+@pytest.mark.parametrize("broken", ["cut", "compact", "other indent", "empty object"])
+def test_other_arrays_are_no_silent_loss(spark, tmp_path, broken):
+    import json
+
+    records = [{"id": k, "name": "x"} for k in range(50)]
+    text = {
+        "cut": json.dumps(records, indent=2)[:-14],
+        "compact": json.dumps(records),
+        "other indent": json.dumps(records, indent=4),
+        "empty object": json.dumps([*records, {}, {"id": 1}], indent=2),
+    }[broken]
+    (tmp_path / "a.json").write_text(text)
+    with pytest.raises(Exception, match="not one record|MALFORMED|Malformed"):
+        landed.scan_json_arrays(spark, str(tmp_path / "a.json"), spark.createDataFrame([], ARRAY).schema).collect()
+
+
+def test_unfinished_arrays_are_found(spark, tmp_path):
+    write_array(tmp_path / "good.json", [{"id": 1}])
+    (tmp_path / "bad.json").write_text('[\n  {\n    "id": 1\n  },\n  {\n    "id": 2\n  }')
+    assert [r["file"].rsplit("/")[-1] for r in landed.unfinished_arrays(spark, str(tmp_path)).collect()] == ["bad.json"]
+
+
+PAGE = "id bigint, name string, at timestamp_ntz"
+
+
+def test_pages_align_by_their_headers(spark, tmp_path):
+    for k in range(300):
+        if k % 3:
+            (tmp_path / f"p{k}.csv").write_text(f'id,name,at\n{k},"a, {k}",2024-01-01T00:00:00\nid,name,at\n')
+        else:
+            (tmp_path / f"p{k}.csv").write_text(f"at,id\n2024-01-02T00:00:00,{k}\n")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "header.csv").write_text("id,name,at\n")
+    schema = spark.createDataFrame([], PAGE).schema
+    found = landed.scan_pages(spark, str(tmp_path), schema)
+    rows_ = {r["id"]: (r["name"], r["at"].day) for r in found.collect()}
+    assert rows_ == {k: (f"a, {k}", 1) if k % 3 else (None, 2) for k in range(300)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    few = landed.scan_pages(spark, [str(tmp_path / "p1.csv"), str(tmp_path / "p3.csv")], schema)
+    assert len(plan.splitlines()) == len(few._jdf.queryExecution().optimizedPlan().toString().splitlines())
+
+
+def test_page_columns_outside_the_schema(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,more\n1,x\n")
+    schema = spark.createDataFrame([], PAGE).schema
+    with pytest.raises(ValueError, match="more"):
+        landed.scan_pages(spark, str(tmp_path), schema)
+    assert values(landed.scan_pages(spark, str(tmp_path), schema, extra="ignore"), "id", "name") == [(1, None)]
+    (tmp_path / "b.csv").write_text("id,name,at\n1,x,2024-01-01T00:00:00\nnot a number,x,\n")
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        landed.scan_pages(spark, str(tmp_path / "b.csv"), schema).collect()

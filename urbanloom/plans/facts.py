@@ -206,3 +206,14 @@ def star_report(trips: DataFrame) -> DataFrame:
         F.count_if("is_stuck_in_traffic").alias("stuck_trips"),
         F.sum("trip_duration_minutes").alias("total_minutes"),
     )
+
+
+def complaints_report(daily: DataFrame, monthly: DataFrame) -> DataFrame:
+    """Complaints by month, borough, weather and how well the month's agencies did for the
+    complaint type (the greatest category by name). The monthly side is one row per month and
+    type before it is joined."""
+    best = monthly.groupBy("month", "complaint_type").agg(F.max("performance_category").alias("performance_category"))
+    joined = daily.withColumn("month", F.trunc("request_date", "MM")).join(best, ["month", "complaint_type"], "left")
+    return joined.groupBy(
+        F.col("request_year").alias("year"), F.col("request_month").alias("month"), "borough", "weather_condition", "performance_category"
+    ).agg(F.count("*").alias("days"), F.sum("total_complaints").alias("complaints"))

@@ -92,6 +92,12 @@ class Feeds:
     def matched(self):
         return trips.int_trips_with_traffic(self.enriched, self.zones, self.hourly_table)
 
+    @cached_property
+    def matched_feeds(self):
+        """As ``matched``, from the three staged feeds."""
+        enriched = trips.int_trips_enriched(self.yellow, self.hvfhv, self.fhv, self.weather_table)
+        return trips.int_trips_with_traffic(enriched, self.zones, self.hourly_table)
+
     @cached_property
     def demand(self):
         return trips.int_taxi_demand_hourly(self.enriched)

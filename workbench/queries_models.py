@@ -158,6 +158,35 @@ def fact_taxi_trips(f):
     return f.fact_trips
 
 
+FROM_FEEDS = {"enriched": MODELS["enriched_feeds"]}
+
+
+@query("int_trips_with_traffic_feeds", "select * from matched", replaced=FROM_FEEDS)
+def int_trips_with_traffic_feeds(f):
+    """The whole chain: three staged feeds, weather, zones and traffic, with all values."""
+    return f.matched_feeds
+
+
+@query("fact_taxi_trips_feeds", "select * from fact_trips", replaced=FROM_FEEDS)
+def fact_taxi_trips_feeds(f):
+    """The whole chain from the staged feeds to the 33 columns of the fact."""
+    return facts.fact_taxi_trips(f.matched_feeds, f.dates, f.hours, f.dim_zones, f.dim_weather, AS_OF)
+
+
+@query(
+    "star_join_311",
+    """select d.request_year as year, d.request_month as month, d.borough, d.weather_condition, m.performance_category,
+         count(*) as days, cast(sum(d.total_complaints) as bigint) as complaints
+       from fact_daily d left join (select month, complaint_type, max(performance_category) as performance_category
+           from fact_monthly group by 1, 2) m
+         on cast(date_trunc('month', d.request_date) as date) = m.month and d.complaint_type = m.complaint_type
+       group by 1, 2, 3, 4, 5""",
+)
+def star_join_311(f):
+    """Both complaint facts in one report: daily volume by weather and the month's best category."""
+    return facts.complaints_report(f.fact_daily, f.fact_monthly)
+
+
 @query("fact_311_complaints_daily", "select * from fact_daily")
 def fact_311_complaints_daily(f):
     return f.fact_daily

@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from urbanloom import schemas
+from urbanloom.operators import sketches
 from urbanloom.operators.merge import high_water_mark, merge_incremental, merge_unseen, one_per_key
+from urbanloom.operators.versioned_merge import merge_versioned
+from urbanloom.plans.facts import CALENDAR_PARTS
+from urbanloom.plans.staging import stg_traffic_speed
+from urbanloom.plans.traffic import int_traffic_hourly_avg
 from urbanloom.scratch import new_folder
 from urbanloom.sources import landed, layout, slices, tables
-from urbanloom.streaming import jobs
+from urbanloom.sources.changes import read_model, rebuild_changed
+from urbanloom.sources.snapshots import Snapshots
+from urbanloom.streaming import jobs, stateful
 
 from .catalog import query
+from .feeds import AS_OF
 from .models import trip_key
 
 MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"  # text files keep the full fraction
@@ -23,8 +31,28 @@ SPEED_RAW = """link_id, transcom_id, link_name, borough, owner, data_as_of, spee
 SPEED_SCHEMA = schemas.without_zone(schemas.TRAFFIC_SPEED)
 
 
+def land_arrays(rows, folder, slice_, order):
+    """Each slice of a feed as pretty-printed arrays, as its collector lands them."""
+    pretty = F.to_json(F.struct(*rows.columns), {"pretty": "true", "timestampNTZFormat": MICROS, "ignoreNullFields": "false"})
+    in_slice = Window.partitionBy("slice").orderBy(*order)
+    lines = rows.withColumn("slice", slice_).withColumn("record", F.regexp_replace(pretty, "(?m)^", "  "))
+    first, last = F.lag("record").over(in_slice), F.lead("record").over(in_slice)
+    lines = lines.withColumns({"head": F.when(first.isNull(), "[\n").otherwise(""), "tail": F.when(last.isNull(), "\n]").otherwise(",")})
+    texts = lines.sortWithinPartitions("slice", *order).select("slice", F.concat("head", "record", "tail").alias("value"))
+    texts.write.partitionBy("slice").text(folder)
+
+
 @query("scan_json", f"select {SPEED_RAW} from raw_speed")
 def scan_json(f):
+    """One pretty-printed array per day, cut into records by the scan."""
+    folder = new_folder(f.spark, "speed-json")
+    speeds = f.view("raw_speed")
+    land_arrays(speeds, folder, F.to_date("data_as_of").cast("string"), ["data_as_of", "link_id", "speed", "travel_time"])
+    return landed.scan_json_arrays(f.spark, f"{folder}/slice=*", SPEED_SCHEMA)
+
+
+@query("scan_json_lines", f"select {SPEED_RAW} from raw_speed")
+def scan_json_lines(f):
     folder = new_folder(f.spark, "speed-json")
     f.view("raw_speed").write.option("timestampNTZFormat", MICROS).json(folder)
     return landed.scan_json(f.spark, folder, SPEED_SCHEMA, whole_file=False)
@@ -55,22 +83,20 @@ def scan_seed(f):
     return landed.scan_seed(f.spark, folder, schemas.ZONE_LOOKUP)
 
 
+PAGES = 40
+
+
 @query("stitch_pages", f"select {SPEED_RAW} from raw_speed")
 def stitch_pages(f):
-    """Pages of a feed land as separate files with a header each; one page lacks
-    a column. All come back as one record set."""
+    """Pages of a feed land as files with a header each; some lack a column, some have another
+    order. One scan aligns all by their headers."""
     folder = new_folder(f.spark, "pages")
     speeds = f.view("raw_speed")
     late = speeds.status.isNull()
-    speeds.filter(~late).write.option("header", "true").option("timestampNTZFormat", MICROS).csv(f"{folder}/pages-a")
-    speeds.filter(late).drop("status").write.option("header", "true").option("timestampNTZFormat", MICROS).csv(f"{folder}/pages-b")
-    narrow = type(SPEED_SCHEMA)([field for field in SPEED_SCHEMA.fields if field.name != "status"])
-    return landed.stitch_pages(
-        [
-            landed.scan_csv(f.spark, f"{folder}/pages-a", SPEED_SCHEMA),
-            landed.scan_csv(f.spark, f"{folder}/pages-b", narrow),
-        ]
-    )
+    turned = speeds.filter(late).drop("status").select("speed", "data_as_of", *[c for c in speeds.columns if c not in ("speed", "data_as_of", "status")])
+    for kind, rows in (("a", speeds.filter(~late)), ("b", turned)):
+        rows.repartition(PAGES).write.option("header", "true").option("timestampNTZFormat", MICROS).csv(f"{folder}/kind={kind}")
+    return landed.scan_pages(f.spark, f"{folder}/kind=*", SPEED_SCHEMA)
 
 
 @query(
@@ -158,8 +184,6 @@ def retention_filter(f):
 def materialize_layer(f):
     """Staging is a view in development and a table in production; the model on
     top gives the same result either way."""
-    from urbanloom.plans.traffic import int_traffic_hourly_avg
-
     parts = []
     for env in ("dev", "prod"):
         root = new_folder(f.spark, f"layer-{env}")
@@ -175,17 +199,22 @@ def materialize_layer(f):
 
 @query(
     "partitioned_table",
-    """select service_type, pickup_location_id, cast(pickup_datetime as date) as partition_day, count(*) as n
-       from enriched where cast(pickup_datetime as date) between date '2024-01-08' and date '2024-01-14'
-       group by 1, 2, 3""",
+    """select cast(pickup_datetime as date) between date '2024-01-08' and date '2024-01-14' as in_week,
+         service_type, pickup_location_id, cast(pickup_datetime as date) as partition_day, count(*) as n
+       from enriched group by 1, 2, 3, 4""",
 )
 def partitioned_table(f):
-    """Day-partitioned, clustered table; the week is read by partition pruning."""
+    """Day-partitioned, clustered table; one week is read by partition pruning, then all others."""
     folder = new_folder(f.spark, "enriched")
     tables.write_model(f.enriched, folder, "int_trips_enriched")
     stored = f.spark.read.parquet(folder)
-    week = stored.filter(stored[tables.PARTITION_DAY].between(F.lit("2024-01-08").cast("date"), F.lit("2024-01-14").cast("date")))
-    return week.groupBy("service_type", "pickup_location_id", tables.PARTITION_DAY).agg(F.count("*").alias("n"))
+    in_week = stored[tables.PARTITION_DAY].between(F.lit("2024-01-08").cast("date"), F.lit("2024-01-14").cast("date"))
+    parts = [stored.filter(in_week), stored.filter(~in_week)]
+    counts = [
+        part.groupBy(F.lit(inside).alias("in_week"), "service_type", "pickup_location_id", tables.PARTITION_DAY).agg(F.count("*").alias("n"))
+        for part, inside in zip(parts, (True, False))
+    ]
+    return landed.stitch_pages(counts)
 
 
 FACT_COLUMNS = """service_type, pickup_datetime, pickup_zone_id, dropoff_zone_id, trip_duration_minutes,
@@ -202,16 +231,124 @@ def slim_fact(f):
     return f.fact_trips.select("trip_id", *columns)
 
 
-@query("incremental_merge", ONE_PER_KEY.format(source=f"select trip_id, {FACT_COLUMNS} from fact_trips"))
+WHOLE_FACT = [
+    "service_type", "pickup_datetime", *[f"pickup_{part}" for part in CALENDAR_PARTS], "pickup_hour", "pickup_time_slot",
+    "pickup_is_rush_hour", "pickup_zone_id", "pickup_zone_name", "pickup_borough", "pickup_zone_category",
+    "dropoff_zone_id", "dropoff_zone_name", "dropoff_borough", "weather_condition", "weather_temp_avg_celcius",
+    "is_extreme_snow", "is_extreme_rain", "trip_duration_minutes", "trip_distance_miles", "distance_category",
+    "traffic_avg_speed_mph", "traffic_is_congested", "estimated_duration_minutes", "duration_diff_minutes", "is_stuck_in_traffic",
+]
+SMALLEST = ", ".join(f"{c} nulls first" for c in WHOLE_FACT)
+ONE_WHOLE_ROW = f"""select * exclude (rank_in_key) from (select *, row_number() over (partition by trip_id order by {SMALLEST})
+  as rank_in_key from fact_trips) k where rank_in_key = 1"""
+
+
+def stored_fact(f):
+    """The whole fact as a day-partitioned table, the source of the loads."""
+    folder = new_folder(f.spark, "fact-source")
+    tables.write_model(f.fact_trips, folder, "fact_taxi_trips")
+    return f.spark.read.parquet(folder)
+
+
+@query("incremental_merge", ONE_WHOLE_ROW)
 def incremental_merge(f):
-    """Three loads: the first days, everything, and everything again; the last
+    """Three loads of all 33 columns: the first days, everything, and everything again; the last
     one adds nothing."""
-    path = new_folder(f.spark, "fact")
-    fact = slim_fact(f)
-    first = fact.filter(fact.pickup_datetime < F.lit("2024-01-20").cast("timestamp_ntz"))
+    table = Snapshots(f.spark, new_folder(f.spark, "fact"))
+    fact = stored_fact(f)
+    first = fact.filter(fact[tables.PARTITION_DAY] < F.lit("2024-01-20").cast("date"))
     for source in (first, fact, fact):
-        merge_incremental(source, path, "trip_id", "pickup_datetime", ("service_type",))
-    return f.spark.read.parquet(path).drop(tables.PARTITION_DAY)
+        merge_versioned(source, table, "trip_id", "pickup_datetime", ("service_type",))
+    return table.read().drop(tables.PARTITION_DAY)
+
+
+@query(
+    "merge_moved_keys",
+    f"""select * replace (case when service_type = 'FHV' then pickup_datetime + interval 1 day else pickup_datetime end
+         as pickup_datetime) from ({ONE_WHOLE_ROW}) m""",
+)
+def merge_moved_keys(f):
+    """Trips of one service move to the next day; none of them stays on its old one."""
+    table = Snapshots(f.spark, new_folder(f.spark, "fact-moved"))
+    fact = stored_fact(f)
+    merge_versioned(fact, table, "trip_id", "pickup_datetime", ("service_type",))
+    moved = table.read().filter("service_type = 'FHV'").drop(tables.PARTITION_DAY)
+    moved = moved.withColumn("pickup_datetime", F.col("pickup_datetime") + F.expr("interval 1 day"))
+    merge_versioned(moved, table, "trip_id", "pickup_datetime", ("service_type",), timedelta(days=400), update_matched=True)
+    return table.read().drop(tables.PARTITION_DAY)
+
+
+@query(
+    "retention_partitions",
+    "select event_id, ts, true as only_old_days_gone from events where cast(ts as date) >= date '2024-01-23'",
+)
+def retention_partitions(f):
+    """Days past the hourly feed's week leave the table by its manifest alone."""
+    table = Snapshots(f.spark, new_folder(f.spark, "kept"))
+    table.publish(table.stage(tables.clustered(f.events.select("event_id", "ts"), "ts", ()), None))
+    before, now = set(table.manifest().days), date(2024, 1, 30)
+    listed = table.expire(slices.RETENTION_DAYS["hour"], now, dry_run=True)
+    gone = table.expire(slices.RETENTION_DAYS["hour"], now)
+    right = gone == listed == sorted(day for day in before if day < "2024-01-23")
+    return table.read().select("event_id", "ts", F.lit(right).alias("only_old_days_gone"))
+
+
+@query(
+    "rebuild_changed_days",
+    """select h.*, d.n as derived_days from hourly h cross join (select count(distinct cast(measurement_hour as date)) as n from hourly
+       where cast(measurement_hour as date) >= date '2024-01-29' or cast(measurement_hour as date) = date '2024-01-10') d""",
+)
+def rebuild_changed_days(f):
+    """The hourly model is brought up to date twice: before the last days landed and one day was
+    corrected, and after. The second run derives those days only."""
+    table = Snapshots(f.spark, new_folder(f.spark, "hourly-days"))
+    speeds, day = f.speeds, F.to_date("measurement_timestamp")
+    old = speeds.filter(day < F.lit("2024-01-29").cast("date")).withColumn(
+        "speed_mph", F.when(day == F.lit("2024-01-10").cast("date"), F.col("speed_mph") / 2).otherwise(F.col("speed_mph"))
+    )
+    runs = [
+        rebuild_changed([(rows, "measurement_timestamp")], table, int_traffic_hourly_avg, "measurement_hour", ("borough", "status_code"))
+        for rows in (old, speeds)
+    ]
+    return read_model(table).withColumn("derived_days", F.lit(len(runs[1])).cast("long"))
+
+
+@query(
+    "distinct_from_days",
+    """select cast(date_trunc('month', request_date) as date) as month, count(distinct zip_code) as zip_codes, true as within_error
+       from stg where zip_code is not null group by 1""".replace("from stg ", "from (select cast(request_created_at as date) as request_date, zip_code from stg_311) s "),
+)
+def distinct_from_days(f):
+    """Months from the sketches of their days, against the exact count."""
+    rows = f.requests.filter("zip_code is not null").withColumn("request_date", F.to_date("request_created_at"))
+    month = F.trunc("request_date", "MM").alias("month")
+    merged = sketches.rolled_up(sketches.daily_sketches(rows, ["request_date"], distinct=["zip_code"]), [month])
+    exact = rows.groupBy(month).agg(F.countDistinct("zip_code").alias("zip_codes"))
+    off = F.abs(sketches.distinct_count("zip_code") - F.col("zip_codes"))
+    return exact.join(merged, "month").select(
+        "month", "zip_codes", (off <= F.greatest(F.lit(1.0), 4 * sketches.distinct_error() * F.col("zip_codes"))).alias("within_error")
+    )
+
+
+@query(
+    "median_from_days",
+    """select cast(date_trunc('month', measurement_timestamp) as date) as month, quantile_disc(speed_mph, 0.5) as median_speed,
+         true as within_error from stg_traffic where measurement_timestamp is not null and speed_mph is not null group by 1""",
+)
+def median_from_days(f):
+    """Monthly medians from the sketches of the days: the sketch's median lies within its error of
+    the exact one, in rank."""
+    rows = f.speeds.filter("measurement_timestamp is not null and speed_mph is not null").withColumn("day", F.to_date("measurement_timestamp"))
+    month = F.trunc("day", "MM").alias("month")
+    merged = sketches.rolled_up(sketches.daily_sketches(rows, ["day"], quantiles=["speed_mph"]), [month])
+    guess = merged.select("month", sketches.quantile("speed_mph", 0.5).alias("guess"))
+    ranked = rows.withColumn("month", F.trunc("day", "MM")).join(guess, "month").groupBy("month").agg(
+        F.expr("percentile_disc(0.5) within group (order by speed_mph)").alias("median_speed"),
+        (F.count_if(F.col("speed_mph") < F.col("guess")) / F.count("*")).alias("below"),
+        (F.count_if(F.col("speed_mph") <= F.col("guess")) / F.count("*")).alias("up_to"),
+    )
+    bound = sketches.quantile_error()
+    return ranked.select("month", "median_speed", ((F.col("below") <= 0.5 + bound) & (F.col("up_to") >= 0.5 - bound)).alias("within_error"))
 
 
 @query(
@@ -281,23 +418,34 @@ def stream_ingest_hourly(f):
 
 @query("stream_traffic_hourly", "select * from hourly")
 def stream_traffic_hourly(f):
-    from urbanloom.plans.staging import stg_traffic_speed
-
-    from .feeds import AS_OF
-
     staged = stg_traffic_speed(landed_speeds(f), AS_OF)
     result = jobs.stream_traffic_hourly(staged, new_folder(f.spark, "hourly"), new_folder(f.spark, "hourly-state"))
     return result.withColumn("measurement_hour", result.measurement_hour.cast("timestamp_ntz"))
 
 
+LANDING = "(coalesce(trip_duration_minutes, 0) + case when is_stuck_in_traffic then 3 else 0 end) % 8"
+
+
 def landed_fact(f):
+    """The fact landed file by file, dealt by what differs between the copies of a trip: a key
+    that is there already comes again in later files."""
     folder = new_folder(f.spark, "stream-fact")
     rows = slim_fact(f)
-    rows.repartition(LANDED_FILES, "trip_id").write.parquet(folder)
+    numbered = tables.settled(rows.withColumn("file", F.expr(f"cast({LANDING} as int)")), "dealt-fact")
+    for number in range(LANDED_FILES):
+        part = numbered.filter(F.abs("file") == number).drop("file")
+        part.coalesce(1).write.mode("append").parquet(folder)
     return jobs.read_landed(f.spark, folder, rows.schema, files_per_batch=1)
 
 
-@query("stream_incremental_fact", ONE_PER_KEY.format(source=f"select trip_id, {FACT_COLUMNS} from fact_trips"))
+# The copy of the first file wins; within one file the smallest row.
+FIRST_LANDED = f"""select trip_id, {FACT_COLUMNS} from (select *, row_number() over (partition by trip_id order by abs({LANDING}),
+  service_type nulls first, pickup_datetime nulls first, pickup_zone_id nulls first, dropoff_zone_id nulls first,
+  trip_duration_minutes nulls first, trip_distance_miles nulls first, is_stuck_in_traffic nulls first) as rank_in_key
+  from fact_trips) k where rank_in_key = 1"""
+
+
+@query("stream_incremental_fact", FIRST_LANDED)
 def stream_incremental_fact(f):
     path = new_folder(f.spark, "streamed-fact")
 
@@ -308,6 +456,33 @@ def stream_incremental_fact(f):
     return f.spark.read.parquet(path).drop(tables.PARTITION_DAY)
 
 
+@query("stream_ingest_compacted", f"select {SPEED_RAW} from raw_speed")
+def stream_ingest_compacted(f):
+    """Batches go to a versioned table; days that several of them added to become one load."""
+    table = Snapshots(f.spark, new_folder(f.spark, "ingested"))
+    stateful.ingest_versioned(landed_speeds(f), table, "data_as_of", new_folder(f.spark, "ingest-state"), compact_above=1)
+    return table.read().drop(tables.PARTITION_DAY)
+
+
+@query("stream_traffic_state", "select * from hourly")
+def stream_traffic_state(f):
+    """Hours kept as keyed state while their rows land out of order."""
+    table = Snapshots(f.spark, new_folder(f.spark, "hourly"))
+    staged = stg_traffic_speed(landed_speeds(f), AS_OF)
+    stateful.hourly_traffic_state(staged, table, new_folder(f.spark, "hourly-state"))
+    result = stateful.read_hourly_traffic(table)
+    return result.withColumn("measurement_hour", result.measurement_hour.cast("timestamp_ntz"))
+
+
+@query("stream_dedup_expiry", f"select distinct {trip_key()} as trip_id, service_type, pickup_datetime from enriched")
+def stream_dedup_expiry(f):
+    """Keys that return in a later batch are known from state; no stored day is read."""
+    table = Snapshots(f.spark, new_folder(f.spark, "deduped"))
+    stateful.dedup_with_expiry(landed_fact(f), table, "trip_id", "pickup_datetime", new_folder(f.spark, "dedup-state"))
+    rows = table.read()
+    return rows.select("trip_id", "service_type", rows.pickup_datetime.cast("timestamp_ntz").alias("pickup_datetime"))
+
+
 @query(
     "stream_dedup_trip_id",
     f"select distinct {trip_key()} as trip_id, service_type, pickup_datetime from enriched",

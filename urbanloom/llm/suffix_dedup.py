@@ -39,7 +39,7 @@ other. Ids are integers. Other columns are ignored. An empty table gives an empt
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -56,22 +56,26 @@ GRAM = 16
 BITS, BUCKET = 26, 1 << 24
 #: Bytes of segments of a group, bytes of a shard, and segments from which a key is cut.
 GROUP, SHARD, HEAVY = 1 << 19, 1 << 16, 2_048
-#: One segment in so many begins a chunk, of this many starts at most.
-CHUNK, LONGEST = 16, 1 << 14
-#: Starts that are read of a text at a time; a place within them fits the bits of _PLACE.
-BLOCK = 1 << 19
+#: One place in so many begins a chunk, of this many starts at most.
+CHUNK, LONGEST = 256, 1 << 14
+#: Starts that are worked on at a time; a place within them fits the bits of _PLACE.
+BLOCK = 1 << 16
 _PLACE = np.uint64((1 << 20) - 1)
 _ONE, _TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
-def _gram_hashes(letters: np.ndarray) -> np.ndarray:
-    """Hash of the GRAM bytes from each place on, by doubling."""
-    value, size = letters.astype(np.uint64) + np.uint64(1), 1
-    while size < GRAM:
-        right = value[size:]
-        value = value[:-size] * _ONE + (right ^ (right >> np.uint64(29))) * _TWO
-        value ^= value >> np.uint64(32)
-        size *= 2
+def _words(text: bytes | memoryview) -> np.ndarray:
+    """The eight bytes from each place on, as integers."""
+    return np.ndarray((max(0, len(text) - 7),), dtype="<u8", buffer=text, strides=(1,)).copy()
+
+
+def _gram_hashes(text: bytes | memoryview) -> np.ndarray:
+    """Hash of the GRAM = 16 bytes from each place on."""
+    words = _words(text)
+    value = words[:-8] * _ONE + (words[8:] ^ (words[8:] >> np.uint64(29))) * _TWO
+    value ^= value >> np.uint64(32)
+    value *= _ONE
+    value ^= value >> np.uint64(29)
     return value
 
 
@@ -95,57 +99,90 @@ class Segments(NamedTuple):
     left: np.ndarray
     right: np.ndarray
 
-    def where(self, some: np.ndarray) -> Segments:
-        return Segments(*(column[some] for column in self))
-
-    def grams(self) -> np.ndarray:
-        return np.concatenate([self.left[self.turn > self.start], self.right[self.turn < self.start + self.count]])
+    def grams(self, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, gram), rows ascending for each side."""
+        left, right = self.turn > self.start, self.turn < self.start + self.count
+        rows, grams = np.concatenate([row[left], row[right]]), np.concatenate([self.left[left], self.right[right]])
+        order = np.argsort(rows, kind="stable")
+        return rows[order], grams[order]
 
-    def kept(self, wanted: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(key, start, count) of what holds a wanted gram."""
+    def kept(self, wanted: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, ...]:
+        """(number, key, start, count) of what holds a wanted gram."""
         end = self.start + self.count
         first = np.where(wanted(self.left), self.start, np.maximum(self.turn, self.start))
         last = np.where(wanted(self.right), end, np.minimum(self.turn, end))
         some = last > first
-        return self.key[some], first[some], (last - first)[some]
-
-
-def segments(text: bytes, depth: int) -> Iterator[Segments]:
-    """The segments of a text, block by block."""
-    width = depth - GRAM + 1
-    letters = np.frombuffer(text, dtype=np.uint8)
-    for begin in range(0, len(letters) - depth + 1, BLOCK):
-        grams = _gram_hashes(letters[begin : begin + BLOCK + depth - 1])
-        # the low bits hold the place, so of equal hashes the first one is the least
-        places = np.arange(len(grams), dtype=np.uint64)
-        low = _least((grams & ~_PLACE) | places, width)
-        heads = np.flatnonzero(np.append(True, low[1:] != low[:-1]))
-        anchor = (low[heads] & _PLACE).astype(np.int64)
-        key = grams[anchor]
-        left, right = grams[np.maximum(anchor - GRAM, 0)], grams[np.minimum(anchor + GRAM, len(grams) - 1)]
-        turn = np.maximum(anchor - GRAM + 1, 0)  # from here on the string no longer reaches GRAM bytes to the left
-        yield Segments(
-            key, heads + begin, np.diff(np.append(heads, len(low))), turn + begin, (left * _ONE ^ key) * _TWO, (key * _ONE ^ right) * _TWO
-        )
-
-
-def chunks(parts: Sequence[Segments], text: bytes, depth: int) -> list[tuple[int, int, int]]:
-    """(start, end, hash) of the chunks of a text: starts from ``start`` up to ``end``, and the
-    hash of all bytes their strings cover. Some segments, by their key, begin a chunk."""
+        return np.flatnonzero(some), self.key[some], first[some], (last - first)[some]
+
+
+#: (row, text, first start, end of the starts) of a part of a text.
+Piece = tuple[int, bytes, int, int]
+
+
+def segments(pieces: Iterable[Piece], depth: int) -> Iterator[tuple[np.ndarray, Segments]]:
+    """(row, segments) of the pieces. Short pieces are worked on together, long ones in blocks."""
+    held: list[Piece] = []
+    room = 0
+    for row, text, first, end in pieces:
+        for begin in range(first, end, BLOCK):
+            held.append((row, text, begin, min(end, begin + BLOCK)))
+            room += held[-1][3] - begin + depth
+            if room >= BLOCK:
+                yield _joined_segments(held, depth)
+                held, room = [], 0
+    if held:
+        yield _joined_segments(held, depth)
+
+
+def _joined_segments(pieces: list[Piece], depth: int) -> tuple[np.ndarray, Segments]:
+    text = b"".join([t[a : b + depth - 1] for _, t, a, b in pieces])
+    counts = np.array([b - a for *_, a, b in pieces])
+    bases = np.cumsum(counts + depth - 1) - (counts + depth - 1)
+    grams = _gram_hashes(text)
+    # the low bits hold the place, so of equal hashes the first one is the least
+    low = _least((grams & ~_PLACE) | np.arange(len(grams), dtype=np.uint64), depth - GRAM + 1)
+    piece = np.repeat(np.arange(len(pieces)), counts)
+    at = np.arange(len(piece)) + (bases - (np.cumsum(counts) - counts))[piece]  # strings that lie in one piece
+    low = low[at]
+    heads = np.flatnonzero(np.concatenate([[True], (low[1:] != low[:-1]) | (piece[1:] != piece[:-1])]))
+    anchor = (low[heads] & _PLACE).astype(np.int64)
+    key = grams[anchor]
+    left, right = grams[np.maximum(anchor - GRAM, 0)], grams[np.minimum(anchor + GRAM, len(grams) - 1)]
+    shift = np.array([a for *_, a, _ in pieces])[piece[heads]] - bases[piece[heads]]
+    turn = anchor - GRAM + 1  # from here on the string no longer reaches GRAM bytes to the left
+    found = Segments(
+        key, at[heads] + shift, np.diff(np.append(heads, len(low))), turn + shift, (left * _ONE ^ key) * _TWO, (key * _ONE ^ right) * _TWO
+    )
+    return np.array([row for row, *_ in pieces])[piece[heads]], found
+
+
+def chunks(texts: list[bytes], depth: int) -> list[tuple[list[int], np.ndarray]]:
+    """For each text the bounds of the chunks among its starts, and the hash of all bytes that each
+    chunk's strings cover. Some eight bytes, by their hash, begin a chunk."""
     import xxhash
 
-    start = np.concatenate([part.start for part in parts])
-    key = np.concatenate([part.key for part in parts])
-    end = len(text) - depth + 1
-    heads = np.flatnonzero(key % np.uint64(CHUNK) == 0)
-    bounds = np.unique(np.concatenate([[0], start[heads], [end]]))
-    # long ones are cut too, at a segment: no segment lies in two chunks
-    extra = [np.arange(a + LONGEST, b, LONGEST) for a, b in zip(bounds[:-1], bounds[1:]) if b - a > LONGEST]
-    if extra:
-        at = np.searchsorted(start, np.concatenate(extra))
-        bounds = np.unique(np.concatenate([bounds, start[at[at < len(start)]]]))
-    cuts = bounds.tolist()
-    found = [(a, b, xxhash.xxh64_intdigest(text[a : b + depth - 1])) for a, b in zip(cuts, cuts[1:])]
+    found: list[tuple[list[int], np.ndarray]] = []
+    at = 0
+    while at < len(texts):
+        stop, room = at, 0
+        while stop < len(texts) and (stop == at or room + len(texts[stop]) <= BLOCK):
+            room, stop = room + len(texts[stop]), stop + 1
+        words = _words(b"".join(texts[at:stop]))
+        heads = np.flatnonzero(((words * _ONE) >> np.uint64(40)) & np.uint64(CHUNK - 1) == 0)
+        base = 0
+        for text in texts[at:stop]:
+            n = len(text) - depth + 1
+            if n > 0:
+                inner = heads[np.searchsorted(heads, base + 1) : np.searchsorted(heads, base + n)] - base
+                cuts = [0, *inner.tolist(), n]
+                if n > LONGEST:
+                    cuts = [c for a, b in zip(cuts, cuts[1:]) for c in range(a, b, LONGEST)] + [n]
+                hashes = [xxhash.xxh64_intdigest(text[a : b + depth - 1]) for a, b in zip(cuts, cuts[1:])]
+                found.append((cuts, np.array(hashes, dtype=np.uint64)))
+            else:
+                found.append(([], np.zeros(0, dtype=np.uint64)))
+            base += len(text)
+        at = stop
     return found
 
 
@@ -160,18 +197,21 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(named(id_col).alias("id"), own.alias("own"), F.xxhash64(named(id_col), text).alias("hash"), text.alias("text"))
 
 
-def _own_parts(value: pa.Scalar, is_chunk: bool, copied: Repeats | None, depth: int) -> tuple[bytes, list[Segments]]:
-    """A text and its segments without those in copied chunks; a chunk keeps its own."""
-    text = _bytes(value)
-    parts = list(segments(text, depth))
-    if copied is None or is_chunk or not parts:
-        return text, parts
-    cut = chunks(parts, text, depth)
-    gone = copied(np.array([h for *_, h in cut], dtype=np.uint64))
-    if not gone.any():
-        return text, parts
-    ends = np.array([b for _, b, _ in cut])
-    return text, [part.where(~gone[np.searchsorted(ends, part.start, side="right")]) for part in parts]
+def _own_pieces(texts: list[bytes], is_chunk: list[bool], copied: Repeats, depth: int) -> Iterator[Piece]:
+    """The pieces of texts outside copied chunks; a chunk is one piece."""
+    plain = [k for k, whole in enumerate(is_chunk) if not whole]
+    cut = dict(zip(plain, chunks([texts[k] for k in plain], depth)))
+    for k, text in enumerate(texts):
+        if k not in cut:
+            yield k, text, 0, len(text) - depth + 1
+            continue
+        cuts, hashes = cut[k]
+        if not cuts:
+            continue
+        gone = np.concatenate([[True], copied(hashes), [True]])
+        begins, ends = np.flatnonzero(gone[:-1] & ~gone[1:]), np.flatnonzero(~gone[:-1] & gone[1:])
+        for a, b in zip(begins.tolist(), ends.tolist()):
+            yield k, text, cuts[a], cuts[b]
 
 
 def _place(gram: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -195,23 +235,38 @@ class Repeats:
         return (words[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
-def repeated_hashes(source: DataFrame, hashes: Callable[[pa.Scalar, bool], list[np.ndarray]]) -> Repeats:
-    """What occurs in two rows or more of the 64-bit ``hashes`` of a text; ``source`` has text
-    and is_chunk."""
+def _once_a_row(row: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Values in order, once per row, rows ascending, and at most two of a kind."""
+    order = np.argsort(value, kind="stable")
+    row, value = row[order], value[order]
+    new = np.ones(len(value), dtype=bool)
+    new[1:] = (value[1:] != value[:-1]) | (row[1:] != row[:-1])
+    value = value[new]
+    return _two_of_a_kind(value)
+
+
+def _two_of_a_kind(value: np.ndarray) -> np.ndarray:
+    more = np.ones(len(value), dtype=bool)
+    more[2:] = value[2:] != value[:-2]
+    return value[more]
+
+
+Hashes = Callable[[list[bytes], list[bool]], Iterator[tuple[np.ndarray, np.ndarray]]]
+
+
+def repeated_hashes(source: DataFrame, hashes: Hashes) -> Repeats:
+    """What occurs in two rows or more of the 64-bit ``hashes`` (row, hash) of texts; ``source``
+    has text and is_chunk. A value that a very long text holds far apart may count as repeated,
+    which costs time only."""
     size = source.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     buckets = max(64, -(-size // BUCKET))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [np.zeros(0, dtype=np.uint64)]
-            for value, is_chunk in zip(batch.column(0), batch.column(1).to_pylist()):
-                own = hashes(value, is_chunk)
-                if own:
-                    found.append(np.unique(np.concatenate(own)))
-            grams = np.sort(np.concatenate(found))
-            more = np.ones(len(grams), dtype=bool)
-            more[2:] = grams[2:] != grams[:-2]  # two of a kind are enough
-            bucket, mark = _place(grams[more], buckets)
+            texts = [_bytes(value) for value in batch.column(0)]
+            found = [_once_a_row(*pair) for pair in hashes(texts, batch.column(1).to_pylist())]
+            grams = _two_of_a_kind(np.sort(np.concatenate([np.zeros(0, dtype=np.uint64), *found])))
+            bucket, mark = _place(grams, buckets)
             heads = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, dtype=np.int64)
             ends = np.append(heads[1:], len(bucket))
             yield pa.RecordBatch.from_arrays(
@@ -240,9 +295,9 @@ def copied_chunks(source: DataFrame, depth: int) -> tuple[Repeats, DataFrame]:
     """The chunks that occur in two rows or more, and their occurrences (chunk, own, hash, start,
     text)."""
 
-    def own(value: pa.Scalar, _: bool) -> list[np.ndarray]:
-        text = _bytes(value)
-        return [np.array([h for *_, h in chunks(list(segments(text, depth)), text, depth)], dtype=np.uint64)] if len(text) >= depth else []
+    def own(texts: list[bytes], _: list[bool]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        cut = [hashes for _, hashes in chunks(texts, depth)]
+        yield np.repeat(np.arange(len(cut)), [len(h) for h in cut]), np.concatenate([np.zeros(0, dtype=np.uint64), *cut])
 
     repeats = repeated_hashes(source, own)
     shared = source.sparkSession.sparkContext.broadcast(repeats)
@@ -250,16 +305,13 @@ def copied_chunks(source: DataFrame, depth: int) -> tuple[Repeats, DataFrame]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, found, starts, texts = [], [], [], []
-            for k, value in enumerate(batch.column(2)):
-                text = _bytes(value)
-                cut = chunks(list(segments(text, depth)), text, depth) if len(text) >= depth else []
-                again = shared.value(np.array([h for *_, h in cut], dtype=np.uint64)) if cut else ()
-                for (a, b, h), is_copy in zip(cut, again):
-                    if is_copy:
-                        rows.append(k)
-                        found.append(h)
-                        starts.append(a)
-                        texts.append(text[a : b + depth - 1])
+            raw = [_bytes(value) for value in batch.column(2)]
+            for k, (text, (cuts, hashes)) in enumerate(zip(raw, chunks(raw, depth))):
+                for i in np.flatnonzero(shared.value(hashes)).tolist():
+                    rows.append(k)
+                    found.append(hashes[i])
+                    starts.append(cuts[i])
+                    texts.append(text[cuts[i] : cuts[i + 1] + depth - 1])
             of = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -273,9 +325,10 @@ def copied_chunks(source: DataFrame, depth: int) -> tuple[Repeats, DataFrame]:
     return repeats, stored(rows, "suffix-copies")
 
 
-def _gram_hashes_of(copied: Repeats, depth: int) -> Callable[[pa.Scalar, bool], list[np.ndarray]]:
-    def own(value: pa.Scalar, is_chunk: bool) -> list[np.ndarray]:
-        return [part.grams() for part in _own_parts(value, is_chunk, copied, depth)[1]]
+def _wider_grams(copied: Repeats, depth: int) -> Hashes:
+    def own(texts: list[bytes], is_chunk: list[bool]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for row, part in segments(_own_pieces(texts, is_chunk, copied, depth), depth):
+            yield part.grams(row)
 
     return own
 
@@ -295,7 +348,7 @@ def occurrences(source: DataFrame, repeats: Repeats, copied: Repeats, depth: int
             rows, keys, starts, texts = [], [], [], []
 
             def out() -> pa.RecordBatch:
-                of = pa.array(np.repeat([r for r, _ in rows], [n for _, n in rows]).astype(np.int64))
+                of = pa.array(np.concatenate(rows).astype(np.int64))
                 parts = np.fromiter(map(xxhash.xxh64_intdigest, texts), dtype=np.uint64, count=len(texts))
                 columns = [
                     batch.column(0).take(of), batch.column(1).take(of), pa.array(np.concatenate(keys).view(np.int64)),
@@ -303,17 +356,18 @@ def occurrences(source: DataFrame, repeats: Repeats, copied: Repeats, depth: int
                 ]
                 return pa.RecordBatch.from_arrays(columns, names=names)
 
-            for k, (value, is_chunk) in enumerate(zip(batch.column(2), batch.column(3).to_pylist())):
-                text, parts = _own_parts(value, is_chunk, gone, depth)
-                for part in parts:
-                    key, start, count = part.kept(wanted)
-                    rows.append((k, len(key)))
+            raw = [_bytes(value) for value in batch.column(2)]
+            for row, part in segments(_own_pieces(raw, batch.column(3).to_pylist(), gone, depth), depth):
+                number, key, start, count = part.kept(wanted)
+                if len(key):
+                    rows.append(row[number])
                     keys.append(key)
                     starts.append(start)
-                    texts.extend(text[a:b] for a, b in zip(start.tolist(), (start + count + depth - 1).tolist()))
-                    if len(texts) > 50_000:
-                        yield out()
-                        rows, keys, starts, texts = [], [], [], []
+                    ends = (start + count + depth - 1).tolist()
+                    texts.extend([raw[k][a:b] for k, a, b in zip(row[number].tolist(), start.tolist(), ends)])
+                if len(texts) > 50_000:
+                    yield out()
+                    rows, keys, starts, texts = [], [], [], []
             if texts:
                 yield out()
 
@@ -357,7 +411,8 @@ def _runs_of_group(rows: pa.Table, depth: int) -> pa.Table:
     key, sub, part, first, last, shift = (
         rows.column(c).to_numpy() for c in ("key", "sub", "part", "first", "last", "offset")
     )
-    texts = rows.column("segment")
+    texts = rows.column("segment").to_pylist()
+    size = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
     order = np.lexsort((sub, key))
     new = np.ones(len(order), dtype=bool)
     new[1:] = (key[order][1:] != key[order][:-1]) | (sub[order][1:] != sub[order][:-1])
@@ -366,21 +421,20 @@ def _runs_of_group(rows: pa.Table, depth: int) -> pa.Table:
     open_ = np.minimum.reduceat(first[order], heads) < np.maximum.reduceat(last[order], heads)
     out: list[tuple[np.ndarray, ...]] = []
     single = order[heads[(sizes == 1) & open_]]
-    length = np.array([len(x.as_buffer()) for x in texts.take(pa.array(single))], dtype=np.int64) if len(single) else single
-    out.append((single, shift[single], length - depth + 1, first[single]))
+    out.append((single, shift[single], size[single] - depth + 1, first[single]))
     waiting: list[int] = []
     room = 0
     several = np.flatnonzero((sizes > 1) & open_).tolist()
     for k, g in enumerate(several):
-        own = order[heads[g] : heads[g] + sizes[g]].tolist()
-        waiting.extend(own)
-        room += sum(len(texts[i].as_buffer()) for i in own)
+        own = order[heads[g] : heads[g] + sizes[g]]
+        waiting.extend(own.tolist())
+        room += int(size[own].sum())
         if room >= GROUP or k == len(several) - 1:
             of = np.array(waiting)
-            string, place, interval = repeated([_bytes(texts[i]) for i in waiting], depth, -(-room // SHARD))
+            string, place, interval = repeated([texts[i] for i in waiting], depth, -(-room // SHARD))
             shared = np.full(interval.max(initial=-1) + 1, np.iinfo(np.int64).max, dtype=np.int64)
             np.minimum.at(shared, interval, first[of[string]])
-            count = np.array([len(texts[i].as_buffer()) - depth + 1 for i in waiting])
+            count = size[of] - depth + 1
             begin = np.cumsum(count) - count
             at, offset = np.repeat(of, count), np.arange(count.sum()) - np.repeat(begin, count)
             least = first[at]  # a string of one segment only has that segment's documents
@@ -449,7 +503,7 @@ def without_repeats(
     named_ = F.xxhash64("text", "chunk").alias("hash")
     distinct = stored(copies.groupBy("chunk", "text").agg(F.min("own").alias("own")), "suffix-chunks").select("own", named_, "text", F.lit(True).alias("is_chunk"))
     both = texts.unionByName(distinct)
-    repeats = repeated_hashes(both, _gram_hashes_of(copied, depth))
+    repeats = repeated_hashes(both, _wider_grams(copied, depth))
     found = stored(occurrences(both, repeats, copied, depth), "suffix-occurrences")
     runs = merged_runs(found, depth)
     at = F.col("start") + F.col("offset")

@@ -7,12 +7,15 @@
    most LEAF classes gives its pairs; a larger one goes deeper, as deep as its own
    density asks for, until it falls apart or the signature ends. What a region holds is
    only counted, joined and compared with its centre, never gathered.
-3. First each class is compared with the centre of its regions, a linear number of pairs.
-   After that come the pairs of small regions whose classes are not connected yet. Large
-   regions that overlap form a dense group; where a group is not one component by then, the
-   classes outside its main component are compared with all others they are not connected
-   with, block by block: a task holds two blocks of BLOCK sets and returns links only. So
-   no link is lost to the size of a region. This last step grows with the square of a dense
+3. At each depth the classes are compared with the centres of their regions, a linear number
+   of pairs, and confirmed before the next depth: of a large region only the centre and the
+   classes that are not connected with it go deeper, so a group of near copies is done with at
+   the first depth. After that come the pairs of small regions whose classes are not
+   connected yet. Large regions that overlap form a dense group; where a group is not one
+   component by then, the classes outside its main component are compared with all others
+   they are not connected with: these loose classes, in chunks of BLOCK, meet the group's
+   blocks of BLOCK classes, and a task returns links only. So no link is lost to the size of a
+   region. This last step grows with the loose classes times the group: the square of a dense
    group whose members are alike but mostly below the limit; a connected group costs nothing.
 4. Rows of regions carry the set's size and one bit of each minimum. Pairs whose sizes rule
    the limit out, or whose bits agree in too few places (five standard deviations below the
@@ -44,7 +47,7 @@ from .memory import Recent
 
 TREES, STEP, FIRST, LEAF, BLOCK = 16, 8, 3, 32, 256
 WIDTH = TREES * STEP
-#: Depths at which large regions are counted again.
+#: Depths of regions: the first, and those at which what is left of large ones is counted again.
 DEPTHS = (FIRST, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, WIDTH)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _END = np.uint64(0xBF58476D1CE4E5B9)
@@ -146,9 +149,9 @@ def _alike(x: str, y: str, percent: int) -> Column:
 
 
 def _regions(classes: DataFrame, depth: int, within: DataFrame | None, percent: int) -> DataFrame:
-    """(region, tree, class, sketch, n, centre): classes in regions of two or more at
-    ``depth``; of all trees, or of the (tree, class) rows ``within``. The centre is drawn
-    by hash and null for itself and for classes that cannot be similar to it."""
+    """(region, tree, class, sketch, n, heart, centre): classes in regions of two or more at
+    ``depth``; of all trees, or of the (tree, class) rows ``within``. The heart is drawn by
+    hash; as centre it is null for itself and for classes that cannot be similar to it."""
     if within is None:
         placed = classes.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))))
     else:
@@ -161,27 +164,40 @@ def _regions(classes: DataFrame, depth: int, within: DataFrame | None, percent:
     counts = keyed.groupBy("region").agg(F.count("*").alias("n"), F.min(draw).alias("centre")).filter(F.col("n") > 1)
     close = (F.col("class") != F.col("centre.c")) & _alike("", "centre.", percent)
     return keyed.join(counts, "region").select(
-        "region", "tree", "class", *_SKETCH, "n", F.when(close, F.col("centre.c")).alias("centre")
+        "region", "tree", "class", *_SKETCH, "n", F.col("centre.c").alias("heart"), F.when(close, F.col("centre.c")).alias("centre")
     )
 
 
-def candidates(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Pairs (a, b) of each class with a centre, rows (region, class) of small regions, and
-    those of the large regions at the first depth."""
-    within, centres, leaves, large = None, None, None, None
-    for depth in DEPTHS:
-        regions = stored(_regions(classes, depth, within, percent), "forest-regions")
+def _in_component(rows: DataFrame, joined: DataFrame, column: str, name: str) -> DataFrame:
+    """``rows`` with the component of the class in ``column``, itself if it has no links."""
+    known = joined.select(F.col("node").alias(column), F.col("component").alias("__c"))
+    return rows.join(known, column, "left").withColumn(name, F.coalesce("__c", column)).drop("__c")
+
+
+def descended(
+    regions: DataFrame, classes: DataFrame, sets: DataFrame, percent: int
+) -> tuple[DataFrame, DataFrame]:
+    """(components of links with centres, rows (region, class) of small regions), from the regions
+    at the first depth downwards."""
+    joined, leaves = None, None
+    for depth in [*DEPTHS[1:], None]:
         near = regions.filter(F.col("centre").isNotNull()).select(
             F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")
-        )
+        ).distinct()
+        if joined is not None:
+            both = _in_component(_in_component(near, joined, "a", "ca"), joined, "b", "cb")
+            near = both.filter(F.col("ca") != F.col("cb")).select("a", "b")
+        links = confirmed(near, sets, percent)
+        joined = components(links, "a", "b") if joined is None else _extended(joined, links)
         leaf = regions.filter(F.col("n") <= LEAF).select("region", "class", *_SKETCH)
-        centres = near if centres is None else centres.unionByName(near)
         leaves = leaf if leaves is None else leaves.unionByName(leaf)
-        within = regions.filter(F.col("n") > LEAF).select("tree", "class")
-        large = regions.filter(F.col("n") > LEAF).select("region", "class", *_SKETCH) if large is None else large
-        if within.isEmpty():
-            break
-    return stored(centres.distinct(), "forest-centres"), leaves, large
+        open_ = _in_component(_in_component(regions.filter(F.col("n") > LEAF), joined, "class", "in"), joined, "heart", "at")
+        within = stored(open_.filter((F.col("in") != F.col("at")) | (F.col("class") == F.col("heart"))).select("region", "tree", "class"), "forest-open")
+        alone = within.groupBy("region").agg(F.count("*").alias("n")).filter("n > 1").select("region")
+        within = within.join(alone, "region", "left_semi").select("tree", "class")
+        if depth is None or within.isEmpty():
+            return joined, leaves
+        regions = stored(_regions(classes, depth, within, percent), "forest-regions")
 
 
 def _labelled(rows: DataFrame, joined: DataFrame) -> DataFrame:
@@ -220,25 +236,31 @@ def _block_links(large: DataFrame, joined: DataFrame, sets: DataFrame, percent:
         .select("group", F.col("most.in").alias("main"), F.ceil(F.col("total") / BLOCK).cast("int").alias("blocks"))
     )
     sketches = large.select("class", *_SKETCH).dropDuplicates(["class"])
-    open_ = (
+    placed = (
         rows.join(main, "group")
         .join(sketches, "class")
-        .join(sets, "class")
-        .withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "group", F.least("block", "other").alias("b1st"), F.greatest("block", "other").alias("b2nd"), "block",
-            "class", "in", (F.col("in") != F.col("main")).alias("loose"), *_SKETCH, "members",
-        )
+        .withColumns({"loose": F.col("in") != F.col("main"), "block": F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")})
+    )
+    placed = stored(placed.select("group", "class", "in", "loose", "block", "blocks", *_SKETCH), "forest-placed")
+    chunks = placed.filter("loose").groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("chunks"))
+    placed = placed.join(chunks, "group").join(sets, "class")
+    rest = placed.select(
+        "group", "block", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(False).alias("moved"),
+        "class", "in", "loose", *_SKETCH, "members",
+    )
+    moved = placed.filter("loose").select(
+        "group", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+        F.pmod(F.xxhash64("class", F.lit(1)), F.col("chunks")).cast("int").alias("chunk"), F.lit(True).alias("moved"),
+        "class", "in", "loose", *_SKETCH, "members",
     )
     agree = (1 + percent / 100) / 2
     most = WIDTH * (1 - agree) + 5 * (WIDTH * agree * (1 - agree)) ** 0.5
 
     def compare(key: tuple, rows: pa.Table) -> pa.Table:
         classes, inside = rows.column("class").to_pylist(), rows.column("in").to_pylist()
-        block, loose, size = (rows.column(c).to_numpy() for c in ("block", "loose", "size"))
+        moved, loose, size = (rows.column(c).to_numpy() for c in ("moved", "loose", "size"))
         bits = np.stack([rows.column(c).to_numpy() for c in ("b0", "b1")], axis=1).view(np.uint64)
-        members = [np.frombuffer(x, dtype="<u8") for x in rows.column("members").to_pylist()]
+        members = [x.values.to_numpy() for x in rows.column("members")]
         names = {name: i for i, name in enumerate(dict.fromkeys(inside))}
         parent = list(range(len(names)))
 
@@ -249,10 +271,12 @@ def _block_links(large: DataFrame, joined: DataFrame, sets: DataFrame, percent:
             return i
 
         own = [names[name] for name in inside]
+        place = {name: i for i, name in enumerate(sorted(set(classes)))}
+        order = np.array([place[c] for c in classes])
         found = []
-        for i in range(len(classes)):
-            later = np.arange(len(classes)) > i if key[1] == key[2] else (block != block[i]) & (block > block[i])
-            fit = later & (loose | loose[i]) & (100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i]))
+        for i in np.flatnonzero(moved).tolist():
+            fit = ~moved & (~loose | (order < order[i]))  # of two loose classes one leads
+            fit &= (100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i])) & (order != order[i])
             fit &= np.bitwise_count(bits ^ bits[i]).sum(axis=1) <= most
             for j in np.flatnonzero(fit).tolist():
                 x, y = root(own[i]), root(own[j])
@@ -263,25 +287,19 @@ def _block_links(large: DataFrame, joined: DataFrame, sets: DataFrame, percent:
                         found.append((min(classes[i], classes[j]), max(classes[i], classes[j])))
         return pa.table({"a": pa.array([a for a, _ in found], pa.binary()), "b": pa.array([b for _, b in found], pa.binary())})
 
-    return stored(open_.groupBy("group", "b1st", "b2nd").applyInArrow(compare, "a binary, b binary"), "forest-block-links")
+    both = rest.unionByName(moved)
+    return stored(both.groupBy("group", "block", "chunk").applyInArrow(compare, "a binary, b binary"), "forest-block-links")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
+    """The pairs (a, b) whose sets are similar enough. Sets are compared row by row in the JVM, so
+    no batch of them is ever held."""
     left = sets.select(F.col("class").alias("a"), F.col("members").alias("ma"))
     right = sets.select(F.col("class").alias("b"), F.col("members").alias("mb"))
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(v.as_buffer(), dtype="<u8") for v in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "ma", "mb")
-    return stored(joined.mapInArrow(check, "a binary, b binary"), "forest-links")
+    joined = pairs.join(left, "a").join(right, "b")
+    both = F.size(F.array_intersect("ma", "mb"))
+    alike = 100 * both >= percent * (F.size("ma") + F.size("mb") - both)
+    return stored(joined.filter(alike).select("a", "b"), "forest-links")
 
 
 def _extended(joined: DataFrame, links: DataFrame) -> DataFrame:
@@ -294,21 +312,27 @@ def _extended(joined: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, *, words: int, id_col: str, text_col: str) -> DataFrame:
-    """(class, members) of the documents in ``wanted`` (id, class): full sets, made anew."""
+    """(class, members) of the documents in ``wanted`` (id, class): full sets, made anew, as
+    ascending 64-bit integers."""
     texts = docs.select(named(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     source = texts.join(wanted.withColumnRenamed("id", "of"), F.col("id").eqNullSafe(F.col("of")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.int64())
         for batch in batches:
-            keys, members = [], []
+            keys, members, room = [], [], 0
             for text, key in zip(batch.column(0), batch.column(1).to_pylist()):
-                raw = shingle_set(text.as_py(), words).tobytes()
-                if hashlib.blake2b(raw, digest_size=16).digest() == key:  # a repeated id may have another text
+                found = shingle_set(text.as_py(), words)
+                if hashlib.blake2b(found.tobytes(), digest_size=16).digest() == key:  # a repeated id may have another text
                     keys.append(key)
-                    members.append(raw)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(members, pa.binary())], names=["class", "members"])
+                    members.append(found.view(np.int64))
+                    room += len(found)
+                if room > 1 << 20:
+                    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(members, kind)], names=["class", "members"])
+                    keys, members, room = [], [], 0
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(members, kind)], names=["class", "members"])
 
-    return source.select("text", "class").mapInArrow(run, "class binary, members binary")
+    return source.select("text", "class").mapInArrow(run, "class binary, members array<bigint>")
 
 
 def near_duplicates(
@@ -322,13 +346,14 @@ def near_duplicates(
         owners.withColumnRenamed("class", "of"), (F.col("class") == F.col("of")) & F.col("id").eqNullSafe(F.col("owner"))
     )
     classes = stored(signed.select("class", "signature", *_SKETCH).dropDuplicates(["class"]), "forest-owners")
-    centres, leaves, large = candidates(classes, percent)
-    members = leaves.select("class").union(large.select("class")).distinct()
+    regions = stored(_regions(classes, FIRST, None, percent), "forest-regions")
+    large = regions.filter(F.col("n") > LEAF).select("region", "class", *_SKETCH)
+    members = regions.select("class").distinct()
     wanted = owners.join(members, "class", "left_semi").select(F.col("owner").alias("id"), "class")
     sets = stored(
         _sets(docs, wanted, words=words, id_col=id_col, text_col=text_col).dropDuplicates(["class"]), "forest-sets"
     )
-    joined = components(confirmed(centres, sets, percent), "a", "b")
+    joined, leaves = descended(regions, classes, sets, percent)
     joined = _extended(joined, confirmed(_apart(_labelled(leaves, joined), percent), sets, percent))
     joined = _extended(joined, _block_links(large, joined, sets, percent))
     joined = joined.withColumnRenamed("node", "class")

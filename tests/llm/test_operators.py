@@ -278,6 +278,16 @@ def test_quality_model_separates_held_out_rows(spark, none):
     assert quality_model.scored(none, labels, F.lit(True)).count() == 0
 
 
+def test_quality_model_rows_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(quality_model, "fit", lambda rows, labels: (_ for _ in ()).throw(AssertionError(f"rows={len(rows)} labels={sorted(set(labels.tolist()))}")))
+    texts = [(1, f"row {k} of one id") for k in range(300)] + [(1, "the same")] * 50 + [(k, "one text") for k in range(2, 40)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 40)] + [(1, 0), (3, 0)], "doc_id long, quality int")
+    for bound, want in ((100, 100), (10_000, 339)):
+        with pytest.raises(Exception, match=f"rows={want} "):
+            quality_model.scored(docs, labels, F.lit(True), max_rows=bound).collect()
+
+
 def test_surrogates(spark, none):
     texts = {
         1: "Mail Ana.Lo@host.example.com or 10.2.3.4, card 4111 1111 1111 1111, key " + "0a" * 20,

@@ -94,13 +94,15 @@ def trained(docs: DataFrame, labels: DataFrame, learn: Column, *, label_col: str
     """The model as bytes; ``learn`` says which rows of ``labels`` may be used."""
     chosen = (
         labels.filter(learn & named(label_col).isin(0, 1) & named(id_col).isNotNull())
-        .select(named(id_col).alias("of"), named(label_col).cast("int").alias("label"))
-        .orderBy(F.xxhash64("of"), "of", "label")
+        .groupBy(named(id_col).alias("of"))
+        .agg(F.min(named(label_col).cast("int")).alias("label"))  # of two labels of one id the smaller
+        .orderBy(F.xxhash64("of"), "of")
         .limit(max_rows)
-        .dropDuplicates(["of"])
     )
     texts = docs.select(named(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     sample = texts.join(F.broadcast(chosen), F.col("id") == F.col("of")).select("id", "text", "label")
+    # An id may have many rows: equal ones count once, and the bound holds after the join as well.
+    sample = sample.dropDuplicates(["id", "text"]).orderBy(F.xxhash64("id", "text"), "id", "text").limit(max_rows)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

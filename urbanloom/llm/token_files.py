@@ -70,7 +70,6 @@ class _Runs(Recent):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.kind = Tokenizer.from_file(path), _ARRAY[kind]
-        self.by_runs = _splits_at_white_space(json.loads(self.tokenizer.to_str()))
         self.pieces = _Pieces(self.tokenizer.model, kind)
         self.marks: dict[str, bytes] = {"": b""}
 
@@ -135,10 +134,10 @@ def _split(text: str) -> list[str]:
     return text.split()
 
 
-def encode_texts(texts: list[str], path: str, end_id: int, kind: str) -> list[bytes]:
-    """Ids of whole texts, each closed by ``end_id``."""
+def encode_texts(texts: list[str], path: str, end_id: int, kind: str, by_runs: bool) -> list[bytes]:
+    """Ids of whole texts, each closed by ``end_id``; ``by_runs`` if the tokenizer allows it."""
     runs, end = _runs(path, kind), np.array([end_id], dtype=kind).tobytes()
-    if not runs.by_runs:
+    if not by_runs:
         return [runs.whole(text) + end for text in texts]
     return [b"".join([runs[run] for run in _split(text)]) + end for text in texts]
 
@@ -229,13 +228,15 @@ class Codec:
 def tokenized(docs: DataFrame, path: str, end_id: int, vocabulary: int, id_col: str, text_col: str) -> DataFrame:
     """(id, n, ids): whole texts as ids; ``ids`` holds little-endian integers."""
     kind = "<u2" if vocabulary <= 1 << 16 else "<u4"
+    with open(path, encoding="utf-8") as file:
+        by_runs = _splits_at_white_space(json.load(file))  # once, on the driver: the file is large when parsed
     source = docs.select(named(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     id_type = source.schema["id"].dataType
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = int(kind[-1])
         for batch in batches:
-            coded = encode_texts(batch.column(1).to_pylist(), path, end_id, kind)
+            coded = encode_texts(batch.column(1).to_pylist(), path, end_id, kind, by_runs)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(x) // width for x in coded], pa.int64()), pa.array(coded, pa.binary())],
                 names=["id", "n", "ids"],

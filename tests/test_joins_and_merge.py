@@ -114,6 +114,16 @@ def test_matched_rows_are_updated_on_request(spark, rows, tmp_path):
     assert stored(spark, path) == [("a", 9), ("n", 2), ("o", 8), ("x", 7)]
 
 
+def test_moved_key_leaves_its_old_day(spark, rows, tmp_path):
+    path = str(tmp_path / "fact")
+    late = {"allowed_lateness": timedelta(days=5), "update_matched": True}
+    merge_incremental(rows(SCHEMA, ("a", at(1), 1), ("b", at(3), 2)), path, "k", "t")
+    merge_incremental(rows(SCHEMA, ("a", at(2), 9)), path, "k", "t", **late)
+    assert stored(spark, path) == [("a", 9), ("b", 2)]
+    merge_incremental(rows(SCHEMA, ("a", at(3, 5), 8)), path, "k", "t", **late)
+    assert stored(spark, path) == [("a", 8), ("b", 2)]
+
+
 def test_rows_without_key_all_stay(rows):
     df = rows(SCHEMA, (None, at(1), 1), (None, at(1), 1), ("a", at(1), 2), ("a", at(1), 1))
     assert sorted(values(one_per_key(df, "k"), "k", "v"), key=str) == [("a", 1), (None, 1), (None, 1)]

@@ -8,7 +8,7 @@ from datetime import timedelta
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..sources.tables import PARTITION_DAY, append, clustered, replace_partitions, settled
+from ..sources.tables import PARTITION_DAY, append, clustered, drop_partitions, replace_partitions, settled
 
 
 def one_per_key(df: DataFrame, key: str) -> DataFrame:
@@ -87,7 +87,9 @@ def merge_incremental(
     Rows up to the newest stored timestamp, less the lateness, are left out. Of
     the rest only unseen keys are appended; the keys are compared with the days
     from the bound on, not with the whole table. ``update_matched`` rewrites those
-    days so that matched keys take their new values.
+    days so that matched keys take their new values; days whose rows all moved elsewhere
+    are removed. The steps are separate writes: ``versioned_merge`` publishes a load at
+    once, and finds old rows of a key before the bound as well.
     """
     spark = source.sparkSession
     target = read_target(spark, path)
@@ -108,4 +110,8 @@ def merge_incremental(
     stored = recent.select(*fresh.columns)
     kept = stored.join(fresh.select(key), key, "left_anti").select(*fresh.columns)
     fresh = fresh.filter(fresh[key].isNotNull()).unionByName(_unseen(fresh.filter(fresh[key].isNull()), stored, key))
+    left = recent.join(fresh.select(key), key, "left_anti").select(PARTITION_DAY).union(fresh.select(F.to_date(ts)))
+    emptied = recent.select(PARTITION_DAY).distinct().join(left.distinct(), PARTITION_DAY, "left_anti")
+    days = [r[0] for r in emptied.select(F.col(PARTITION_DAY).cast("string")).collect() if r[0]]  # at most one row a day
     replace_partitions(clustered(kept.unionByName(fresh), ts, cluster), path, [PARTITION_DAY])
+    drop_partitions(spark, path, PARTITION_DAY, days)

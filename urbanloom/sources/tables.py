@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..scratch import new_folder
 
@@ -40,6 +40,13 @@ def replace_partitions(df: DataFrame, path: str, partition: Sequence[str]) -> No
     )
 
 
+def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequence[str]) -> None:
+    """Delete the folders of partition values."""
+    for value in values:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def clustered(df: DataFrame, day: str | None, cluster: Sequence[str]) -> DataFrame:
     """Rows laid out for a partitioned write.
 

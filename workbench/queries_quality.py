@@ -171,6 +171,86 @@ def dq_weather(f):
     return quality.failing_any(f.weather, WEATHER_ROW, SPARK_NOW)
 
 
+# ---- error labels over broken models ----
+
+# Rules of the intermediate models, written by hand and not derived from the library's labels.
+RULES = {
+    "int_trips_enriched": """case when service_type not in ('Yellow Taxi', 'HVFHV', 'FHV') then 'service_invalid'
+        when pickup_datetime > {now} then 'pickup_future' when dropoff_datetime < pickup_datetime then 'dropoff_before_pickup'
+        when trip_duration_minutes < 0 then 'negative_duration' when trip_duration_minutes > 1440 then 'duration_too_long'
+        when pickup_location_id < 1 or pickup_location_id > 265 then 'location_invalid' end""",
+    "int_trips_with_traffic": """case when pickup_borough is null then 'borough_missing'
+        when traffic_avg_speed_mph < 0 or traffic_avg_speed_mph > 100 then 'speed_invalid'
+        when estimated_duration_minutes < 0 then 'negative_estimate' end""",
+    "int_taxi_demand_hourly": """case when pickup_location_id < 1 or pickup_location_id > 265 then 'location_invalid'
+        when hour_of_day < 0 or hour_of_day > 23 then 'hour_invalid' when day_of_week < 1 or day_of_week > 7 then 'day_invalid'
+        when total_pickups < 0 then 'negative_pickups' when avg_daily_pickups < 0 then 'negative_avg' end""",
+    "int_traffic_hourly_avg": """case when avg_speed_mph < 0 then 'speed_invalid' when total_measurements = 0 then 'zero_measurements'
+        when status_code not in (0, 1, 2, 3) then 'status_invalid' end""",
+    "int_311_by_zone_daily": """case when request_date > cast({now} as date) then 'date_future' when total_complaints = 0 then 'zero_complaints'
+        when pct_closed > 100 then 'pct_invalid' when closed_complaints > total_complaints then 'closed_exceeds_total' end""",
+    "int_311_resolution_performance": """case when month > cast({now} as date) then 'month_future' when performance_score > 100 then 'score_invalid'
+        when avg_resolution_days < 0 then 'negative_resolution' when pct_closed > 100 then 'pct_invalid' end""",
+    "int_weather_impact_daily": """case when weather_date > cast({now} as date) then 'date_future' when weather_condition is null then 'condition_missing'
+        when total_trips < 0 then 'negative_trips' when avg_traffic_speed_mph < 0 or avg_traffic_speed_mph > 100 then 'speed_invalid' end""",
+}
+# A number of each row, and what becomes of its columns where a prime divides the number.
+DAMAGE = {
+    "int_trips_enriched": (
+        "pickup_location_id * 3 + extract(minute from pickup_datetime)",
+        {"service_type": (5, "'Other'"), "dropoff_datetime": (7, "pickup_datetime - interval 1 minute"), "trip_duration_minutes": (11, "-1"), "pickup_location_id": (13, "266")},
+    ),
+    "int_trips_with_traffic": (
+        "pickup_location_id * 3 + extract(minute from pickup_datetime)",
+        {"pickup_borough": (5, "null"), "traffic_avg_speed_mph": (7, "100.5"), "estimated_duration_minutes": (11, "-0.5")},
+    ),
+    "int_taxi_demand_hourly": (
+        "pickup_location_id * 7 + hour_of_day * 3 + day_of_week",
+        {"pickup_location_id": (11, "266"), "hour_of_day": (13, "24"), "day_of_week": (17, "0"), "total_pickups": (5, "-1"), "avg_daily_pickups": (7, "-0.5")},
+    ),
+    "int_traffic_hourly_avg": (
+        "total_measurements * 3 + hour_of_day", {"avg_speed_mph": (5, "-0.5"), "total_measurements": (7, "0"), "status_code": (3, "4")}
+    ),
+    "int_311_by_zone_daily": (
+        "total_complaints * 5 + extract(day from request_date)",
+        {"request_date": (5, "date '2030-01-01'"), "total_complaints": (7, "0"), "pct_closed": (11, "100.5"), "closed_complaints": (3, "total_complaints + 1")},
+    ),
+    "int_311_resolution_performance": (
+        "total_complaints * 5 + extract(month from month)",
+        {"month": (5, "date '2030-01-01'"), "performance_score": (7, "100.5"), "avg_resolution_days": (11, "-0.5"), "pct_closed": (3, "100.5")},
+    ),
+    "int_weather_impact_daily": (
+        "extract(day from weather_date)",
+        {"weather_date": (5, "date '2030-01-01'"), "weather_condition": (7, "null"), "total_trips": (11, "-1"), "avg_traffic_speed_mph": (3, "100.5")},
+    ),
+}
+
+
+def damaged(name: str) -> dict[str, str]:
+    number, columns = DAMAGE[name]
+    return {c: f"case when ({number}) % {prime} = 0 then {value} else {c} end" for c, (prime, value) in columns.items()}
+
+
+def damaged_sql(name: str) -> str:
+    replaced = ", ".join(f"{value} as {column}" for column, value in damaged(name).items())
+    columns = ", ".join(REPORTED[name])
+    return f"""select * from (select {columns}, {RULES[name].format(now=DUCK_NOW)} as error_type
+      from (select * replace ({replaced}) from {CHECKED[name][1]}) broken) labelled where error_type is not null"""
+
+
+def register_damaged(name: str) -> None:
+    @query(f"dq_damaged_{name}", damaged_sql(name))
+    def build(f):
+        """The model with rows that break every rule of it."""
+        rows = model(f, name)
+        broken = rows.withColumns({column: F.expr(value) for column, value in damaged(name).items()})
+        return quality.label_errors(broken, LABELS[name], REPORTED[name], SPARK_NOW)
+
+
+for damaged_model in RULES:
+    register_damaged(damaged_model)
+
+
 def report_sql(name: str, ts: str) -> str:
     ties = ", ".join(f"{column} asc nulls first" for column in REPORTED[name])
     return f"""select * from ({labelled_sql(name)}) errors

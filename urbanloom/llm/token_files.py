@@ -43,7 +43,7 @@ from .memory import Recent
 
 STEP = 256
 BLOCK_IDS = 262_144
-ROOM = 400_000
+ROOM = 200_000
 _ARRAY = {"<u2": "H", "<u4": "I"}
 _SPACES = re.compile(r"[ \t\n\r]+")
 

@@ -221,6 +221,28 @@ def test_dense_groups_are_compared_in_blocks(spark, monkeypatch):
     test_near_duplicates_against_all_pairs(spark, spark.createDataFrame([], SCHEMA))
 
 
+def test_near_vectors_of_odd_ids_and_sizes(spark):
+    data = [
+        (1, [1.0, 2.0, 3.0], 1), (None, [1.0, 2.0, 3.001], 1), (None, [5.0, 0.0, 0.0], 1),
+        (5, [0.0, 1.0, 0.0], 2), (5, [1.0, 0.0, 0.0], 2), (6, [1.0, 0.001, 0.0], 2),
+        (7, [1e200, 2e200, 0.0], 3), (8, [3e200, 6e200, 0.0], 3), (9, [1e-200, 2e-200, 0.0], 3),
+    ]
+    frame = spark.createDataFrame([(*r, 1, 2) for r in data], "vec_id long, embedding array<double>, label int, owner int, low int")
+    found = sorted((tuple(r) for r in cover_tree.near_vectors(frame).collect()), key=str)
+    assert found == sorted(
+        [
+            (1, 1, 1, True), (None, 1, 1, False), (None, 0, None, True), (5, 0, 5, True), (5, 1, 5, True), (6, 1, 5, False),
+            (7, 2, 7, True), (8, 2, 7, False), (9, 2, 7, False),
+        ],
+        key=str,
+    )
+
+
+def test_near_vectors_split_labels_without_pivots(spark, monkeypatch):
+    monkeypatch.setattr(cover_tree, "PIVOTS", 2)  # one label gets pivots, the other none
+    test_near_vectors_against_all_pairs(spark, monkeypatch, 20)
+
+
 @pytest.mark.parametrize("cell", [8_192, 20])
 def test_near_vectors_against_all_pairs(spark, monkeypatch, cell):
     monkeypatch.setattr(cover_tree, "CELL", cell)

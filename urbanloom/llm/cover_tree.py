@@ -2,7 +2,8 @@
 
 1. Equal vectors of a label are one point with a count, so copies cost nothing further.
 2. A label with more than CELL points is split around pivots, a bounded sample of its
-   points (at most PIVOTS over all labels): each point goes to the cell of its nearest
+   points (at most PIVOTS over all labels, for the PIVOTS / 2 largest ones; further labels
+   are one cell without bounds): each point goes to the cell of its nearest
    pivot, cells are split by hash into chunks of about CELL points. A cell is the top node
    of a cover tree: pivot and covering radius. Pairs of chunks survive if the distance of
    their pivots is within both radii and the limit; a point goes only to pairs whose other
@@ -16,8 +17,9 @@
 
 Vectors are compared within one label and length only. Null, empty or zero vectors, vectors
 with null or non-finite parts and vectors with a null label link with nothing. Equal
-vectors link with each other. Rows that repeat an id are vectors of their own; they share
-the component of that id's vectors. A null id has no component. Other columns are ignored.
+vectors link with each other. Rows that repeat an id are vectors of their own, each with its
+own links. A vector with a null id links like others; its component is the smallest id in it
+that is not null, if there is one. Other columns are ignored.
 In high dimensions without clusters no bound prunes: then all pairs of chunks are visited,
 and time grows with the square of a label's distinct vectors.
 """
@@ -153,6 +155,8 @@ def join_group(
     """(owner, links, root) of the points that link with others; ``side`` 0 and 1 are the
     two chunks; ``alone`` says that it is one chunk with itself."""
     vectors = unit(raw)
+    # by powers of two, so that products of very large or small components neither overflow nor vanish
+    raw = np.ldexp(raw, -np.frexp(np.abs(raw).max(axis=1, initial=0.0))[1][:, None]) if raw.size else raw
     limit = float(np.sqrt(max(0.0, 2.0 - 2.0 * cosine))) + _SLACK
     where = [np.flatnonzero(side == 0), np.flatnonzero(side == 1)]
     trees = [CoverTree(vectors[w]) for w in where]
@@ -199,40 +203,50 @@ def near_vectors(
     rows = vectors.select(
         named(id_col).cast("long").alias("id"), named(label_col).alias("label"), named(vector_col).cast("array<double>").alias("v")
     )
-    fine = F.col("label").isNotNull() & _usable(F.col("v"))
-    usable = rows.filter(fine & F.col("id").isNotNull())
-    points = stored(usable.groupBy("label", "v").agg(F.min("id").alias("owner"), F.count("*").alias("n")), "tree-points")
+    fine = F.coalesce(F.col("label").isNotNull() & _usable(F.col("v")), F.lit(False))
+    usable = rows.filter(fine)
+    # A point is a different vector of a label; its number, not an id, names it.
+    points = usable.groupBy("label", "v").agg(F.min("id").alias("low"), F.count("*").alias("n"))
+    points = stored(points.withColumn("owner", F.monotonically_increasing_id()), "tree-points")
     local = _local_links(points, cosine)
     joined = components(local.select("owner", "root"), "owner", "root")
     sums = local.groupBy("owner").agg(F.sum("links").alias("links"))
-    labelled = (
+    grouped = stored(
         points.join(sums, "owner", "left")
         .join(joined.withColumnRenamed("node", "owner"), "owner", "left")
-        .select(
-            "label",
-            "v",
-            (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
-            F.coalesce("component", "owner").alias("component_id"),
-        )
+        .select("label", "v", "low", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "owner").alias("group")),
+        "tree-groups",
     )
+    heads = grouped.groupBy("group").agg(F.min("low").alias("component_id"))
+    labelled = grouped.join(heads, "group").select("label", "v", "n_links", "component_id")
     found = usable.join(labelled, ["label", "v"]).select("id", "n_links", "component_id")
-    others = rows.filter(~F.coalesce(fine & F.col("id").isNotNull(), F.lit(False))).select(
-        "id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id")
-    )
+    others = rows.filter(~fine).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     return found.unionByName(others).select(
-        F.col("id").alias(id_col), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept")
+        F.col("id").alias(id_col), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
     )
 
 
+def _chunk(owner: int, parts: int) -> int:
+    """One of the chunks of a cell, mixed so that neighbouring numbers fall apart."""
+    return (owner * 0x9E3779B97F4A7C15 >> 29) % parts
+
+
+def _copies(rows: pd.DataFrame, places: list[int], dealt_to: list[tuple[int, ...]]) -> pd.DataFrame:
+    found = rows.iloc[places].copy()
+    for name, values in zip(("c1", "h1", "c2", "h2", "side"), np.array(dealt_to, dtype=np.int64).reshape(-1, 5).T):
+        found[name] = values
+    return found[_DEALT]
+
+
 def _local_links(points: DataFrame, cosine: float) -> DataFrame:
     spark = points.sparkSession
     limit = float(np.sqrt(max(0.0, 2.0 - 2.0 * cosine))) + _SLACK
     sized = points.withColumn("d", F.size("v"))
-    large = (
-        sized.groupBy("label", "d").agg(F.count("*").alias("n"))
-        .withColumn("k", F.ceil(F.col("n") / CELL).cast("int")).filter(F.col("k") > 1)
-        .orderBy(F.desc("n"), "label", "d").limit(PIVOTS // 2).collect()
-    )
+    sizes = sized.groupBy("label", "d").agg(F.count("*").alias("n")).withColumn("parts", F.ceil(F.col("n") / CELL).cast("int"))
+    sizes = stored(sizes.filter(F.col("parts") > 1), "tree-labels")
+    # The largest labels get pivots; any further one is dealt to chunks by hash alone.
+    large = sizes.withColumnRenamed("parts", "k").orderBy(F.desc("n"), "label", "d").limit(PIVOTS // 2).collect()
+    sized = sized.join(sizes.select("label", "d", "parts"), ["label", "d"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     total = sum(r["k"] for r in large)
     wanted = [(r["label"], r["d"], max(2, min(r["k"], r["k"] * PIVOTS // (2 * max(total, 1))))) for r in large]
     pivots: dict[tuple, np.ndarray] = {}
@@ -261,11 +275,11 @@ def _local_links(points: DataFrame, cosine: float) -> DataFrame:
                 if own is not None:
                     gaps = distances(unit(np.stack(rows["v"].to_numpy())), own)
                     rows["cell"], rows["gap"] = gaps.argmin(axis=1), gaps.min(axis=1)
-                yield rows[["label", "d", "cell", "gap", "owner", "n", "v"]]
+                yield rows[["label", "d", "parts", "cell", "gap", "owner", "n", "v"]]
 
     label_type = points.schema["label"].dataType.simpleString()
-    placed = sized.select("label", "d", "owner", "n", "v").mapInPandas(
-        nearest, f"label {label_type}, d int, cell int, gap double, owner long, n long, v array<double>"
+    placed = sized.select("label", "d", "parts", "owner", "n", "v").mapInPandas(
+        nearest, f"label {label_type}, d int, parts int, cell int, gap double, owner long, n long, v array<double>"
     )
     if pivots:
         placed = stored(placed, "tree-cells")
@@ -285,20 +299,23 @@ def _local_links(points: DataFrame, cosine: float) -> DataFrame:
             for key, rows in batch.groupby(["label", "d"], sort=False):
                 own, at = shared_cells.value.get(key), shared.value.get(key)
                 if own is None:
-                    yield rows.assign(c1=0, h1=0, c2=0, h2=0, side=0)[_DEALT]
-                    continue
-                gaps = distances(unit(np.stack(rows["v"].to_numpy())), at)
+                    own, gaps = {0: (int(rows["parts"].iloc[0]), float("inf"))}, np.zeros((len(rows), 1))
+                else:
+                    gaps = distances(unit(np.stack(rows["v"].to_numpy())), at)
+                places, dealt_to = [], []
                 for place, (cell, owner) in enumerate(zip(rows["cell"].tolist(), rows["owner"].tolist())):
-                    chunk = hash((owner, 1)) % own[cell][0]
-                    row = rows.iloc[[place]]
+                    mine = (cell, _chunk(owner, own[cell][0]))
                     for other, (parts, reach) in own.items():
                         apart = gaps[place, other] > reach + limit or gaps[place, other] > gaps[place, cell] + 2 * limit
                         if other != cell and apart:
                             continue
                         for part in range(parts):
-                            low, high = sorted([(cell, chunk), (other, part)])
-                            side = 0 if (cell, chunk) == low else 1
-                            yield row.assign(c1=low[0], h1=low[1], c2=high[0], h2=high[1], side=side)[_DEALT]
+                            low, high = sorted([mine, (other, part)])
+                            places.append(place)
+                            dealt_to.append((*low, *high, 0 if mine == low else 1))
+                    if len(places) > 20_000 or place == len(rows) - 1:
+                        yield _copies(rows, places, dealt_to)
+                        places, dealt_to = [], []
 
     pairs = placed.mapInPandas(
         dealt, f"label {label_type}, d int, c1 int, h1 int, c2 int, h2 int, side int, owner long, n long, v array<double>"

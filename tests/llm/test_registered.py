@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from urbanloom.llm.queries import QUERIES
 
-WORDS = "river stone light under green hill road letter winter garden song bread window paper clock field".split()
+SYLLABLES = "ri ver sto ne li ght un der gre en hi ll ro ad le tter win ter gar den so ng bre ad pa per clo ck fi eld".split()
+WORDS = ["".join(random.Random(k).choices(SYLLABLES, k=1 + k % 4)) for k in range(3_000)]
 
 
 def prose(seed, n):

@@ -24,6 +24,7 @@ from . import (
     warc,
 )
 from .common import table
+from .oracles import ORACLES  # noqa: F401
 
 #: The key of the registered query; a real run takes its own from a secret store.
 SURROGATE_KEY = "registered-query"
@@ -133,8 +134,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_merkle": op13_merkle,
 }
 
-ORACLES: dict[str, str] = {}
-
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline; its module lies beside the driver contract."""

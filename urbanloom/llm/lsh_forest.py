@@ -9,8 +9,8 @@
    only counted, joined and compared with its centre, never gathered.
 3. At each depth the classes are compared with the centres of their regions, a linear number
    of pairs, and confirmed before the next depth: of a large region only the centre and the
-   classes that are not connected with it go deeper, so a group of near copies is done with at
-   the first depth. After that come the pairs of small regions whose classes are not
+   classes that are not connected with it go deeper, as long as that finds links, so a group of
+   near copies is done with at the first depth. After that come the pairs of small regions whose classes are not
    connected yet. Large regions that overlap form a dense group; where a group is not one
    component by then, the classes outside its main component are compared with all others
    they are not connected with: these loose classes, in chunks of BLOCK, meet the group's
@@ -48,7 +48,7 @@ from .memory import Recent
 TREES, STEP, FIRST, LEAF, BLOCK = 16, 8, 3, 32, 256
 WIDTH = TREES * STEP
 #: Depths of regions: the first, and those at which what is left of large ones is counted again.
-DEPTHS = (FIRST, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, WIDTH)
+DEPTHS = (FIRST, 6, 12, 24, 48, 96)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _END = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -188,14 +188,17 @@ def descended(
             both = _in_component(_in_component(near, joined, "a", "ca"), joined, "b", "cb")
             near = both.filter(F.col("ca") != F.col("cb")).select("a", "b")
         links = confirmed(near, sets, percent)
+        done = joined is not None and links.isEmpty()  # what is still apart is left to the blocks
         joined = components(links, "a", "b") if joined is None else _extended(joined, links)
         leaf = regions.filter(F.col("n") <= LEAF).select("region", "class", *_SKETCH)
         leaves = leaf if leaves is None else leaves.unionByName(leaf)
+        if done or depth is None:
+            return joined, leaves
         open_ = _in_component(_in_component(regions.filter(F.col("n") > LEAF), joined, "class", "in"), joined, "heart", "at")
         within = stored(open_.filter((F.col("in") != F.col("at")) | (F.col("class") == F.col("heart"))).select("region", "tree", "class"), "forest-open")
         alone = within.groupBy("region").agg(F.count("*").alias("n")).filter("n > 1").select("region")
         within = within.join(alone, "region", "left_semi").select("tree", "class")
-        if depth is None or within.isEmpty():
+        if within.isEmpty():
             return joined, leaves
         regions = stored(_regions(classes, depth, within, percent), "forest-regions")
 

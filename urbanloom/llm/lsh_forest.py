@@ -9,7 +9,7 @@
    only counted, joined and compared with its centre, never gathered.
 3. At each depth the classes are compared with the centres of their regions, a linear number
    of pairs, and confirmed before the next depth: of a large region only the centre and the
-   classes that are not connected with it go deeper, as long as that finds links, so a group of
+   classes that do not link with it go deeper, as long as that finds links, so a group of
    near copies is done with at the first depth. After that come the pairs of small regions whose classes are not
    connected yet. Large regions that overlap form a dense group; where a group is not one
    component by then, the classes outside its main component are compared with all others
@@ -168,38 +168,33 @@ def _regions(classes: DataFrame, depth: int, within: DataFrame | None, percent:
     )
 
 
-def _in_component(rows: DataFrame, joined: DataFrame, column: str, name: str) -> DataFrame:
-    """``rows`` with the component of the class in ``column``, itself if it has no links."""
-    known = joined.select(F.col("node").alias(column), F.col("component").alias("__c"))
-    return rows.join(known, column, "left").withColumn(name, F.coalesce("__c", column)).drop("__c")
-
-
 def descended(
     regions: DataFrame, classes: DataFrame, sets: DataFrame, percent: int
 ) -> tuple[DataFrame, DataFrame]:
-    """(components of links with centres, rows (region, class) of small regions), from the regions
-    at the first depth downwards."""
-    joined, leaves = None, None
+    """(links (a, b) with centres, rows (region, class) of small regions), from the regions at the
+    first depth downwards."""
+    tried, links, leaves = None, None, None
     for depth in [*DEPTHS[1:], None]:
         near = regions.filter(F.col("centre").isNotNull()).select(
             F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")
         ).distinct()
-        if joined is not None:
-            both = _in_component(_in_component(near, joined, "a", "ca"), joined, "b", "cb")
-            near = both.filter(F.col("ca") != F.col("cb")).select("a", "b")
-        links = confirmed(near, sets, percent)
-        done = joined is not None and links.isEmpty()  # what is still apart is left to the blocks
-        joined = components(links, "a", "b") if joined is None else _extended(joined, links)
+        near = stored(near if tried is None else near.join(tried, ["a", "b"], "left_anti"), "forest-centres")
+        tried = near if tried is None else tried.unionByName(near)
+        found = confirmed(near, sets, percent)
+        done = links is not None and found.isEmpty()  # what is still apart is left to the blocks
+        links = found if links is None else links.unionByName(found)
         leaf = regions.filter(F.col("n") <= LEAF).select("region", "class", *_SKETCH)
         leaves = leaf if leaves is None else leaves.unionByName(leaf)
         if done or depth is None:
-            return joined, leaves
-        open_ = _in_component(_in_component(regions.filter(F.col("n") > LEAF), joined, "class", "in"), joined, "heart", "at")
-        within = stored(open_.filter((F.col("in") != F.col("at")) | (F.col("class") == F.col("heart"))).select("region", "tree", "class"), "forest-open")
-        alone = within.groupBy("region").agg(F.count("*").alias("n")).filter("n > 1").select("region")
-        within = within.join(alone, "region", "left_semi").select("tree", "class")
+            return links, leaves
+        wide = regions.filter(F.col("n") > LEAF).select(
+            "region", "tree", "class", "heart", F.least("class", "heart").alias("a"), F.greatest("class", "heart").alias("b")
+        )
+        within = stored(wide.join(links, ["a", "b"], "left_anti").select("region", "tree", "class", "heart"), "forest-open")
+        more = within.filter(F.col("class") != F.col("heart")).select("region").distinct()
+        within = within.join(more, "region", "left_semi").select("tree", "class")
         if within.isEmpty():
-            return joined, leaves
+            return links, leaves
         regions = stored(_regions(classes, depth, within, percent), "forest-regions")
 
 
@@ -356,7 +351,8 @@ def near_duplicates(
     sets = stored(
         _sets(docs, wanted, words=words, id_col=id_col, text_col=text_col).dropDuplicates(["class"]), "forest-sets"
     )
-    joined, leaves = descended(regions, classes, sets, percent)
+    links, leaves = descended(regions, classes, sets, percent)
+    joined = components(links, "a", "b")
     joined = _extended(joined, confirmed(_apart(_labelled(leaves, joined), percent), sets, percent))
     joined = _extended(joined, _block_links(large, joined, sets, percent))
     joined = joined.withColumnRenamed("node", "class")

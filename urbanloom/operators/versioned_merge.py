@@ -7,18 +7,31 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..sources.snapshots import NO_DAY, Snapshots, with_day
+from ..session import session_settings
+from ..sources.snapshots import NO_DAY, Manifest, Snapshots, with_day
 from ..sources.tables import PARTITION_DAY, clustered, settled
 from .merge import _unseen, one_per_key
 
 
-def deduplicated(rows: DataFrame, key: str) -> DataFrame:
+#: So many repeated keys are broadcast to find their rows.
+FEW_KEYS = 200_000
+#: Rows of all columns that one task sorts.
+TASK_ROWS = 100_000
+PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def deduplicated(rows: DataFrame, key: str, few: int = FEW_KEYS) -> DataFrame:
     """One row per key, the smallest by column order; rows without key all stay. Keys are
-    counted by themselves first, so only rows whose key repeats move at full width."""
+    counted by themselves first: if few repeat, only their rows move at full width; if many do,
+    all rows move once, after the map side has combined the copies."""
     counts = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("__n"))
     again = settled(counts.filter("__n > 1").select(key), "repeated-keys")
-    if again.isEmpty():
+    repeated = again.count()
+    if not repeated:
         return rows
+    if repeated > few:
+        return one_per_key(rows, key)
+    again = F.broadcast(again)
     single = rows.join(again, key, "left_anti").select(*rows.columns)
     return single.unionByName(one_per_key(rows.join(again, key, "left_semi").select(*rows.columns), key))
 
@@ -54,8 +67,24 @@ def merge_versioned(
     key column of all days is compared, and a key that moves to another day leaves its old one.
     Only days that lose or gain rows are written. The load starts from one version and is
     published in one step, so a reader never sees half of it, and one that dies changes nothing.
+    Shuffles are dealt by the rows that take part, so a task's share does not grow with them.
     """
-    head = table.manifest()
+    spark, head = source.sparkSession, table.manifest()
+    with session_settings(spark, {PARTITIONS: str(_partitions(source, table, head))}):
+        return _merge(source, table, head, key, ts, cluster, allowed_lateness, update_matched)
+
+
+def _partitions(source: DataFrame, table: Snapshots, head: Manifest | None) -> int:
+    """Shuffle partitions of a load, at least the session's own number."""
+    rows = source.count() + (0 if head is None else table.read(head.version).count())
+    own = source.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    return max(int(own), -(-rows // TASK_ROWS))
+
+
+def _merge(
+    source: DataFrame, table: Snapshots, head: Manifest | None, key: str, ts: str, cluster: Sequence[str],
+    allowed_lateness: timedelta, update_matched: bool,
+) -> int | None:
     if head is None:
         rows = clustered(deduplicated(_plain(source), key), ts, cluster)
         return table.publish(table.stage(rows, None))

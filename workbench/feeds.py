@@ -73,8 +73,9 @@ class Feeds:
 
     @cached_property
     def trips(self):
-        """Trips of all services from one scan."""
-        return trips.classify(self.view("trip_events"))
+        """Trips of all services from one scan, dealt to all cores before they multiply by status: the scan
+        of a compact file has few tasks."""
+        return trips.classify(self.view("trip_events").repartition("event_id"))
 
     @cached_property
     def enriched(self):

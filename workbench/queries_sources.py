@@ -426,16 +426,19 @@ def stream_traffic_hourly(f):
 LANDING = "(coalesce(trip_duration_minutes, 0) + case when is_stuck_in_traffic then 3 else 0 end) % 8"
 
 
-def landed_fact(f):
-    """The fact landed file by file, dealt by what differs between the copies of a trip: a key
-    that is there already comes again in later files."""
-    folder = new_folder(f.spark, "stream-fact")
-    rows = slim_fact(f)
-    numbered = tables.settled(rows.withColumn("file", F.expr(f"cast({LANDING} as int)")), "dealt-fact")
+def as_landed(f, run):
+    """The fact lands in eight deliveries, dealt by what differs between the copies of a trip: a
+    key that is there already comes again in later ones. ``run`` takes the stream of what has
+    landed after each delivery, as one batch of any number of files."""
+    folder, dealt = new_folder(f.spark, "stream-fact"), new_folder(f.spark, "dealt-fact")
+    rows = slim_fact(f).withColumn("file", F.abs(F.expr(f"cast({LANDING} as int)")))
+    rows.write.partitionBy("file").parquet(dealt)
+    stored, result = f.spark.read.schema(rows.schema).parquet(dealt), None
     for number in range(LANDED_FILES):
-        part = numbered.filter(F.abs("file") == number).drop("file")
-        part.coalesce(1).write.mode("append").parquet(folder)
-    return jobs.read_landed(f.spark, folder, rows.schema, files_per_batch=1)
+        part = stored.filter(stored["file"] == number).drop("file")
+        part.write.mode("append").parquet(folder)
+        result = run(jobs.read_landed(f.spark, folder, part.schema))
+    return result
 
 
 # The copy of the first file wins; within one file the smallest row.
@@ -452,7 +455,8 @@ def stream_incremental_fact(f):
     def merge(batch, number):
         merge_unseen(batch, path, "trip_id", "pickup_datetime", ("service_type",))
 
-    jobs.run_available(landed_fact(f), new_folder(f.spark, "fact-state"), "append", merge)
+    state = new_folder(f.spark, "fact-state")
+    as_landed(f, lambda stream: jobs.run_available(stream, state, "append", merge))
     return f.spark.read.parquet(path).drop(tables.PARTITION_DAY)
 
 
@@ -478,7 +482,8 @@ def stream_traffic_state(f):
 def stream_dedup_expiry(f):
     """Keys that return in a later batch are known from state; no stored day is read."""
     table = Snapshots(f.spark, new_folder(f.spark, "deduped"))
-    stateful.dedup_with_expiry(landed_fact(f), table, "trip_id", "pickup_datetime", new_folder(f.spark, "dedup-state"))
+    state = new_folder(f.spark, "dedup-state")
+    as_landed(f, lambda stream: stateful.dedup_with_expiry(stream, table, "trip_id", "pickup_datetime", state))
     rows = table.read()
     return rows.select("trip_id", "service_type", rows.pickup_datetime.cast("timestamp_ntz").alias("pickup_datetime"))
 
@@ -488,9 +493,8 @@ def stream_dedup_expiry(f):
     f"select distinct {trip_key()} as trip_id, service_type, pickup_datetime from enriched",
 )
 def stream_dedup_trip_id(f):
-    result = jobs.stream_dedup_trip_id(
-        landed_fact(f), new_folder(f.spark, "deduped"), new_folder(f.spark, "dedup-state")
-    )
+    path, state = new_folder(f.spark, "deduped"), new_folder(f.spark, "dedup-state")
+    result = as_landed(f, lambda stream: jobs.stream_dedup_trip_id(stream, path, state))
     return result.select(
         "trip_id", "service_type", result.pickup_datetime.cast("timestamp_ntz").alias("pickup_datetime")
     )

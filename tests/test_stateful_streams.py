@@ -1,6 +1,7 @@
 """Streams with expiring state, versioned sinks and compaction."""
 
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -166,3 +167,11 @@ def test_rebuild_derives_changed_days_only(spark, rows, tmp_path):
     assert run(trip("a", 1, 1), trip("b", 2, 7), trip("d", 4, 4)) == ["2024-01-02", "2024-01-03"]  # changed, gone
     assert run(trip("a", 1, 1), trip("a", 1, 1), trip("b", 2, 7), trip("d", 4, 4)) == ["2024-01-01"]  # repeated
     assert run(trip("a", 1, 1), trip("b", 2, 7), trip("d", 4, 4), ("n", None, 5)) == ["2024-01-01", "__HIVE_DEFAULT_PARTITION__"]
+
+
+def test_state_batches_store_changes_not_whole_files(spark, rows, paths):
+    landing, _, path, state = paths
+    feed, table = Feed(spark, rows, TRIPS, landing), Snapshots(spark, path)
+    feed.land([trip("a", 1), trip("b", 2)])
+    stateful.dedup_with_expiry(feed.stream(), table, "trip_id", "pickup_datetime", state)
+    assert list(Path(state).glob("state/**/*.changelog"))

@@ -13,36 +13,32 @@ refused by a table that another one has filled.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
+from contextlib import AbstractContextManager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from ..plans.traffic import describe_hours, hourly_parts, moving, summed_parts
 from ..functions import clock
+from ..session import session_settings
 from ..sources.snapshots import NO_DAY, Snapshots, with_day
 from ..sources.tables import PARTITION_DAY, clustered, settled
 from .jobs import run_available
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_SETTING = "spark.sql.streaming.stateStore.providerClass"
+# A batch stores what changed in the state, not its whole files.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKS,
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 #: Column of the arrival time.
 ARRIVED = "arrived_at"
 
 
-@contextmanager
-def state_in_rocksdb(spark: SparkSession) -> Iterator[None]:
+def state_in_rocksdb(spark: SparkSession) -> AbstractContextManager[None]:
     """Streams started inside keep their state in RocksDB; the session's own choice returns."""
-    before = spark.conf.get(_SETTING, None)
-    spark.conf.set(_SETTING, ROCKS)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(_SETTING)
-        else:
-            spark.conf.set(_SETTING, before)
+    return session_settings(spark, STATE_SETTINGS)
 
 
 def arriving(stream: DataFrame, remember: str) -> DataFrame:

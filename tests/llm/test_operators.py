@@ -476,3 +476,22 @@ def test_surrogates_leave_digits_that_fail_luhn(spark):
     assert out[2]["text"].startswith("1234567890123456 and ") and ", then 4111 1111 1111 1112 / " in out[2]["text"]
     assert "host" not in out[2]["text"] and "4111-1111-1111-1111" not in out[2]["text"]
     assert out[3]["text"] == out[2]["text"][21:40].replace("-", "") != texts[3]
+
+
+def test_visible_ascii_runs_are_cut_as_the_library_cuts_them(monkeypatch):
+    from array import array
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from urbanloom.llm import token_files
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    texts = ["a1b2", "DON'T I'LL we'RE'S", "''s'", "it's're1d", "x<|endoftext|>'s", "a--b/c.d 10:45", "<|StartOfText|>"]
+    expected = [array("H", [*library.encode(t, add_special_tokens=False).ids, 2]).tobytes() for t in texts]
+    whole, wholes = token_files._Runs.whole, []
+    monkeypatch.setattr(token_files._Runs, "whole", lambda self, run: wholes.append(run) or whole(self, run))
+    token_files._runs.cache_clear()
+    assert token_files.encode_texts(texts, path, 2, "<u2", True) == expected
+    assert wholes == ["x<|endoftext|>'s"]  # only what holds a token of its own takes all steps

@@ -39,7 +39,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from ..scratch import new_folder
 from .common import named, stored, text_or_empty
-from .memory import Recent
+from .memory import LONGEST, Recent
 
 STEP = 256
 BLOCK_IDS = 262_144
@@ -62,8 +62,8 @@ class _Pieces(Recent):
 
 
 class _Runs(Recent):
-    """Ids of one run without white space. A word and the marks behind it are separate
-    pieces for the tokenizer; any other run goes through all of its steps."""
+    """Ids of one run without white space. A word and the marks behind it are separate pieces for the
+    tokenizer, and other visible ASCII is cut into its pieces here; any other run goes through all of its steps."""
 
     def __init__(self, path: str, kind: str):
         super().__init__(ROOM)
@@ -72,6 +72,7 @@ class _Runs(Recent):
         self.tokenizer, self.kind = Tokenizer.from_file(path), _ARRAY[kind]
         self.pieces = _Pieces(self.tokenizer.model, kind)
         self.marks: dict[str, bytes] = {"": b""}
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
 
     def compute(self, run: str) -> bytes:
         word = run.rstrip(".,:;!?#$%&*")
@@ -83,6 +84,9 @@ class _Runs(Recent):
                 if len(tail) < 4:
                     self.marks[tail] = marks
             return self.pieces[word.lower()] + marks
+        if run.isascii() and run.isprintable() and len(run) <= LONGEST and not any(token in run for token in self.added):
+            pieces = self.pieces
+            return b"".join([pieces[piece] for piece in _ASCII_PIECES.findall(run.lower())])
         return self.whole(run)
 
     def whole(self, run: str) -> bytes:
@@ -91,6 +95,7 @@ class _Runs(Recent):
 
 #: The steps before the merges for which runs can be encoded one by one.
 _NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+_ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
@@ -303,12 +308,10 @@ def write_token_files(
                 names=["id", "n", "bits", "marks"],
             )
 
-    fields = [T.StructField("id", id_type), T.StructField("n", T.LongType())]
-    coded_schema = T.StructType([*fields, T.StructField("bits", T.BinaryType()), T.StructField("marks", T.BinaryType())])
     # Ranges are drawn from the stored ids and coding comes after the exchange, so it runs once.
     # The hash tells rows apart that repeat an id or have none.
     order = ("id", "n", F.xxhash64("ids"))
-    ordered = tokens.repartitionByRange(*order).sortWithinPartitions(*order, "ids").mapInArrow(code, coded_schema)
+    ordered = tokens.repartitionByRange(*order).sortWithinPartitions(*order, "ids")
     arrow_id = to_arrow_type(id_type)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -353,7 +356,8 @@ def write_token_files(
         ]
     )
     # Coded bits do not shrink any further.
-    ordered.mapInArrow(pack, block_schema).write.option("compression", "uncompressed").parquet(f"{folder}/blocks")
+    # One Python worker a task does both steps.
+    ordered.mapInArrow(lambda batches: pack(code(batches)), block_schema).write.option("compression", "uncompressed").parquet(f"{folder}/blocks")
     blocks = spark.read.parquet(f"{folder}/blocks")
     sizes = blocks.groupBy("part").agg(F.sum(F.aggregate("numbers", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per written range

@@ -129,6 +129,12 @@ def test_rows_without_key_all_stay(rows):
     assert sorted(values(one_per_key(df, "k"), "k", "v"), key=str) == [("a", 1), (None, 1), (None, 1)]
 
 
+def test_keys_are_derived_once_for_keyed_rows(rows):
+    df = rows(SCHEMA, ("a", at(1), 1), (None, at(1), 2)).withColumn("k", F.md5("k"))
+    plan = one_per_key(df, "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert "isnotnull(md5" not in plan and len(values(one_per_key(df, "k"), "k")) == 2
+
+
 def test_rows_without_key_are_added_once(spark, tmp_path):
     schema = "k string, pickup_datetime timestamp, v int"
     path = str(tmp_path / "fact")

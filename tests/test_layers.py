@@ -1,6 +1,7 @@
 """The layered run end to end, and its checks."""
 
 import os
+import threading
 
 import pytest
 
@@ -32,3 +33,21 @@ def test_second_run_changes_nothing_and_checks_report(spark, tmp_path):
     assert results["fact_taxi_trips", "not_null:pickup_borough"].outcome == "error"  # zones the lookup lacks
     assert results["stg_yellow_taxi_trips", "accepted_values:store_and_fwd_flag"].outcome == "warn"
     assert results["dim_hours", "accepted_values:time_slot"].outcome == "pass"
+
+
+def test_trips_do_not_wait_for_the_requests(spark, tmp_path, monkeypatch):
+    feeds, enriched, store = Feeds(spark, FOLDER), threading.Event(), layers.materialize
+    names = ("raw_yellow", "raw_hvfhv", "raw_fhv", "raw_speed", "raw_weather", "raw_311", "zones")
+    in_time = []
+
+    def watched(df, name, *rest):
+        if name == "stg_311_requests":
+            in_time.append(enriched.wait(120))
+        stored = store(df, name, *rest)
+        if name == "int_trips_enriched":
+            enriched.set()
+        return stored
+
+    monkeypatch.setattr(layers, "materialize", watched)
+    raw = dict(zip(layers.FEEDS, map(feeds.view, names)))
+    assert len(layers.run(raw, str(tmp_path), AS_OF)) == 20 and in_time == [True]

@@ -16,7 +16,10 @@ def one_per_key(df: DataFrame, key: str) -> DataFrame:
     row. Rows without a key match nothing and all stay. ``min`` combines on the
     map side, so the copies of one key do not travel to a single task."""
     others = [name for name in df.columns if name != key]
-    smallest = df.filter(df[key].isNotNull()).groupBy(key).agg(F.min(F.struct(*others)).alias("__row"))
+    # The keyless rows are told by a count: a filter on the key itself would be moved to
+    # the source, where the key of every row is derived once more.
+    smallest = df.groupBy(key).agg(F.min(F.struct(*others)).alias("__row"), F.count(key).alias("__keyed"))
+    smallest = smallest.filter(smallest["__keyed"] > 0)
     return smallest.select(key, "__row.*").select(*df.columns).unionByName(df.filter(df[key].isNull()))
 
 

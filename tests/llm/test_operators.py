@@ -93,6 +93,19 @@ def test_code_lengths_keep_the_limit(counts):
     assert (codec.decode(np.frombuffer(bits, dtype=np.uint8), marks, lanes) == ids).all()
 
 
+def test_documents_coded_together_are_those_coded_alone():
+    rng = np.random.default_rng(1)
+    lengths = token_files.code_lengths(rng.zipf(1.3, 5000).astype(float), 18)
+    codec, numbers = token_files.Codec(np.arange(5000), lengths, 18), np.array([1, 1, 2, 300, 0, 256, 257, 4000, 1])
+    ids, ends = rng.integers(0, 5000, numbers.sum()), np.cumsum(numbers)
+    for n, end, (bits, marks) in zip(numbers, ends, codec.encode_each(ids, numbers)):
+        alone, at = codec.encode(ids[end - n : end])
+        assert bits == alone and marks.tolist() == at.tolist()
+        own = -(-n // token_files.STEP)
+        lanes = np.minimum(token_files.STEP, n - token_files.STEP * np.arange(own))
+        assert codec.decode(np.frombuffer(bits, dtype=np.uint8), marks, lanes).tolist() == ids[end - n : end].tolist()
+
+
 def test_byte_bpe_equals_the_merge_rules(docs, none):
     import tiktoken
 

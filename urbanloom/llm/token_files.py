@@ -27,6 +27,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from operator import attrgetter
 from unicodedata import is_normalized
 
 import numpy as np
@@ -46,6 +47,7 @@ BLOCK_IDS = 262_144
 ROOM = 200_000
 _ARRAY = {"<u2": "H", "<u4": "I"}
 _SPACES = re.compile(r"[ \t\n\r]+")
+_ID = attrgetter("id")
 
 
 class _Pieces(Recent):
@@ -58,7 +60,7 @@ class _Pieces(Recent):
     def compute(self, piece: str) -> bytes:
         if not piece.isascii():
             piece = piece.encode().decode("latin-1").translate(_VISIBLE)
-        return array(self.kind, [token.id for token in self.tokenize(piece)]).tobytes()
+        return array(self.kind, map(_ID, self.tokenize(piece))).tobytes()
 
 
 class _Runs(Recent):
@@ -127,8 +129,11 @@ _VISIBLE = dict(zip((b for b in range(256) if b not in _SHOWN), range(256, 512))
 
 
 @lru_cache(maxsize=2)
-def _runs(path: str, kind: str) -> _Runs:
-    return _Runs(path, kind)
+def _runs(path: str, kind: str, by_runs: bool = False) -> _Runs:
+    runs = _Runs(path, kind)
+    if by_runs and hasattr(runs.tokenizer.model, "_resize_cache"):
+        runs.tokenizer.model._resize_cache(0)  # the memories here come before it, so it would only be filled
+    return runs
 
 
 def _split(text: str) -> list[str]:
@@ -141,7 +146,7 @@ def _split(text: str) -> list[str]:
 
 def encode_texts(texts: list[str], path: str, end_id: int, kind: str, by_runs: bool) -> list[bytes]:
     """Ids of whole texts, each closed by ``end_id``; ``by_runs`` if the tokenizer allows it."""
-    runs, end = _runs(path, kind), np.array([end_id], dtype=kind).tobytes()
+    runs, end = _runs(path, kind, by_runs), np.array([end_id], dtype=kind).tobytes()
     if not by_runs:
         return [runs.whole(text) + end for text in texts]
     return [b"".join([runs[run] for run in _split(text)]) + end for text in texts]
@@ -194,20 +199,31 @@ class Codec:
 
     def encode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """The bit stream, and the bit offset of every STEP-th id."""
-        if not len(ids):
-            return b"", np.zeros(0, dtype=np.int64)
+        return self.encode_each(ids, np.array([len(ids)]))[0]
+
+    def encode_each(self, ids: np.ndarray, numbers: np.ndarray) -> list[tuple[bytes, np.ndarray]]:
+        """As ``encode``, for documents of ``numbers`` ids that follow each other in ``ids``. Each begins at a byte."""
         bits = self.bits[ids]
-        ends = np.cumsum(bits)
-        at = ends - bits
-        # Each code lands in a 32-bit window that begins at its first byte; 7 + max_bits <= 32.
-        window = self.code[ids] << (32 - (at & 7) - bits).astype(np.uint64)
-        first = at >> 3
-        heads = np.flatnonzero(np.concatenate([[True], first[1:] != first[:-1]]))
-        window, first = np.add.reduceat(window, heads), first[heads]
-        out = np.zeros((int(ends[-1]) + 7) // 8 + 4, dtype=np.uint8)
-        for k in range(4):
-            out[first + k] += ((window >> np.uint64(24 - 8 * k)) & np.uint64(255)).astype(np.uint8)
-        return out[:-4].tobytes(), at[::STEP]
+        sums = np.concatenate([[0], np.cumsum(bits)])
+        last = np.cumsum(numbers)
+        first_id = last - numbers
+        sizes = (sums[last] - sums[first_id] + 7) // 8
+        begin = np.cumsum(sizes) - sizes
+        at = sums[:-1] + np.repeat(8 * begin - sums[first_id], numbers)
+        out = np.zeros(int(sizes.sum()) + 4, dtype=np.uint8)
+        if len(ids):
+            # Each code lands in a 32-bit window that begins at its first byte; 7 + max_bits <= 32.
+            window = self.code[ids] << (32 - (at & 7) - bits).astype(np.uint64)
+            first = at >> 3
+            heads = np.flatnonzero(np.concatenate([[True], first[1:] != first[:-1]]))
+            window, first = np.add.reduceat(window, heads), first[heads]
+            for k in range(4):
+                out[first + k] += ((window >> np.uint64(24 - 8 * k)) & np.uint64(255)).astype(np.uint8)
+        data = out.tobytes()
+        return [
+            (data[x : x + size], at[i:j:STEP] - 8 * x)
+            for x, size, i, j in zip(begin.tolist(), sizes.tolist(), first_id.tolist(), last.tolist())
+        ]
 
     def decode(self, data: np.ndarray, starts: np.ndarray, numbers: np.ndarray) -> np.ndarray:
         """Ids of lanes that begin at bit ``starts`` and hold ``numbers`` ids, in lane order."""
@@ -257,13 +273,12 @@ def id_counts(tokens: DataFrame, kind: str) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                found = np.bincount(np.frombuffer(ids.as_buffer(), dtype=kind))
-                if len(found) > len(total):
-                    found[: len(total)] += total
-                    total = found
-                else:
-                    total[: len(found)] += found
+            found = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype=kind))
+            if len(found) > len(total):
+                found[: len(total)] += total
+                total = found
+            else:
+                total[: len(found)] += found
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], names=["id", "n"])
 
@@ -297,7 +312,12 @@ def write_token_files(
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(*shared.value, max_bits)
         for batch in batches:
-            coded = [codec.encode(np.frombuffer(x.as_buffer(), dtype=kind).astype(np.int64)) for x in batch.column(2)]
+            coded, numbers = [], batch.column(1).to_numpy()
+            parts = np.cumsum(numbers) // BLOCK_IDS  # short documents are coded together
+            cuts = np.flatnonzero(np.diff(parts)) + 1
+            for rows in np.split(np.arange(len(numbers)), cuts) if len(numbers) else ():
+                raw = b"".join(batch.column(2).slice(rows[0], len(rows)).to_pylist())
+                coded += codec.encode_each(np.frombuffer(raw, dtype=kind).astype(np.int64), numbers[rows])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),

@@ -17,14 +17,16 @@ input. All occurrences of a string must meet, and no task may see the whole text
    buckets that follow the size of the text, packed per batch. Which grams repeat goes to all
    tasks as a bitmap of 8 MB, whatever the input; it may let single ones pass, which costs
    time only.
-2. Equal segments of a key are one row with the smallest and the largest id they occur in, by a
-   map-side minimum. A key with many different segments is cut into pieces by the hash of
-   the whole string, so no key is a large group.
+2. Keys, without their bytes, get the smallest and the largest id and the smallest and the
+   largest hash of a segment, by a map-side minimum. A key of one document matches nothing. A
+   key with one segment is one interval by itself: there is nothing to merge. The bytes of the
+   others alone move on (a bitmap of 8 MB names their keys): equal segments of a key are one
+   row. A key with many different segments is cut into pieces by the hash of the whole
+   string, so no key is a large group.
 3. Merging. Keys are dealt to groups of about GROUP bytes. In a group the segments are dealt to
    shards, each shard has its Burrows-Wheeler transform, and the transforms are merged
    by refining their interleave for ``depth`` rounds (see ``interleave``). The repeated
-   intervals give the smallest id of each string. A key with one segment is one interval by
-   itself: there is nothing to merge.
+   intervals give the smallest id of each string.
 4. Runs of starts whose smallest id is below the segment's largest go back to the segment's
    occurrences; each document joins its covered runs and is cut.
 
@@ -230,9 +232,12 @@ class Repeats:
         self.bits, self.buckets = bits, buckets
 
     def __call__(self, gram: np.ndarray) -> np.ndarray:
-        place = _bit(*_place(gram, self.buckets))
-        words = np.frombuffer(self.bits, dtype=np.uint64)
-        return (words[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+        return _marked(self.bits, _bit(*_place(gram, self.buckets)))
+
+
+def _marked(bits: bytes, place: np.ndarray) -> np.ndarray:
+    words = np.frombuffer(bits, dtype=np.uint64)
+    return (words[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
 def _once_a_row(row: np.ndarray, value: np.ndarray) -> np.ndarray:
@@ -284,11 +289,15 @@ def repeated_hashes(source: DataFrame, hashes: Hashes) -> Repeats:
         return pa.table({"word": word[heads].view(np.int64), "bits": np.bitwise_or.reduceat(bits, heads).view(np.int64) if len(heads) else bits.view(np.int64)})
 
     packed = source.select("text", "is_chunk").mapInArrow(pack, "bucket long, marks binary")
-    words = packed.groupBy("bucket").applyInArrow(count, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    return Repeats(_bitmap(packed.groupBy("bucket").applyInArrow(count, "word long, bits long")), buckets)
+
+
+def _bitmap(words: DataFrame) -> bytes:
+    """The bitmap with the bits of (word, bits)."""
     bitmap = np.zeros(1 << (BITS - 6), dtype=np.int64)
-    table = words.toArrow()  # at most one row per word of the bitmap
+    table = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()  # at most one row per word of the bitmap
     bitmap[table.column("word").to_numpy()] = table.column("bits").to_numpy()
-    return Repeats(bitmap.tobytes(), buckets)
+    return bitmap.tobytes()
 
 
 def copied_chunks(source: DataFrame, depth: int) -> tuple[Repeats, DataFrame]:
@@ -334,25 +343,26 @@ def _wider_grams(copied: Repeats, depth: int) -> Hashes:
 
 
 def occurrences(source: DataFrame, repeats: Repeats, copied: Repeats, depth: int) -> DataFrame:
-    """(key, part, segment, own, hash, start) of the segments that hold repeated grams;
-    ``part`` is the segment's own hash."""
+    """(is_chunk, own, hash, key, part, start, starts, segment) of the segments that hold repeated
+    grams; ``part`` is the segment's own hash."""
     shared = source.sparkSession.sparkContext.broadcast((repeats, copied))
-    schema = "own long, hash long, key long, part long, start long, segment binary"
+    schema = "is_chunk boolean, own long, hash long, key long, part long, start long, starts long, segment binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         wanted, gone = shared.value
-        names = ["own", "hash", "key", "part", "start", "segment"]
+        names = ["is_chunk", "own", "hash", "key", "part", "start", "starts", "segment"]
         for batch in batches:
-            rows, keys, starts, texts = [], [], [], []
+            rows, keys, starts, counts, texts = [], [], [], [], []
 
             def out() -> pa.RecordBatch:
                 of = pa.array(np.concatenate(rows).astype(np.int64))
                 parts = np.fromiter(map(xxhash.xxh64_intdigest, texts), dtype=np.uint64, count=len(texts))
                 columns = [
-                    batch.column(0).take(of), batch.column(1).take(of), pa.array(np.concatenate(keys).view(np.int64)),
-                    pa.array(parts.view(np.int64)), pa.array(np.concatenate(starts)), pa.array(texts, pa.binary()),
+                    *[batch.column(c).take(of) for c in (3, 0, 1)], pa.array(np.concatenate(keys).view(np.int64)),
+                    pa.array(parts.view(np.int64)), pa.array(np.concatenate(starts)), pa.array(np.concatenate(counts)),
+                    pa.array(texts, pa.binary()),
                 ]
                 return pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -363,11 +373,12 @@ def occurrences(source: DataFrame, repeats: Repeats, copied: Repeats, depth: int
                     rows.append(row[number])
                     keys.append(key)
                     starts.append(start)
+                    counts.append(count)
                     ends = (start + count + depth - 1).tolist()
                     texts.extend([raw[k][a:b] for k, a, b in zip(row[number].tolist(), start.tolist(), ends)])
                 if len(texts) > 50_000:
                     yield out()
-                    rows, keys, starts, texts = [], [], [], []
+                    rows, keys, starts, counts, texts = [], [], [], [], []
             if texts:
                 yield out()
 
@@ -450,8 +461,34 @@ def _runs_of_group(rows: pa.Table, depth: int) -> pa.Table:
     return pa.table({"key": key[at], "part": part[at], "offset": offset, "starts": count, "least": least})
 
 
-def merged_runs(found: DataFrame, depth: int) -> DataFrame:
+def _of_keys(found: DataFrame, keys: DataFrame) -> DataFrame:
+    """(key, part, own, segment) of ``keys``. The bitmap may let others pass, which costs time only."""
+    # the low bits of an anchor's hash are even, the high ones are small as it is the smallest
+    place = F.col("key").bitwiseAND((1 << BITS) - 1)
+    words = keys.select(F.shiftright(place, 6).alias("word"), F.expr("shiftleft(1L, cast(key & 63 as int))").alias("bits"))
+    shared = found.sparkSession.sparkContext.broadcast(_bitmap(words))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = batch.column(0).to_numpy().view(np.uint64) & np.uint64((1 << BITS) - 1)
+            yield batch.filter(pa.array(_marked(shared.value, place)))
+
+    return found.select("key", "part", "own", "segment").mapInArrow(run, "key long, part long, own long, segment binary")
+
+
+def repeated_runs(found: DataFrame, depth: int) -> DataFrame:
     """Runs of repeated starts of the different segments in ``found``; see ``_runs_of_group``."""
+    bounds = [f(c).alias(name) for f, c, name in (
+        (F.min, "own", "first"), (F.max, "own", "last"), (F.min, "part", "part"), (F.max, "part", "other"), (F.max, "starts", "starts")
+    )]
+    keys = stored(found.groupBy("key").agg(*bounds).filter(F.col("first") < F.col("last")), "suffix-keys")
+    alone = F.col("part") == F.col("other")
+    whole = keys.filter(alone).select("key", "part", F.lit(0).cast("long").alias("offset"), "starts", F.col("first").alias("least"))
+    return whole.unionByName(merged_runs(_of_keys(found, keys.filter(~alone)), depth))
+
+
+def merged_runs(found: DataFrame, depth: int) -> DataFrame:
+    """As ``repeated_runs``, all from the merge."""
     # the bytes are part of the key, so segments with one hash stay apart
     distinct = found.groupBy("key", "part", "segment").agg(F.min("own").alias("first"), F.max("own").alias("last"))
     distinct = stored(distinct, "suffix-segments")
@@ -505,21 +542,21 @@ def without_repeats(
     both = texts.unionByName(distinct)
     repeats = repeated_hashes(both, _wider_grams(copied, depth))
     found = stored(occurrences(both, repeats, copied, depth), "suffix-occurrences")
-    runs = merged_runs(found, depth)
+    runs = repeated_runs(found, depth)
     at = F.col("start") + F.col("offset")
     cut = (
-        found.select("key", "part", "own", "hash", "start").join(runs, ["key", "part"]).filter(F.col("least") < F.col("own"))
-        .select("own", "hash", at.alias("a"), (at + F.col("starts") + (depth - 1)).alias("b"))
+        found.select("key", "part", "is_chunk", "own", "hash", "start").join(runs, ["key", "part"]).filter(F.col("least") < F.col("own"))
+        .select("is_chunk", "own", "hash", at.alias("a"), (at + F.col("starts") + (depth - 1)).alias("b"))
     )
     cut = stored(cut, "suffix-cut")
     # Spans of texts, spans of chunks where they occur first, and whole chunks wherever else.
     first = distinct.select(F.col("hash").alias("chunk"), F.col("own").alias("first"))
     placed = copies.select(F.xxhash64("text", "chunk").alias("chunk"), "own", "hash", "start", F.length("text").alias("n")).join(first, "chunk")
     again = placed.filter(F.col("own") > F.col("first")).select("own", "hash", F.col("start").alias("a"), (F.col("start") + F.col("n")).alias("b"))
-    inner = cut.select(F.col("own").alias("first"), F.col("hash").alias("chunk"), F.col("a").alias("x"), F.col("b").alias("y"))
+    inner = cut.filter("is_chunk").select(F.col("own").alias("first"), F.col("hash").alias("chunk"), F.col("a").alias("x"), F.col("b").alias("y"))
     within = placed.filter(F.col("own") == F.col("first")).join(inner, ["chunk", "first"])
     within = within.select("own", "hash", (F.col("start") + F.col("x")).alias("a"), (F.col("start") + F.col("y")).alias("b"))
-    covered = cut.unionByName(again).unionByName(within).groupBy("own", "hash").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
+    covered = cut.filter("NOT is_chunk").drop("is_chunk").unionByName(again).unionByName(within).groupBy("own", "hash").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
     schema = T.StructType([T.StructField("id", source.schema["id"].dataType)])
     for name, kind in (("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()), ("kept_sha256", T.StringType()), ("kept", T.BinaryType())):
         if with_kept or name != "kept":

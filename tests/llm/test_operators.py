@@ -508,3 +508,29 @@ def test_visible_ascii_runs_are_cut_as_the_library_cuts_them(monkeypatch):
     token_files._runs.cache_clear()
     assert token_files.encode_texts(texts, path, 2, "<u2", True) == expected
     assert wholes == ["x<|endoftext|>'s"]  # only what holds a token of its own takes all steps
+
+
+def test_runs_of_a_slice_are_coded_once_and_put_in_place(monkeypatch):
+    from array import array
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from urbanloom.llm import token_files
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    texts = ["one two three four five six seven " * 20, "", " \n", "Six,\tone.\x0bTWO!!!!\x0cthree", "é\xa0Été　中文 x", "a\x1cb \x1f", "\xa0", "\x85"]
+    expected = [array("H", [*library.encode(t, add_special_tokens=False).ids, 2]).tobytes() for t in texts]
+    monkeypatch.setattr(token_files, "ROOM", 2)  # the memory of words forgets at once
+    compute, computed = token_files._Pieces.compute, []
+    monkeypatch.setattr(token_files._Pieces, "compute", lambda self, piece: computed.append(piece) or compute(self, piece))
+    token_files._runs.cache_clear()
+    assert token_files.encode_texts(texts[:1], path, 2, "<u2", True) == expected[:1]
+    assert sorted(computed) == sorted(texts[0].split()[:7])
+    assert token_files.encode_texts(texts, path, 2, "<u2", True) == expected
+    for size in (1, 30):
+        monkeypatch.setattr(token_files, "SLICE", size)
+        assert token_files.encode_texts(texts, path, 2, "<u2", True) == expected
+    assert token_files.encode_texts([], path, 2, "<u2", True) == []
+    token_files._runs.cache_clear()

@@ -1,9 +1,10 @@
 """Token-id files: canonical length-limited Huffman codes in independent blocks.
 
 1. Texts become ids once (the tokenizers library, in Arrow batches) and are stored.
-   What a run of characters between white space becomes is remembered by the worker:
-   the tokenizer drops white space and never merges across it. A tokenizer file whose steps
-   are others than these gets whole texts.
+   The tokenizer drops white space and never merges across it, so each distinct run between
+   white space of some megabytes of text is coded once and put where it stands by its index;
+   what words become is remembered by the worker. A tokenizer file whose steps are others than
+   these gets whole texts.
 2. Ids are counted over all documents: per partition first, then summed. The table has
    at most one row per id of the vocabulary, which bounds what the driver reads.
 3. Package-merge gives the optimal code lengths under ``max_bits``; codes are canonical,
@@ -32,6 +33,7 @@ from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -44,7 +46,10 @@ from .memory import LONGEST, Recent
 
 STEP = 256
 BLOCK_IDS = 262_144
-ROOM = 200_000
+#: Remembered words, and remembered runs that are no words.
+ROOM, RUN_ROOM = 300_000, 100_000
+#: Bytes of text whose distinct runs are found together.
+SLICE = 6_000_000
 _ARRAY = {"<u2": "H", "<u4": "I"}
 _SPACES = re.compile(r"[ \t\n\r]+")
 _ID = attrgetter("id")
@@ -59,37 +64,36 @@ class _Pieces(Recent):
 
     def compute(self, piece: str) -> bytes:
         if not piece.isascii():
-            piece = piece.encode().decode("latin-1").translate(_VISIBLE)
+            piece = "".join(map(_VISIBLE.__getitem__, piece.encode()))
         return array(self.kind, map(_ID, self.tokenize(piece))).tobytes()
 
 
 class _Runs(Recent):
-    """Ids of one run without white space. A word and the marks behind it are separate pieces for the
-    tokenizer, and other visible ASCII is cut into its pieces here; any other run goes through all of its steps."""
+    """Ids of one run without ASCII white space. A word and the marks behind it are separate pieces for the
+    tokenizer, and other visible ASCII is cut into its pieces here; any other run goes through all of its steps.
+    Words are remembered as pieces, whatever their case and marks; the other runs are remembered here."""
 
     def __init__(self, path: str, kind: str):
-        super().__init__(ROOM)
+        super().__init__(RUN_ROOM)
         from tokenizers import Tokenizer
 
         self.tokenizer, self.kind = Tokenizer.from_file(path), _ARRAY[kind]
         self.pieces = _Pieces(self.tokenizer.model, kind)
-        self.marks: dict[str, bytes] = {"": b""}
         self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
 
-    def compute(self, run: str) -> bytes:
+    def ids(self, run: str) -> bytes:
         word = run.rstrip(".,:;!?#$%&*")
         if word.isalpha() and (word.isascii() or _plain(word)):
-            tail = run[len(word) :]
-            marks = self.marks.get(tail)
-            if marks is None:
-                marks = self.whole(tail)
-                if len(tail) < 4:
-                    self.marks[tail] = marks
-            return self.pieces[word.lower()] + marks
+            found = self.pieces[word.lower()]
+            return found if len(word) == len(run) else found + self[run[len(word) :]]
+        return self[run]
+
+    def compute(self, run: str) -> bytes:
         if run.isascii() and run.isprintable() and len(run) <= LONGEST and not any(token in run for token in self.added):
             pieces = self.pieces
             return b"".join([pieces[piece] for piece in _ASCII_PIECES.findall(run.lower())])
-        return self.whole(run)
+        parts = _split(run)
+        return self.whole(run) if len(parts) == 1 else b"".join(map(self.ids, parts))
 
     def whole(self, run: str) -> bytes:
         return array(self.kind, self.tokenizer.encode(run, add_special_tokens=False).ids).tobytes()
@@ -125,7 +129,8 @@ def _plain(word: str) -> bool:
 
 #: How byte-level vocabularies write bytes, as visible characters in order.
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
-_VISIBLE = dict(zip((b for b in range(256) if b not in _SHOWN), range(256, 512)))
+_HIDDEN = [b for b in range(256) if b not in _SHOWN]
+_VISIBLE = [chr(256 + _HIDDEN.index(b)) if b in _HIDDEN else chr(b) for b in range(256)]
 
 
 @lru_cache(maxsize=2)
@@ -144,12 +149,25 @@ def _split(text: str) -> list[str]:
     return text.split()
 
 
-def encode_texts(texts: list[str], path: str, end_id: int, kind: str, by_runs: bool) -> list[bytes]:
+def encode_texts(texts: list[str] | pa.Array, path: str, end_id: int, kind: str, by_runs: bool) -> list[bytes]:
     """Ids of whole texts, each closed by ``end_id``; ``by_runs`` if the tokenizer allows it."""
     runs, end = _runs(path, kind, by_runs), np.array([end_id], dtype=kind).tobytes()
+    texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
     if not by_runs:
-        return [runs.whole(text) + end for text in texts]
-    return [b"".join([runs[run] for run in _split(text)]) + end for text in texts]
+        return [runs.whole(text) + end for text in texts.to_pylist()]
+    coded: list[bytes] = []
+    parts = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64) // SLICE
+    cuts = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(texts)]
+    for i, j in zip(cuts, cuts[1:]):
+        split = pc.ascii_split_whitespace(texts.slice(i, j - i))
+        found = split.flatten().dictionary_encode()
+        distinct = [runs.ids(run) for run in found.dictionary.to_numpy(zero_copy_only=False)]
+        placed = pa.array(distinct, pa.large_binary()).take(found.indices)
+        _, offsets, raw = placed.buffers()
+        last = np.cumsum(split.value_lengths().to_numpy(), dtype=np.int64)  # every text has a run, if an empty one
+        raw, ends = bytes(raw or b""), np.frombuffer(offsets or b"", dtype=np.int64)[last].tolist()
+        coded += [raw[a:b] + end for a, b in zip([0, *ends], ends)]
+    return coded
 
 
 def code_lengths(counts: np.ndarray, max_bits: int) -> np.ndarray:
@@ -257,7 +275,7 @@ def tokenized(docs: DataFrame, path: str, end_id: int, vocabulary: int, id_col:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = int(kind[-1])
         for batch in batches:
-            coded = encode_texts(batch.column(1).to_pylist(), path, end_id, kind, by_runs)
+            coded = encode_texts(batch.column(1), path, end_id, kind, by_runs)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(x) // width for x in coded], pa.int64()), pa.array(coded, pa.binary())],
                 names=["id", "n", "ids"],

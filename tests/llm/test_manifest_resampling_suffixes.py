@@ -105,6 +105,44 @@ def test_suffix_dedup_cuts_heavy_keys(docs, monkeypatch):
     assert Counter((*r[:5], bytes(r["kept"])) for r in suffix_dedup.without_repeats(docs).collect()) == cut_by_hand(ROWS)
 
 
+def test_suffix_dedup_deals_a_common_phrase_by_its_surroundings(spark, monkeypatch):
+    phrase = "In, of the inanin. Thonst aonthrein thedtiou anon. "
+    rows = [(k, prose(100 + k, 6) + phrase[: 50 - k % 3] + prose(200 + k % 40, 6), "de", 1) for k in range(120)]
+    rows += [(500 + k, phrase[:44] + prose(300 + k, 12), "de", 1) for k in range(60)]
+    monkeypatch.setattr(suffix_dedup, "HEAVY", 8)
+    monkeypatch.setattr(suffix_dedup, "HEAVIEST", 8)
+    found = suffix_dedup.without_repeats(make(spark, rows)).collect()
+    assert Counter((*r[:5], bytes(r["kept"])) for r in found) == cut_by_hand(rows)
+    assert sum(r["n_removed"] > 0 for r in found) > 100
+    # a segment is at most one piece for each window: before, it was one for each start
+    key, text = suffix_dedup._gram_hashes(b"0123456789abcdef").view(np.int64)[0].item(), bytes(range(34)) + b"0123456789abcdef" + bytes(range(60, 94))
+    one = spark.createDataFrame([(key, 7, 1, 2, 3, text)], "key long, part long, first long, last long, offset long, segment binary")
+    pieces = suffix_dedup._in_pieces(one, suffix_dedup._by_window(50), 50).collect()
+    assert len(pieces) == 4 and len({r["sub"] for r in pieces}) == 4
+    spans = sorted((r["offset"] - 3, r["offset"] - 3 + len(r["segment"]) - 49) for r in pieces)
+    assert spans[0][0] == 0 and spans[-1][1] == 35 and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+    assert all(text[r["offset"] - 3 :].startswith(bytes(r["segment"])) for r in pieces)
+
+
+def test_suffix_dedup_filter_grows_with_the_keys(spark):
+    keys = spark.range(8_000_000).select(F.xxhash64("id").alias("key"))
+    others = spark.range(8_000_000, 8_400_000).select(F.xxhash64("id").alias("key"), "id", F.lit(1).cast("long").alias("own"), F.lit(b"").alias("segment"))
+    rows = others.withColumnRenamed("id", "part").unionByName(keys.limit(1_000).selectExpr("key", "0L as part", "1L as own", "cast('' as binary) as segment"))
+    passed = suffix_dedup._of_keys(rows, keys)
+    assert passed.filter("part = 0").count() == 1_000
+    assert passed.filter("part > 0").count() < 0.07 * 400_000  # 0.11 in one bitmap of 8 MB
+
+
+def test_interleave_leaves_out_rows_that_cannot_end():
+    strings = [b"abcde" * 4, b"xabcdeabcdeabcdex", b"abcdeabcde"]
+    string, offset, _ = interleave.repeated(strings, 10, 2)
+    times = Counter(s[i : i + 10] for s in strings for i in range(len(s) - 9))
+    assert set(zip(string.tolist(), offset.tolist())) == {(j, i) for j, s in enumerate(strings) for i in range(len(s) - 9) if times[s[i : i + 10]] > 1}
+    letters = np.frombuffer(bytes([interleave.END]).join([*strings, b""]), dtype=np.uint8)
+    shard, none = interleave.transform(letters, interleave.rotation_order(letters)), np.zeros(len(letters), dtype=bool)
+    assert [len(x) for x in interleave.merged([shard], 10, [none])] == [0, 0]
+
+
 def test_suffix_dedup_query(spark):
     data = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()]
     found = queries.QUERIES["op11_suffix_dedup"](spark, FOLDER)

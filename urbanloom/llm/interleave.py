@@ -8,9 +8,11 @@ letter before them and moves them there, which orders all rotations by one more
 that come apart in round k share k - 1 letters with their neighbour, so common prefixes fall
 out on the way; rows that never come apart in ``depth`` rounds are repeated intervals.
 
-Two kinds of rows leave a round for good: those before which a string begins, as no longer
-match lies within the string, and those that are alone with their k letters, as whatever
-stands before them is alone too. So work shrinks to what does repeat.
+Rows with fewer than ``depth`` letters of their string before them never take part, as their
+string begins before the last round; most rows of short strings are of this kind. Two kinds of
+rows leave a round for good: those before which a string begins, as no longer match lies within
+the string, and those that are alone with their k letters, as whatever stands before them is
+alone too. So work shrinks to what does repeat.
 """
 
 from __future__ import annotations
@@ -66,13 +68,15 @@ def transform(letters: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.nd
     return before, moved
 
 
-def merged(shards: Sequence[tuple[np.ndarray, np.ndarray]], depth: int) -> tuple[np.ndarray, np.ndarray]:
+def merged(shards: Sequence[tuple[np.ndarray, np.ndarray]], depth: int, able: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """(row, interval) of the rotations whose first ``depth`` letters lie within one string and
-    occur more than once, in merged order; rows count on over the shards."""
+    occur more than once, in merged order; rows count on over the shards. ``able`` tells for each
+    row of a shard whether ``depth`` letters of its string stand before it."""
     base = np.cumsum([0, *(len(before) for before, _ in shards)])
     before = np.concatenate([b for b, _ in shards])
     moved = np.concatenate([m + np.int32(start) for (_, m), start in zip(shards, base)])
-    row, interval = np.arange(base[-1], dtype=np.int32), np.zeros(base[-1], dtype=np.int32)
+    row = np.flatnonzero(np.concatenate(able)).astype(np.int32)
+    interval = np.zeros(len(row), dtype=np.int32)
     for _ in range(depth):
         letter = before[row]
         dealt = np.argsort(letter, kind="stable")
@@ -104,7 +108,8 @@ def repeated(strings: Sequence[bytes], depth: int, shards: int) -> tuple[np.ndar
         orders.append(rotation_order(part))
         begins.append(np.repeat(np.cumsum(lengths) - lengths, lengths))
         owners.append(np.repeat(np.arange(s, len(strings), shards), lengths))
-    row, interval = merged([transform(p, o) for p, o in zip(parts, orders)], depth)
+    able = [o - b[o] >= depth for o, b in zip(orders, begins)]
+    row, interval = merged([transform(p, o) for p, o in zip(parts, orders)], depth, able)
     place, begin, owner = np.concatenate(orders)[row], np.concatenate(begins), np.concatenate(owners)
     base = np.cumsum([0, *(len(p) for p in parts)])
     shift = base[np.searchsorted(base, row, side="right") - 1]

@@ -15,14 +15,17 @@ input. All occurrences of a string must meet, and no task may see the whole text
    its right. These longer grams are counted, once per document; where one occurs in a single
    document, the strings that hold it match nothing. Fingerprints of 32 bits are counted in
    buckets that follow the size of the text, packed per batch. Which grams repeat goes to all
-   tasks as a bitmap of 8 MB, whatever the input; it may let single ones pass, which costs
-   time only.
+   tasks as a filter in which each bucket has bits of its own, so it lets as few single ones
+   pass from a large text as from a small one: 64 KB for 16 MB of text, 128 MB at most, which
+   32 GB of text reach; beyond that more single ones pass, which costs time only.
 2. Keys, without their bytes, get the smallest and the largest id and the smallest and the
    largest hash of a segment, by a map-side minimum. A key of one document matches nothing. A
    key with one segment is one interval by itself: there is nothing to merge. The bytes of the
-   others alone move on (a bitmap of 8 MB names their keys): equal segments of a key are one
-   row. A key with many different segments is cut into pieces by the hash of the whole
-   string, so no key is a large group.
+   others alone move on (such a filter names their keys): equal segments of a key are one
+   row. A key with many different segments is dealt anew by longer windows: strings with
+   the anchor at nearly the same place share all bytes but a few. Most of what stands
+   around a common phrase is alone with its window; only a window that still has many
+   pieces is cut by the hash of the whole string, so no key is a large group.
 3. Merging. Keys are dealt to groups of about GROUP bytes. In a group the segments are dealt to
    shards, each shard has its Burrows-Wheeler transform, and the transforms are merged
    by refining their interleave for ``depth`` rounds (see ``interleave``). The repeated
@@ -54,10 +57,16 @@ from .common import OWN, named, stored, text_or_empty
 from .interleave import repeated
 
 GRAM = 16
-#: Bits of the bitmap of grams, as a power of two, and bytes of text of a bucket.
-BITS, BUCKET = 26, 1 << 24
-#: Bytes of segments of a group, bytes of a shard, and segments from which a key is cut.
-GROUP, SHARD, HEAVY = 1 << 19, 1 << 16, 2_048
+#: Bytes of text, and keys, of a bucket of a filter.
+BUCKET, KEYS = 1 << 24, 1 << 16
+#: Bits of a bucket for grams and keys and for chunks, and of a whole filter, as powers of two.
+GRAM_BITS, CHUNK_BITS, MOST_BITS = 19, 16, 30
+#: Bytes of segments of a group, and bytes of a shard.
+GROUP, SHARD = 1 << 19, 1 << 16
+#: Segments above which a key is cut: so many, or one of SHARE of all up to HEAVIEST.
+HEAVY, SHARE, HEAVIEST = 2_048, 1_024, 16_384
+#: Starts of a string whose anchors are near enough for one window.
+NEAR = 9
 #: One place in so many begins a chunk, of this many starts at most.
 CHUNK, LONGEST = 256, 1 << 14
 #: Starts that are worked on at a time; a place within them fits the bits of _PLACE.
@@ -199,7 +208,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(named(id_col).alias("id"), own.alias("own"), F.xxhash64(named(id_col), text).alias("hash"), text.alias("text"))
 
 
-def _own_pieces(texts: list[bytes], is_chunk: list[bool], copied: Repeats, depth: int) -> Iterator[Piece]:
+def _own_pieces(texts: list[bytes], is_chunk: list[bool], copied: Filter, depth: int) -> Iterator[Piece]:
     """The pieces of texts outside copied chunks; a chunk is one piece."""
     plain = [k for k, whole in enumerate(is_chunk) if not whole]
     cut = dict(zip(plain, chunks([texts[k] for k in plain], depth)))
@@ -217,27 +226,67 @@ def _own_pieces(texts: list[bytes], is_chunk: list[bool], copied: Repeats, depth
 
 
 def _place(gram: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and 32-bit fingerprint of grams; buckets rise with the grams."""
+    """Bucket and 32-bit fingerprint of hashes; buckets rise with the hashes."""
     return ((gram >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32), (gram & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
 
-def _bit(bucket: np.ndarray, mark: np.ndarray) -> np.ndarray:
-    return (mark.astype(np.uint64) + bucket.astype(np.uint64) * np.uint64(0x9E3779B1)) & np.uint64((1 << BITS) - 1)
+def _bits(mark: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of fingerprints among the 2 ** width of their bucket."""
+    mark = mark.astype(np.uint64)
+    return mark & np.uint64((1 << width) - 1), ((mark * np.uint64(0x9E3779B1)) & np.uint64(0xFFFFFFFF)) >> np.uint64(32 - width)
 
 
-class Repeats:
-    """A bitmap of hashes that occur in two rows or more."""
+class Filter:
+    """Hashes that were put in, and a few others: each sets two bits of its bucket's."""
 
-    def __init__(self, bits: bytes, buckets: int):
-        self.bits, self.buckets = bits, buckets
+    def __init__(self, bits: bytes, buckets: int, width: int):
+        self.bits, self.buckets, self.width = bits, buckets, width
 
-    def __call__(self, gram: np.ndarray) -> np.ndarray:
-        return _marked(self.bits, _bit(*_place(gram, self.buckets)))
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        bucket, mark = _place(hashes, self.buckets)
+        one, two = _bits(mark, self.width)
+        base = bucket << np.uint64(self.width)
+        found = self._set(base + one)
+        able = np.flatnonzero(found)
+        found[able] = self._set((base + two)[able])
+        return found
 
+    def _set(self, place: np.ndarray) -> np.ndarray:
+        octets = np.frombuffer(self.bits, dtype=np.uint8)
+        return (octets[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
 
-def _marked(bits: bytes, place: np.ndarray) -> np.ndarray:
-    words = np.frombuffer(bits, dtype=np.uint64)
-    return (words[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+
+def _by_bucket(hashes: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """(bucket, marks): the fingerprints of ascending hashes, packed."""
+    bucket, mark = _place(hashes, buckets)
+    heads = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, dtype=np.int64)
+    ends = np.append(heads[1:], len(bucket))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket[heads].astype(np.int64)), pa.array([mark[a:b].tobytes() for a, b in zip(heads, ends)], pa.binary())],
+        names=["bucket", "marks"],
+    )
+
+
+def _filter(packed: DataFrame, buckets: int, width: int, *, twice: bool) -> Filter:
+    """The filter of (bucket, marks): of marks that come ``twice`` or of all. Each bucket's bits are
+    made by one task; all of them together have 2 ** MOST_BITS at most."""
+    width = max(3, min(width, MOST_BITS - (buckets - 1).bit_length()))
+
+    def fill(key: tuple, rows: pa.Table) -> pa.Table:
+        marks = np.frombuffer(b"".join(rows.column("marks").to_pylist()), dtype=np.uint32)
+        if twice:
+            marks = np.sort(marks)
+            marks = marks[1:][marks[1:] == marks[:-1]]
+        bits = np.zeros(1 << width, dtype=bool)
+        for place in _bits(marks, width):
+            bits[place] = True
+        return pa.table({"bucket": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
+
+    octets = np.zeros((buckets, 1 << (width - 3)), dtype=np.uint8)
+    made = packed.groupBy("bucket").applyInArrow(fill, "bucket long, bits binary").toArrow()  # a row per bucket
+    for bucket, bits in zip(made.column("bucket").to_pylist(), made.column("bits")):
+        octets[bucket] = np.frombuffer(bits.as_buffer(), dtype=np.uint8)
+    return Filter(octets.tobytes(), buckets, width)
 
 
 def _once_a_row(row: np.ndarray, value: np.ndarray) -> np.ndarray:
@@ -259,10 +308,10 @@ def _two_of_a_kind(value: np.ndarray) -> np.ndarray:
 Hashes = Callable[[list[bytes], list[bool]], Iterator[tuple[np.ndarray, np.ndarray]]]
 
 
-def repeated_hashes(source: DataFrame, hashes: Hashes) -> Repeats:
+def repeated_hashes(source: DataFrame, hashes: Hashes, width: int) -> Filter:
     """What occurs in two rows or more of the 64-bit ``hashes`` (row, hash) of texts; ``source``
     has text and is_chunk. A value that a very long text holds far apart may count as repeated,
-    which costs time only."""
+    which costs time only. A bucket has 2 ** ``width`` bits."""
     size = source.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     buckets = max(64, -(-size // BUCKET))
 
@@ -270,37 +319,13 @@ def repeated_hashes(source: DataFrame, hashes: Hashes) -> Repeats:
         for batch in batches:
             texts = [_bytes(value) for value in batch.column(0)]
             found = [_once_a_row(*pair) for pair in hashes(texts, batch.column(1).to_pylist())]
-            grams = _two_of_a_kind(np.sort(np.concatenate([np.zeros(0, dtype=np.uint64), *found])))
-            bucket, mark = _place(grams, buckets)
-            heads = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, dtype=np.int64)
-            ends = np.append(heads[1:], len(bucket))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket[heads].astype(np.int64)), pa.array([mark[a:b].tobytes() for a, b in zip(heads, ends)], pa.binary())],
-                names=["bucket", "marks"],
-            )
-
-    def count(key: tuple, rows: pa.Table) -> pa.Table:
-        marks = np.sort(np.frombuffer(b"".join(rows.column("marks").to_pylist()), dtype=np.uint32))
-        twice = np.unique(marks[1:][marks[1:] == marks[:-1]])
-        place = np.unique(_bit(np.full(len(twice), key[0].as_py()), twice))
-        word = place >> np.uint64(6)
-        heads = np.flatnonzero(np.append(True, word[1:] != word[:-1])) if len(word) else np.zeros(0, dtype=np.int64)
-        bits = np.uint64(1) << (place & np.uint64(63))
-        return pa.table({"word": word[heads].view(np.int64), "bits": np.bitwise_or.reduceat(bits, heads).view(np.int64) if len(heads) else bits.view(np.int64)})
+            yield _by_bucket(_two_of_a_kind(np.sort(np.concatenate([np.zeros(0, dtype=np.uint64), *found]))), buckets)
 
     packed = source.select("text", "is_chunk").mapInArrow(pack, "bucket long, marks binary")
-    return Repeats(_bitmap(packed.groupBy("bucket").applyInArrow(count, "word long, bits long")), buckets)
-
+    return _filter(packed, buckets, width, twice=True)
 
-def _bitmap(words: DataFrame) -> bytes:
-    """The bitmap with the bits of (word, bits)."""
-    bitmap = np.zeros(1 << (BITS - 6), dtype=np.int64)
-    table = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()  # at most one row per word of the bitmap
-    bitmap[table.column("word").to_numpy()] = table.column("bits").to_numpy()
-    return bitmap.tobytes()
 
-
-def copied_chunks(source: DataFrame, depth: int) -> tuple[Repeats, DataFrame]:
+def copied_chunks(source: DataFrame, depth: int) -> tuple[Filter, DataFrame]:
     """The chunks that occur in two rows or more, and their occurrences (chunk, own, hash, start,
     text)."""
 
@@ -308,7 +333,7 @@ def copied_chunks(source: DataFrame, depth: int) -> tuple[Repeats, DataFrame]:
         cut = [hashes for _, hashes in chunks(texts, depth)]
         yield np.repeat(np.arange(len(cut)), [len(h) for h in cut]), np.concatenate([np.zeros(0, dtype=np.uint64), *cut])
 
-    repeats = repeated_hashes(source, own)
+    repeats = repeated_hashes(source, own, CHUNK_BITS)
     shared = source.sparkSession.sparkContext.broadcast(repeats)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,7 +359,7 @@ def copied_chunks(source: DataFrame, depth: int) -> tuple[Repeats, DataFrame]:
     return repeats, stored(rows, "suffix-copies")
 
 
-def _wider_grams(copied: Repeats, depth: int) -> Hashes:
+def _wider_grams(copied: Filter, depth: int) -> Hashes:
     def own(texts: list[bytes], is_chunk: list[bool]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for row, part in segments(_own_pieces(texts, is_chunk, copied, depth), depth):
             yield part.grams(row)
@@ -342,7 +367,7 @@ def _wider_grams(copied: Repeats, depth: int) -> Hashes:
     return own
 
 
-def occurrences(source: DataFrame, repeats: Repeats, copied: Repeats, depth: int) -> DataFrame:
+def occurrences(source: DataFrame, repeats: Filter, copied: Filter, depth: int) -> DataFrame:
     """(is_chunk, own, hash, key, part, start, starts, segment) of the segments that hold repeated
     grams; ``part`` is the segment's own hash."""
     shared = source.sparkSession.sparkContext.broadcast((repeats, copied))
@@ -385,35 +410,80 @@ def occurrences(source: DataFrame, repeats: Repeats, copied: Repeats, depth: int
     return source.select("own", "hash", "text", "is_chunk").mapInArrow(run, schema)
 
 
-def _cut_pieces(heavy: DataFrame, depth: int) -> DataFrame:
-    """Segments of heavy keys in pieces: starts that the hash of the whole string deals to one
-    of ``cuts`` parts of the key. Neighbours with one part stay together."""
+Cut = Callable[[pa.RecordBatch, list[bytes]], Iterator[list[tuple[int, int, int]]]]
+
+
+def _in_pieces(rows: DataFrame, cut: Cut, depth: int) -> DataFrame:
+    """Segments in pieces: for each row, ``cut`` gives (first start, end of the starts, sub)."""
+    names = ["key", "sub", "part", "first", "last", "offset", "segment"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of, subs, offsets, pieces = [], [], [], []
+            texts = [_bytes(value) for value in batch.column("segment")]
+            for k, (text, bounds) in enumerate(zip(texts, cut(batch, texts))):
+                for a, b, sub in bounds:
+                    of.append(k)
+                    subs.append(sub)
+                    offsets.append(a)
+                    pieces.append(text[a : b + depth - 1])
+            rows = pa.array(of, pa.int64())
+            key, part, first, last, offset = (batch.column(c).take(rows) for c in ("key", "part", "first", "last", "offset"))
+            shift = pa.array(offset.to_numpy() + np.array(offsets, dtype=np.int64))
+            subs = pa.array(np.array(subs, dtype=np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([key, subs, part, first, last, shift, pa.array(pieces, pa.binary())], names=names)
+
+    return rows.mapInArrow(run, "key long, sub long, part long, first long, last long, offset long, segment binary")
+
+
+def _anchors(key: np.ndarray, texts: list[bytes]) -> np.ndarray:
+    """Where in each segment its anchor stands: the first gram whose hash is the key."""
+    lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+    begins = np.cumsum(lengths) - lengths
+    row = np.repeat(np.arange(len(texts)), lengths)[: 1 - GRAM]
+    place = np.flatnonzero(_gram_hashes(b"".join(texts)) == key[row])
+    return place[np.searchsorted(row[place], np.arange(len(texts)))] - begins
+
+
+def _by_window(depth: int) -> Cut:
+    """Starts that lie up to NEAR places apart before the anchor, named by the bytes that all their strings hold."""
+
+    def cut(batch: pa.RecordBatch, texts: list[bytes]) -> Iterator[list[tuple[int, int, int]]]:
         import xxhash
 
-        for batch in batches:
-            rows, subs, offsets, pieces = [], [], [], []
-            for k, (value, cuts) in enumerate(zip(batch.column("segment"), batch.column("cuts").to_pylist())):
-                text = _bytes(value)
-                dealt = [xxhash.xxh64_intdigest(text[i : i + depth]) % cuts for i in range(len(text) - depth + 1)]
-                start = 0
-                for i in range(1, len(dealt) + 1):
-                    if i == len(dealt) or dealt[i] != dealt[start]:
-                        rows.append(k)
-                        subs.append(dealt[start])
-                        offsets.append(start)
-                        pieces.append(text[start : i + depth - 1])
-                        start = i
-            of = pa.array(rows, pa.int64())
-            columns = [batch.column(c).take(of) for c in ("key", "part", "first", "last")]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(subs, pa.int64()), pa.array(offsets, pa.int64()), pa.array(pieces, pa.binary())],
-                names=["key", "part", "first", "last", "sub", "offset", "segment"],
-            )
+        if not texts:
+            return
+        for text, anchor in zip(texts, _anchors(batch.column("key").to_numpy().view(np.uint64), texts).tolist()):
+            bounds = []
+            for far in range(0, depth - GRAM + 1, NEAR):
+                near = min(far + NEAR, depth - GRAM + 1) - 1
+                a, b = max(0, anchor - near), min(len(text) - depth, anchor - far) + 1
+                if a < b:
+                    bounds.append((a, b, xxhash.xxh64_intdigest(text[anchor - far : anchor - near + depth], far)))
+            yield bounds
 
-    schema = "key long, part long, first long, last long, sub long, offset long, segment binary"
-    return heavy.select("key", "part", "segment", "first", "last", "cuts").mapInArrow(run, schema)
+    return cut
+
+
+def _by_string(depth: int) -> Cut:
+    """Starts that the hash of the whole string deals to one of ``cuts`` parts. Neighbours with
+    one part stay together."""
+
+    def cut(batch: pa.RecordBatch, texts: list[bytes]) -> Iterator[list[tuple[int, int, int]]]:
+        import xxhash
+
+        for text, sub, cuts in zip(texts, batch.column("sub").to_pylist(), batch.column("cuts").to_pylist()):
+            dealt = [xxhash.xxh64_intdigest(text[i : i + depth]) % cuts for i in range(len(text) - depth + 1)]
+            turns = [0, *(i for i in range(1, len(dealt)) if dealt[i] != dealt[i - 1]), len(dealt)]
+            yield [(a, b, xxhash.xxh64_intdigest(b"%d %d" % (sub, dealt[a]))) for a, b in zip(turns, turns[1:])]
+
+    return cut
+
+
+def _over(rows: DataFrame, by: list[str], most: int, label: str) -> DataFrame:
+    """What occurs more than ``most`` times, which is few, and into how many parts it is to be cut."""
+    many = rows.groupBy(*by).agg(F.count("*").alias("n")).filter(F.col("n") > most)
+    return stored(many.select(*by, F.ceil(F.col("n") / max(1, most // 2)).alias("cuts")), label)
 
 
 def _runs_of_group(rows: pa.Table, depth: int) -> pa.Table:
@@ -461,17 +531,26 @@ def _runs_of_group(rows: pa.Table, depth: int) -> pa.Table:
     return pa.table({"key": key[at], "part": part[at], "offset": offset, "starts": count, "least": least})
 
 
+def _mixed(key: np.ndarray) -> np.ndarray:
+    """Keys as evenly spread hashes: as they are the smallest ones, their high bits are small."""
+    mixed = (key ^ (key >> np.uint64(32))) * _TWO
+    return mixed ^ (mixed >> np.uint64(29))
+
+
 def _of_keys(found: DataFrame, keys: DataFrame) -> DataFrame:
-    """(key, part, own, segment) of ``keys``. The bitmap may let others pass, which costs time only."""
-    # the low bits of an anchor's hash are even, the high ones are small as it is the smallest
-    place = F.col("key").bitwiseAND((1 << BITS) - 1)
-    words = keys.select(F.shiftright(place, 6).alias("word"), F.expr("shiftleft(1L, cast(key & 63 as int))").alias("bits"))
-    shared = found.sparkSession.sparkContext.broadcast(_bitmap(words))
+    """(key, part, own, segment) of ``keys``. The filter may let others pass, which costs time only."""
+    buckets = max(64, -(-keys.count() // KEYS))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _by_bucket(np.sort(_mixed(batch.column(0).to_numpy().view(np.uint64))), buckets)
+
+    wanted = _filter(keys.select("key").mapInArrow(pack, "bucket long, marks binary"), buckets, GRAM_BITS, twice=False)
+    shared = found.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            place = batch.column(0).to_numpy().view(np.uint64) & np.uint64((1 << BITS) - 1)
-            yield batch.filter(pa.array(_marked(shared.value, place)))
+            yield batch.filter(pa.array(shared.value(_mixed(batch.column(0).to_numpy().view(np.uint64)))))
 
     return found.select("key", "part", "own", "segment").mapInArrow(run, "key long, part long, own long, segment binary")
 
@@ -492,19 +571,21 @@ def merged_runs(found: DataFrame, depth: int) -> DataFrame:
     # the bytes are part of the key, so segments with one hash stay apart
     distinct = found.groupBy("key", "part", "segment").agg(F.min("own").alias("first"), F.max("own").alias("last"))
     distinct = stored(distinct, "suffix-segments")
-    size = distinct.agg(F.coalesce(F.sum(F.length("segment")), F.lit(0)).alias("n")).first()["n"]
-    groups = max(1, -(-size // GROUP))
-    heavy = stored(
-        distinct.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > HEAVY).select("key", F.ceil(F.col("n") / (HEAVY // 2)).alias("cuts")),
-        "suffix-heavy",
-    )
+    size, n = distinct.agg(F.coalesce(F.sum(F.length("segment")), F.lit(0)), F.count("*")).first()
+    groups, most = max(1, -(-size // GROUP)), max(HEAVY, min(n // SHARE, HEAVIEST))
     columns = ["key", "sub", "part", "first", "last", "offset", "segment"]
     none = F.lit(0).cast("long")
-    if heavy.isEmpty():
-        rows = distinct.withColumns({"sub": none, "offset": none}).select(*columns)
-    else:
-        rest = distinct.join(heavy, "key", "left_anti").withColumns({"sub": none, "offset": none})
-        rows = rest.select(*columns).unionByName(_cut_pieces(distinct.join(heavy, "key"), depth).select(*columns))
+    rows = distinct.withColumns({"sub": none, "offset": none}).select(*columns)
+    heavy = _over(distinct, ["key"], most, "suffix-heavy")
+    if not heavy.isEmpty():
+        near = stored(_in_pieces(rows.join(F.broadcast(heavy), "key"), _by_window(depth), depth), "suffix-windows")
+        dense = _over(near, ["key", "sub"], most, "suffix-dense")
+        rows = rows.join(F.broadcast(heavy), "key", "left_anti")
+        if dense.isEmpty():
+            rows = rows.unionByName(near)
+        else:
+            pieces = _in_pieces(near.join(F.broadcast(dense), ["key", "sub"]), _by_string(depth), depth)
+            rows = rows.unionByName(near.join(F.broadcast(dense), ["key", "sub"], "left_anti")).unionByName(pieces)
     rows = rows.withColumn("group", F.pmod(F.xxhash64("key", "sub"), F.lit(groups)))
     runs = rows.groupBy("group").applyInArrow(
         lambda table: _runs_of_group(table, depth), "key long, part long, offset long, starts long, least long"
@@ -540,7 +621,7 @@ def without_repeats(
     named_ = F.xxhash64("text", "chunk").alias("hash")
     distinct = stored(copies.groupBy("chunk", "text").agg(F.min("own").alias("own")), "suffix-chunks").select("own", named_, "text", F.lit(True).alias("is_chunk"))
     both = texts.unionByName(distinct)
-    repeats = repeated_hashes(both, _wider_grams(copied, depth))
+    repeats = repeated_hashes(both, _wider_grams(copied, depth), GRAM_BITS)
     found = stored(occurrences(both, repeats, copied, depth), "suffix-occurrences")
     runs = repeated_runs(found, depth)
     at = F.col("start") + F.col("offset")

@@ -73,9 +73,8 @@ class Feeds:
 
     @cached_property
     def trips(self):
-        """Trips of all services from one scan, dealt to all cores before they multiply by status: the scan
-        of a compact file has few tasks."""
-        return trips.classify(self.view("trip_events").repartition("event_id"))
+        """Trips of all services from one scan."""
+        return trips.classify(self.view("trip_events"))
 
     @cached_property
     def enriched(self):
@@ -135,6 +134,12 @@ class Feeds:
     def fact_trips(self):
         return facts.fact_taxi_trips(self.matched, self.dates, self.hours, self.dim_zones, self.dim_weather, AS_OF)
 
+    @cached_property
+    def dealt(self):
+        """The same feeds with trips dealt to all cores before they multiply by status, for what writes the
+        fact: the scan of a compact file has few tasks."""
+        return DealtFeeds(self.spark, self.folder)
+
     @cached_property
     def fact_daily(self):
         return facts.fact_311_complaints_daily(self.by_zone, self.dates, self.dim_weather, AS_OF)
@@ -142,3 +147,9 @@ class Feeds:
     @cached_property
     def fact_monthly(self):
         return facts.fact_311_performance_monthly(self.performance)
+
+
+class DealtFeeds(Feeds):
+    @cached_property
+    def trips(self):
+        return trips.classify(self.view("trip_events").repartition("event_id"))

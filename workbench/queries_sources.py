@@ -228,7 +228,7 @@ ONE_PER_KEY = """select * exclude (rank_in_key) from (select *, row_number() ove
 
 def slim_fact(f):
     columns = [name.strip() for name in FACT_COLUMNS.split(",")]
-    return f.fact_trips.select("trip_id", *columns)
+    return f.dealt.fact_trips.select("trip_id", *columns)
 
 
 WHOLE_FACT = [
@@ -246,7 +246,7 @@ ONE_WHOLE_ROW = f"""select * exclude (rank_in_key) from (select *, row_number()
 def stored_fact(f):
     """The whole fact as a day-partitioned table, the source of the loads."""
     folder = new_folder(f.spark, "fact-source")
-    tables.write_model(f.fact_trips, folder, "fact_taxi_trips")
+    tables.write_model(f.dealt.fact_trips, folder, "fact_taxi_trips")
     return f.spark.read.parquet(folder)
 
 

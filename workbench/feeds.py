@@ -73,12 +73,14 @@ class Feeds:
 
     @cached_property
     def trips(self):
-        """Trips of all services from one scan."""
-        return trips.classify(self.view("trip_events"))
+        """Trips of all services from one scan, dealt to all cores before they multiply by status: the scan
+        of a compact file has few tasks."""
+        return trips.classify(self.view("trip_events").repartition("event_id"))
 
     @cached_property
     def enriched(self):
-        return trips.enrich(self.trips, self.weather_table)
+        """From trips as they are scanned: their joins move none."""
+        return trips.enrich(trips.classify(self.view("trip_events")), self.weather_table)
 
     @cached_property
     def hourly(self):
@@ -136,8 +138,7 @@ class Feeds:
 
     @cached_property
     def dealt(self):
-        """The same feeds with trips dealt to all cores before they multiply by status, for what writes the
-        fact: the scan of a compact file has few tasks."""
+        """The same feeds with the fact from dealt trips, for what writes it."""
         return DealtFeeds(self.spark, self.folder)
 
     @cached_property
@@ -151,5 +152,5 @@ class Feeds:
 
 class DealtFeeds(Feeds):
     @cached_property
-    def trips(self):
-        return trips.classify(self.view("trip_events").repartition("event_id"))
+    def enriched(self):
+        return trips.enrich(self.trips, self.weather_table)
